@@ -1,0 +1,237 @@
+"""Per-series numeric helpers used inside grouped tasks: unit-root regression and ARIMA.
+
+Only numpy, and only one daily series at a time. ARIMA is fitted by conditional sum of
+squares (Box and Jenkins) with Gauss-Newton steps; residual filters run as power series in
+the frequency domain. The unit-root test follows Said and Dickey, with p-values and critical
+values from MacKinnon's response surfaces.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+import numpy as np
+
+# MacKinnon (1994) p-value surface, constant only, below and above tau = -1.61.
+P_SMALL = (2.1659, 1.4412, 0.038269)
+P_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
+P_SWITCH, P_LOWEST, P_HIGHEST = -1.61, -18.83, 2.74
+# MacKinnon (2010) critical values, constant only, as polynomials in 1/n.
+CRITICAL = {
+    "1%": (-3.43035, -6.5393, -16.786, -79.433),
+    "5%": (-2.86154, -2.8903, -4.234, -40.040),
+    "10%": (-2.56677, -1.5384, -2.809, 0.0),
+}
+
+
+def _ols(x: np.ndarray, y: np.ndarray):
+    beta, _, rank, _ = np.linalg.lstsq(x, y, rcond=None)
+    resid = y - x @ beta
+    return beta, float(resid @ resid), rank
+
+
+def unit_root_p(tau: float) -> float:
+    if tau <= P_LOWEST:
+        return 0.0
+    if tau >= P_HIGHEST:
+        return 1.0
+    surface = P_SMALL if tau <= P_SWITCH else P_LARGE
+    z = sum(c * tau**i for i, c in enumerate(surface))
+    return 0.5 * (1 + math.erf(z / math.sqrt(2)))
+
+
+def augmented_dickey_fuller(y: np.ndarray) -> tuple[float, float, int, int] | None:
+    """(statistic, p-value, lags used, observations), or None when the series is too short or constant."""
+    n = len(y)
+    most = min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2)
+    if most < 0 or np.ptp(y) == 0:
+        return None
+    dy = np.diff(y)
+
+    def design(lags: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.arange(skip, len(dy))
+        columns = [y[rows], np.ones(len(rows))] + [dy[rows - k] for k in range(1, lags + 1)]
+        return np.column_stack(columns), dy[rows]
+
+    x, target = design(most, most)
+    size = len(target)
+    scores = []
+    for lags in range(most + 1):
+        _, sse, _ = _ols(x[:, : 2 + lags], target)
+        scores.append(size * math.log(max(sse, 1e-300) / size) + 2 * (2 + lags))
+    lags = int(np.argmin(scores))
+    x, target = design(lags, lags)
+    beta, sse, rank = _ols(x, target)
+    free = len(target) - x.shape[1]
+    if rank < x.shape[1] or free <= 0 or sse <= 0:
+        return None
+    tau = beta[0] / math.sqrt(sse / free * np.linalg.inv(x.T @ x)[0, 0])
+    return float(tau), unit_root_p(float(tau)), lags, len(target)
+
+
+def critical_values(n: int) -> dict[str, float]:
+    return {level: sum(c / n**i for i, c in enumerate(cs)) for level, cs in CRITICAL.items()}
+
+
+@dataclass
+class Fit:
+    order: tuple[int, int, int]
+    const: float
+    ar: np.ndarray
+    ma: np.ndarray
+    sigma2: float
+    errors: np.ndarray
+    nobs: int
+    aic: float
+    bic: float
+    std_err: np.ndarray
+
+
+def _outside_unit_circle(coefs: np.ndarray) -> bool:
+    """All roots of 1 - c1 z - c2 z^2 - ... lie outside the unit circle."""
+    if not len(coefs):
+        return True
+    return bool(np.all(np.abs(np.roots(np.r_[1.0, -coefs])) < 0.9999))
+
+
+def _filter(ma: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Divide each row, as a power series, by 1 + ma_1 z + ...: MA errors from innovations."""
+    n = columns.shape[1]
+    if not len(ma):
+        return columns
+    theta = np.zeros(n)
+    theta[: len(ma) + 1] = np.r_[1.0, ma][:n]
+    inverse, known = np.array([1.0]), 1
+    while known < n:
+        known = min(2 * known, n)
+        size = 1 << (2 * known).bit_length()
+        f = np.fft.rfft(inverse, size)
+        inverse = np.fft.irfft(f * (2 - f * np.fft.rfft(theta[:known], size)), size)[:known]
+    size = 1 << (2 * n).bit_length()
+    return np.fft.irfft(np.fft.rfft(columns, size, axis=1) * np.fft.rfft(inverse, size), size, axis=1)[:, :n]
+
+
+def _residuals(w: np.ndarray, start: int, p: int, params: np.ndarray, with_const: bool):
+    """Errors from position `start` on, and their derivatives with the sign turned."""
+    c0 = 1 if with_const else 0
+    ar, ma = params[c0 : c0 + p], params[c0 + p :]
+    n = len(w) - start
+    inputs = [np.ones(n)] * c0 + [w[start - i : len(w) - i] for i in range(1, p + 1)]
+    u = w[start:] - (params[0] if with_const else 0.0)
+    for i in range(p):
+        u = u - ar[i] * w[start - i - 1 : len(w) - i - 1]
+    filtered = _filter(ma, np.vstack([u[None, :], *[x[None, :] for x in inputs]]))
+    e = filtered[0]
+    if len(ma):
+        past = np.vstack([np.r_[np.zeros(j), e[: n - j]] for j in range(1, len(ma) + 1)])
+        slopes = np.vstack([filtered[1:], _filter(ma, past)])
+    else:
+        slopes = filtered[1:]
+    return e, slopes
+
+
+def _starting_values(w: np.ndarray, p: int, q: int, with_const: bool) -> np.ndarray:
+    """Hannan-Rissanen: lagged values and lagged errors of a long autoregression; zeros if unusable."""
+    fallback = np.r_[[w.mean()] if with_const else [], np.zeros(p + q)]
+    long = min(20, max(p + q + 4, int(math.log(len(w)) ** 1.5)), len(w) // 4)
+    rows = np.arange(long, len(w))
+    if len(rows) < 3 * (p + q + 2):
+        return fallback
+    lags = np.column_stack([np.ones(len(rows))] + [w[rows - i] for i in range(1, long + 1)])
+    beta, _, _ = _ols(lags, w[rows])
+    e = np.r_[np.zeros(long), w[rows] - lags @ beta]
+    rows = np.arange(long + max(p, q), len(w))
+    x = [np.ones(len(rows))] if with_const else []
+    x += [w[rows - i] for i in range(1, p + 1)] + [e[rows - j] for j in range(1, q + 1)]
+    if not x:
+        return fallback
+    guess, _, _ = _ols(np.column_stack(x), w[rows])
+    c0 = 1 if with_const else 0
+    good = _outside_unit_circle(guess[c0 : c0 + p]) and _outside_unit_circle(-guess[c0 + p :])
+    return guess if good and np.all(np.isfinite(guess)) else fallback
+
+
+def fit_arima(y: np.ndarray, order: tuple[int, int, int], condition: int | None = None, steps: int = 50) -> Fit | None:
+    """Fit by conditional least squares; None when the series is too short or constant.
+
+    `condition` is the number of leading observations that are given rather than explained.
+    Candidates are comparable by AIC only when it is the same for all of them.
+    """
+    p, d, q = order
+    start = max(condition if condition is not None else p + d, p + d) - d
+    w = np.diff(np.asarray(y, dtype=float), n=d) if d else np.asarray(y, dtype=float)
+    with_const = d == 0
+    size = len(w) - start
+    count = p + q + (1 if with_const else 0)
+    if size <= count + 2 or np.ptp(w) == 0 or not np.all(np.isfinite(w)):
+        return None
+    scale = w.std()
+    w = w / scale
+    c0 = 1 if with_const else 0
+    params = _starting_values(w, p, q, with_const)
+    e, slopes = _residuals(w, start, p, params, with_const)
+    sse = float(e @ e)
+    for _ in range(steps if count else 0):
+        move, _, _ = _ols(slopes.T, e)
+        shrink, better = 1.0, False
+        while shrink > 1e-4:
+            trial = params + shrink * move
+            if _outside_unit_circle(trial[c0 : c0 + p]) and _outside_unit_circle(-trial[c0 + p :]):
+                e2, s2 = _residuals(w, start, p, trial, with_const)
+                sse2 = float(e2 @ e2)
+                if np.isfinite(sse2) and sse2 < sse:
+                    better = True
+                    break
+            shrink /= 2
+        if not better:
+            break
+        gain = (sse - sse2) / sse
+        params, e, slopes, sse = trial, e2, s2, sse2
+        if gain < 1e-10:
+            break
+    sigma2 = sse / size
+    if not np.isfinite(sigma2) or sigma2 <= 0:
+        return None
+    loglik = -0.5 * size * (math.log(2 * math.pi * sigma2 * scale**2) + 1)
+    k = count + 1
+    cov = np.linalg.pinv(slopes @ slopes.T) * sigma2 if count else np.zeros((0, 0))
+    unit = np.r_[np.full(c0, scale), np.ones(p + q)]
+    return Fit(
+        order=order,
+        const=float(params[0] * scale) if with_const else 0.0,
+        ar=params[c0 : c0 + p],
+        ma=params[c0 + p :],
+        sigma2=sigma2 * scale**2,
+        errors=e * scale,
+        nobs=size,
+        aic=2 * k - 2 * loglik,
+        bic=k * math.log(size) - 2 * loglik,
+        std_err=np.sqrt(np.clip(np.diag(cov), 0, None)) * unit,
+    )
+
+
+def forecast(fit: Fit, y: np.ndarray, steps: int) -> np.ndarray:
+    """Expected values of the next `steps` observations, differences summed back."""
+    p, d, q = fit.order
+    levels = [np.asarray(y, dtype=float)]
+    for _ in range(d):
+        levels.append(np.diff(levels[-1]))
+    past = list(levels[-1][-p:]) if p else []
+    errors = list(fit.errors[-q:]) if q else []
+    out = np.empty(steps)
+    for h in range(steps):
+        value = fit.const
+        for i in range(p):
+            value += fit.ar[i] * past[-i - 1]
+        for j in range(q):
+            if j < len(errors):
+                value += fit.ma[j] * errors[-j - 1]
+        out[h] = value
+        if p:
+            past.append(value)
+        if q:
+            errors.append(0.0)
+    for level in reversed(levels[:-1]):
+        out = level[-1] + np.cumsum(out)
+    return out
