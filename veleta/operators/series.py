@@ -110,11 +110,12 @@ def _autocorrelations(series: DataFrame, lags: int) -> DataFrame:
 
     All lags are read in one window and summed in one aggregate; no row is multiplied.
     """
-    w = _ordered()
     centred = _known(series).select("key", "t", (F.col("y") - F.avg("y").over(_whole())).alias("c"))
-    lagged = centred.select("key", "c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, lags + 1)])
-    products = [F.sum(F.col("c") * F.col("c"))] + [F.sum(F.col("c") * F.col(f"l{k}")) for k in range(1, lags + 1)]
-    sums = lagged.groupBy("key").agg(F.count("*").alias("n"), F.array(*products).alias("s"))
+    lagged = centred.selectExpr(
+        "key", "c", *[f"lag(c, {k}) OVER (PARTITION BY key ORDER BY t) AS l{k}" for k in range(1, lags + 1)]
+    )
+    products = ["sum(c * c)"] + [f"sum(c * l{k})" for k in range(1, lags + 1)]
+    sums = lagged.groupBy("key").agg(F.count("*").alias("n"), F.expr(f"array({', '.join(products)})").alias("s"))
     return sums.select("key", "n", F.transform("s", lambda v: F.try_divide(v, F.col("s")[0])).alias("r"))
 
 
