@@ -63,7 +63,7 @@ def relate(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, check:
 def cross_filter(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, selection: Column) -> DataFrame:
     """Fact rows related to a selected dimension row (JON2)."""
     chosen = dim.where(selection).select(F.col(dim_key).alias(fact_key))
-    return fact.join(chosen, fact_key, "left_semi")
+    return fact.join(chosen, fact_key, "left_semi").select(*fact.columns)
 
 
 @dataclass(frozen=True)
