@@ -4,12 +4,20 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from veleta.operators import ordering
 
 START = dt.datetime(2024, 1, 1)
 
 
+def two_levels():
+    return [F.date_trunc("day", "t"), F.date_trunc("hour", "t")]
+
+
+def three_levels():
+    return [F.date_trunc("month", "t"), F.date_trunc("hour", "t"), F.date_trunc("minute", "t")]
+
+
 @pytest.fixture(scope="module")
 def frame(spark):
     """2,000 rows over 60 hours with gaps; one key holds two thirds of them."""
@@ -21,9 +29,10 @@ def frame(spark):
     return spark.createDataFrame(pdf).persist(), pdf
 
 
-@pytest.mark.parametrize("chunk", ["hour", "day", "year", "minute"])
+@pytest.mark.parametrize("chunk", ["hour", "year", "minute", two_levels, three_levels])
 def test_positions_do_not_depend_on_the_chunk(frame, chunk):
     df, pdf = frame
+    chunk = chunk if isinstance(chunk, str) else chunk()
     want = pdf.sort_values(["k", "t", "id"]).assign(pos=lambda d: d.groupby("k").cumcount() + 1)
     want["n"] = want.groupby("k")["id"].transform("size")
     got = ordering.positions(df, ["k"], ["t", "id"], chunk).select("id", "pos", "n").toPandas()
@@ -42,7 +51,7 @@ def test_forward_fill(frame):
     df, pdf = frame
     ordered = pdf.sort_values(["k", "t", "id"])
     want = ordered.assign(**{c: ordered.groupby("k")[c].ffill() for c in ("v", "w")}).set_index("id")
-    for chunk in ("hour", "day"):
+    for chunk in ("hour", "day", two_levels(), three_levels()):
         got = ordering.forward_fill(df, ["v", "w"], ["k"], ["t", "id"], chunk).toPandas().set_index("id")
         assert len(got) == 2000
         for c in ("v", "w"):
@@ -55,7 +64,8 @@ def test_forward_fill(frame):
 def test_first_rows(frame, n):
     df, pdf = frame
     want = set(pdf.sort_values(["t", "id"])["id"].head(n))
-    assert {r[0] for r in rows(ordering.first_rows(df, n, ["t", "id"]).select("id"))} == want
+    for chunk in ("hour", two_levels()):
+        assert {r[0] for r in rows(ordering.first_rows(df, n, ["t", "id"], chunk).select("id"))} == want
 
 
 def test_first_rows_on_a_chunk_boundary(frame):
@@ -65,6 +75,32 @@ def test_first_rows_on_a_chunk_boundary(frame):
     assert got.count() == first_day and got.agg(F.max("t")).first()[0] < START + dt.timedelta(days=1)
 
 
+def test_rows_without_key_or_time_are_kept(spark):
+    df = spark.createDataFrame(
+        [(None, START, 1, 5.0), (None, None, 2, None), ("a", None, 3, 7.0), ("a", START, 4, None), ("a", None, 5, None)],
+        "k string, t timestamp, id int, v double",
+    )
+    got = {r["id"]: (r["pos"], r["n"]) for r in ordering.positions(df, ["k"], ["t", "id"]).collect()}
+    assert got == {2: (1, 2), 1: (2, 2), 3: (1, 3), 5: (2, 3), 4: (3, 3)}
+    by_levels = ordering.positions(df, ["k"], ["t", "id"], [*two_levels(), F.floor(F.col("id") / 2)])
+    assert {r["id"]: (r["pos"], r["n"]) for r in by_levels.collect()} == got
+    filled = {r["id"]: r["v"] for r in ordering.forward_fill(df, ["v"], ["k"], ["t", "id"]).collect()}
+    assert filled == {1: 5.0, 2: None, 3: 7.0, 5: 7.0, 4: 7.0}
+    for n, want in ((2, {2, 3}), (3, {2, 3, 5}), (4, {1, 2, 3, 5})):
+        assert {r["id"] for r in ordering.first_rows(df, n, ["t", "id"]).collect()} == want
+
+
+def test_one_shuffle_moves_the_rows(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "timestamp_seconds(id) AS t", "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(ordering.positions(df, ["k"], ["t"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows once; summaries once by chunk, once by key, once back.
+    assert plan.count("Exchange hashpartitioning") == 4 and "SinglePartition" not in plan
+
+
 def test_split_and_holdout_round_differently(spark):
     df = spark.range(101).withColumn("t", F.timestamp_seconds(F.col("id") * 3600))
     split = ordering.ordered_split(df, [], ["t"])

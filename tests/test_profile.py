@@ -84,10 +84,11 @@ def test_histogram_keeps_empty_bins_and_closes_the_last(spark):
 
 
 def test_histogram_of_constant_values_and_by_key(spark):
-    df = spark.createDataFrame([("a", 4.0), ("a", 4.0), ("b", 1.0), ("b", 2.0)], "k string, v double")
+    df = spark.createDataFrame([("a", 4.0), ("a", 4.0), ("b", 1.0), ("b", 2.0), (None, 3.0)], "k string, v double")
     got = rows(profile.histogram(df, "v", 4, ["k"]), "k", "bin")
     assert [r[4] for r in got if r[0] == "a"] == np.histogram([4.0, 4.0], bins=4)[0].tolist()
     assert [r[4] for r in got if r[0] == "b"] == [1, 0, 0, 1]
+    assert [r[4] for r in got if r[0] is None] == [0, 0, 1, 0]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))

@@ -23,6 +23,15 @@ def _key_type(series: DataFrame) -> str:
     return series.schema["key"].dataType.simpleString()
 
 
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """Hash the groups over four tasks per core.
+
+    Fitting is heavy while a series is small, so sizing tasks by bytes, as adaptive execution
+    does, would put all fits into one task. A fixed number of partitions is left alone.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def unit_root_test(series: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Augmented Dickey-Fuller test per series with critical values and a verdict (TSA2)."""
 
@@ -44,7 +53,7 @@ def unit_root_test(series: DataFrame, alpha: float = 0.05) -> DataFrame:
         "crit_1 double, crit_5 double, crit_10 double, is_stationary boolean"
     )
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
-    return _known(series).select("key", "t", "y").groupBy("key").applyInPandas(test, schema)
+    return _spread(_known(series).select("key", "t", "y"), "key").groupBy("key").applyInPandas(test, schema)
 
 
 def parameter_grid(p: Iterable[int] = range(4), d: Iterable[int] = range(3), q: Iterable[int] = range(4)):
@@ -54,7 +63,7 @@ def parameter_grid(p: Iterable[int] = range(4), d: Iterable[int] = range(3), q:
 
 
 def arima_search(
-    train: DataFrame, orders: list[tuple[int, int, int]] | None = None, slices: int = 4
+    train: DataFrame, orders: list[tuple[int, int, int]] | None = None, slices: int = 5
 ) -> DataFrame:
     """AIC and BIC of every order for every series (TSA6, JON4); failed fits have NULL.
 
@@ -83,7 +92,7 @@ def arima_search(
     shares = F.explode(F.array(*[F.lit(i) for i in range(slices)]))
     dealt = _known(train).select("key", "t", "y", shares.alias("share"))
     schema = f"key {_key_type(train)}, p int, d int, q int, grid_pos int, aic double, bic double, nobs bigint"
-    return dealt.groupBy("key", "share").applyInPandas(fit_share, schema)
+    return _spread(dealt, "key", "share").groupBy("key", "share").applyInPandas(fit_share, schema)
 
 
 def best_order(candidates: DataFrame) -> DataFrame:
@@ -117,7 +126,7 @@ def arima_parameters(series: DataFrame, orders: DataFrame) -> DataFrame:
         return out.astype({"value": "float64", "std_err": "float64"})
 
     schema = f"key {_key_type(series)}, name string, value double, std_err double"
-    return _with_order(series, orders).groupBy("key").applyInPandas(table, schema)
+    return _spread(_with_order(series, orders), "key").groupBy("key").applyInPandas(table, schema)
 
 
 def arima_forecast(series: DataFrame, orders: DataFrame, steps: int | DataFrame) -> DataFrame:
@@ -141,7 +150,7 @@ def arima_forecast(series: DataFrame, orders: DataFrame, steps: int | DataFrame)
         )
 
     schema = f"key {_key_type(series)}, step int, yhat double"
-    return joined.groupBy("key").applyInPandas(ahead, schema)
+    return _spread(joined, "key").groupBy("key").applyInPandas(ahead, schema)
 
 
 def forecast_test_span(split: DataFrame, orders: DataFrame) -> DataFrame:

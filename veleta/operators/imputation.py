@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veleta.operators.ordering import forward_fill
+from veleta.operators.ordering import Chunk, forward_fill
 from veleta.operators.profile import most_frequent, sample_skewness
 from veleta.operators.quantiles import exact_medians
 
@@ -81,7 +81,7 @@ def apply_imputer(
     imputer: Imputer,
     keys: Sequence[str] = (),
     order: Sequence[str] = (),
-    chunk: str = "hour",
+    chunk: Chunk = "hour",
 ) -> DataFrame:
     """Fill missing values (MLA2): dates forward in `order`, then every column its fitted value.
 

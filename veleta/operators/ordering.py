@@ -3,62 +3,103 @@
 A window over a whole key would put a busy key into one task. These operators cut each key
 into chunks that are consecutive in the order (an hour of time unless told otherwise), work
 inside (key, chunk), and carry what a chunk needs from earlier chunks through a small
-per-chunk summary: counts for positions, the last value for a fill. Choose the chunk so that
-one chunk of one key fits a task; results do not depend on the choice.
+per-chunk summary: counts for positions, the last value for a fill.
+
+`chunk` is a time unit for the first order column, a column that never decreases along the
+order, or several such columns, coarse to fine. Choose it so that one chunk of one key fits a
+task; results do not depend on the choice. With several columns the summaries are summed up
+level by level, so that neither rows nor summaries of a key meet in one task: for a table
+ordered by (day, id), chunk by day and then by id range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK = "__chunk"
+from veleta.operators.joins import tag_nulls
 
+Chunk = str | Column | Sequence[Column]
 
-def _chunk_of(order: Sequence[str], chunk: str | Column) -> Column:
-    return chunk if isinstance(chunk, Column) else F.date_trunc(chunk, F.col(order[0]))
 
+@dataclass(frozen=True)
+class _Cut:
+    """Rows with their chunks. All names are technical columns that are never NULL."""
 
-def _before(keys: Sequence[str]):
-    """All earlier chunks of the same key; runs over chunk summaries, never over rows."""
-    return Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    rows: DataFrame
+    keys: list[str]
+    levels: list[list[str]]
 
+    def group(self, depth: int | None = None) -> list[str]:
+        """Keys and the chunk columns of the first `depth` levels (all by default)."""
+        return [*self.keys, *[name for level in self.levels[:depth] for name in level]]
 
-def positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: str | Column = "hour"
-) -> DataFrame:
+    def order(self, depth: int) -> list[Column]:
+        """Ascending order of one level, NULL first."""
+        value, flag = self.levels[depth]
+        return [~F.col(flag), F.col(value)]
+
+    def before(self, depth: int):
+        """Earlier chunks of one level within the same coarser chunk; runs over summaries only."""
+        w = Window.partitionBy(*self.group(depth)).orderBy(*self.order(depth))
+        return w.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk) -> _Cut:
+    if isinstance(chunk, str):
+        chunk = [F.date_trunc(chunk, F.col(order[0]))]
+    elif isinstance(chunk, Column):
+        chunk = [chunk]
+    names = [f"__chunk{i}" for i in range(len(chunk))]
+    tagged, pairs = tag_nulls(df.withColumns(dict(zip(names, chunk))), [*keys, *names], "__c")
+    return _Cut(tagged, [name for pair in pairs[: len(keys)] for name in pair], pairs[len(keys) :])
+
+
+def _offsets(counts: DataFrame, cut: _Cut, depth: int) -> DataFrame:
+    """Append to chunk counts the rows before the chunk (`__offset`) and in the key (`n`)."""
+    here = counts.withColumn("__offset", F.coalesce(F.sum("__rows").over(cut.before(depth)), F.lit(0)))
+    if depth == 0:
+        return here.withColumn("n", F.sum("__rows").over(Window.partitionBy(*cut.keys)))
+    coarse = cut.group(depth)
+    upper = _offsets(counts.groupBy(*coarse).agg(F.sum("__rows").alias("__rows")), cut, depth - 1)
+    upper = upper.select(*coarse, F.col("__offset").alias("__upper"), "n")
+    return here.join(upper, coarse).withColumn("__offset", F.col("__offset") + F.col("__upper")).drop("__upper")
+
+
+def _chunk_offsets(cut: _Cut) -> DataFrame:
+    counts = cut.rows.groupBy(*cut.group()).agg(F.count("*").alias("__rows"))
+    return _offsets(counts, cut, len(cut.levels) - 1)
+
+
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk = "hour") -> DataFrame:
     """Append `pos` (from 1) and `n`, the rows of the key (WIN1).
 
-    `order` must tell rows of a key apart. `chunk` is a time unit for the first order column,
-    or any column that never decreases along the order.
+    `order` must tell rows of a key apart; NULL comes first.
     """
-    keys, order = list(keys), list(order)
-    cut = df.withColumn(_CHUNK, _chunk_of(order, chunk))
-    counts = cut.groupBy(*keys, _CHUNK).agg(F.count("*").alias("__rows"))
-    offsets = counts.select(
-        *keys,
-        _CHUNK,
-        F.coalesce(F.sum("__rows").over(_before(keys)), F.lit(0)).alias("__offset"),
-        F.sum("__rows").over(Window.partitionBy(*keys)).alias("n"),
-    )
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    ranked = cut.withColumn("__rank", F.row_number().over(inside))
+    cut = _cut(df, keys, order, chunk)
+    inside = Window.partitionBy(*cut.group()).orderBy(*order)
+    ranked = cut.rows.withColumn("__rank", F.row_number().over(inside))
     return (
-        ranked.join(offsets, [*keys, _CHUNK])
+        ranked.join(_chunk_offsets(cut).drop("__rows"), cut.group())
         .withColumn("pos", F.col("__offset") + F.col("__rank"))
         .select(*df.columns, "pos", "n")
     )
 
 
-def ordered_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], train_share: float = 0.8, **kw) -> DataFrame:
+def ordered_split(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], train_share: float = 0.8, **kw
+) -> DataFrame:
     """Mark the first int(share * N) rows of each key as train (WIN2)."""
     at = positions(df, keys, order, **kw)
     return at.withColumn("is_train", F.col("pos") <= F.floor(F.lit(train_share) * F.col("n")))
 
 
-def ordered_holdout(df: DataFrame, keys: Sequence[str], order: Sequence[str], test_share: float = 0.2, **kw) -> DataFrame:
+def ordered_holdout(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], test_share: float = 0.2, **kw
+) -> DataFrame:
     """Mark all but the last int(share * N) rows of each key as train (WIN3).
 
     Differs from `ordered_split` in what is rounded: 101 rows give 81 train rows here, 80 there.
@@ -67,48 +108,60 @@ def ordered_holdout(df: DataFrame, keys: Sequence[str], order: Sequence[str], te
     return at.withColumn("is_train", F.col("pos") <= F.col("n") - F.floor(F.lit(test_share) * F.col("n")))
 
 
+def _carried(closing: DataFrame, cut: _Cut, cols: Sequence[str], depth: int) -> DataFrame:
+    """Append to closing values of chunks the last value before the chunk (`__carry_*`)."""
+    here = closing.withColumns({f"__carry_{c}": F.last(f"__close_{c}", True).over(cut.before(depth)) for c in cols})
+    if depth == 0:
+        return here
+    coarse, rank = cut.group(depth), F.struct(*cut.order(depth))
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in (f"__close_{c}" for c in cols)]
+    upper = _carried(closing.groupBy(*coarse).agg(*last), cut, cols, depth - 1)
+    upper = upper.select(*coarse, *[F.col(f"__carry_{c}").alias(f"__upper_{c}") for c in cols])
+    carry = {f"__carry_{c}": F.coalesce(f"__carry_{c}", f"__upper_{c}") for c in cols}
+    return here.join(upper, coarse).withColumns(carry).drop(*[f"__upper_{c}" for c in cols])
+
+
 def forward_fill(
-    df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str], chunk: str | Column = "hour"
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str], chunk: Chunk = "hour"
 ) -> DataFrame:
     """Replace NULL by the last value before it in the key's order (WIN4)."""
-    keys, order, cols = list(keys), list(order), list(cols)
-    cut = df.withColumn(_CHUNK, _chunk_of(order, chunk))
-    moment = F.struct(*order)
+    cut = _cut(df, keys, order, chunk)
+    moment = F.struct(*order) if len(order) > 1 else F.col(order[0])
     # Last value of each column inside the chunk; NULL when the chunk has none.
-    closing = cut.groupBy(*keys, _CHUNK).agg(
+    closing = cut.rows.groupBy(*cut.group()).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), moment)).alias(f"__close_{c}") for c in cols]
     )
-    carried = closing.select(
-        *keys, _CHUNK, *[F.last(f"__close_{c}", True).over(_before(keys)).alias(f"__carry_{c}") for c in cols]
-    )
-    inside = (
-        Window.partitionBy(*keys, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = cut.withColumns({f"__local_{c}": F.last(c, True).over(inside) for c in cols})
-    joined = local.join(carried, [*keys, _CHUNK])
+    carried = _carried(closing, cut, cols, len(cut.levels) - 1).drop(*[f"__close_{c}" for c in cols])
+    inside = Window.partitionBy(*cut.group()).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cut.rows.withColumns({f"__local_{c}": F.last(c, True).over(upto) for c in cols})
+    joined = local.join(carried, cut.group())
     filled = {c: F.coalesce(f"__local_{c}", f"__carry_{c}") for c in cols}
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
-def first_rows(df: DataFrame, n: int, order: Sequence[str], chunk: str | Column = "hour") -> DataFrame:
+def first_rows(df: DataFrame, n: int, order: Sequence[str], chunk: Chunk = "hour") -> DataFrame:
     """The first `n` rows in `order`, for caps too large for one task to rank (LIM1).
 
     Chunk counts locate the chunk in which the cap falls. Earlier chunks are kept whole and
     unsorted; only the boundary chunk is ranked.
     """
-    order = list(order)
-    cut = df.withColumn(_CHUNK, _chunk_of(order, chunk))
-    counts = cut.groupBy(_CHUNK).agg(F.count("*").alias("__rows"))
-    running = counts.select(
-        _CHUNK, F.coalesce(F.sum("__rows").over(_before([])), F.lit(0)).alias("__seen"), "__rows"
-    )
-    edge = running.where((F.col("__seen") < n) & (F.col("__seen") + F.col("__rows") > n)).first()
+    cut = _cut(df, [], order, chunk)
+    # The chunk that holds row n, or the last one when there are fewer rows.
+    edge = _chunk_offsets(cut).where(F.col("__offset") < n).orderBy(F.desc("__offset")).first()
     if edge is None:
-        kept = running.where(F.col("__seen") < n).agg(F.max(_CHUNK)).scalar()
-        return cut.where(F.col(_CHUNK) <= kept).drop(_CHUNK)
-    boundary = F.lit(edge[_CHUNK])
-    rest = cut.where(F.col(_CHUNK) == boundary).orderBy(*order).limit(n - edge["__seen"])
-    return cut.where(F.col(_CHUNK) < boundary).unionByName(rest).drop(_CHUNK)
+        return df.limit(0)
+    here, earlier = F.lit(True), F.lit(False)
+    for value, flag in cut.levels:
+        less = (F.col(flag) & F.lit(not edge[flag])) | (
+            (F.col(flag) == edge[flag]) & (F.col(value) < F.lit(edge[value]))
+        )
+        earlier = earlier | (here & less)
+        here = here & (F.col(flag) == edge[flag]) & (F.col(value) == F.lit(edge[value]))
+    boundary = cut.rows.where(here)
+    if edge["__offset"] + edge["__rows"] > n:
+        boundary = boundary.orderBy(*order).limit(n - edge["__offset"])
+    return cut.rows.where(earlier).unionByName(boundary).select(*df.columns)
 
 
 def top_k(df: DataFrame, metric: str, k: int, keys: Sequence[str] = (), tiebreak: Sequence[str] = ()) -> DataFrame:

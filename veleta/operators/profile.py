@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veleta.operators.joins import null_safe_join
+
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"))
@@ -100,7 +102,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, keys: Sequence[str] = (
     )
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
     if keys:
-        placed = shown.select(*keys, v.alias("__v")).join(extent, keys)
+        placed = null_safe_join(shown.select(*keys, v.alias("__v")), extent, keys)
         lo, step = F.col("__lo"), width
     else:
         placed = shown.select(v.alias("__v"))
@@ -108,8 +110,9 @@ def histogram(df: DataFrame, value: str, bins: int = 30, keys: Sequence[str] = (
         step = extent.select(width).scalar()
     at = F.least(F.floor((F.col("__v") - lo) / step), F.lit(bins - 1)).cast("int").alias("bin")
     counted = placed.groupBy(*keys, at).agg(F.count("*").alias("n"))
-    frame = extent.select(*keys, "__lo", width.alias("__w"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return frame.join(counted, [*keys, "bin"], "left").select(
+    all_bins = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    frame = extent.select(*keys, "__lo", width.alias("__w"), all_bins)
+    return null_safe_join(frame, counted, [*keys, "bin"], "left").select(
         *keys,
         "bin",
         (F.col("__lo") + F.col("__w") * F.col("bin")).alias("left_edge"),

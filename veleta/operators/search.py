@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veleta.operators.imputation import Imputer, apply_imputer, fit_imputer
-from veleta.operators.ordering import ordered_holdout
+from veleta.operators.ordering import Chunk, ordered_holdout
 from veleta.operators.shaping import drop_all_null, sanitise_columns, select_types, tighten_types
+from veleta.session import stabilise
 
 # Learners and the settings that a search draws from.
 SPACE: dict[str, tuple[type, dict[str, Sequence]]] = {
@@ -42,7 +43,7 @@ class Prepared:
 
 def prepare_features(
     df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), test_share: float = 0.2,
-    chunk: str = "day", exclude: Sequence[str] = (),
+    chunk: Chunk = "day", exclude: Sequence[str] = (),
 ) -> Prepared:
     """Raw frame to filled train and test frames (MLA3).
 
@@ -50,7 +51,8 @@ def prepare_features(
     rows in `order`, fit the fills on the train rows and apply them to both.
     """
     kept = select_types(drop_all_null(tighten_types(sanitise_columns(df))), ("number", "datetime"))
-    marked = ordered_holdout(kept, keys, order, test_share, chunk=chunk)
+    # Fitting the fills takes several passes; each reads the stored columns it needs.
+    marked = stabilise(ordered_holdout(kept, keys, order, test_share, chunk=chunk), "holdout")
     train = marked.where("is_train").select(*kept.columns)
     test = marked.where(~F.col("is_train")).select(*kept.columns)
     imputer = fit_imputer(train, exclude=exclude)
@@ -92,7 +94,7 @@ def model_search(
     parallelism: int = 3,
     seed: int = 41,
     valid_share: float = 0.2,
-    chunk: str = "day",
+    chunk: Chunk = "day",
     metric: str = "rmse",
     space: Mapping = SPACE,
 ) -> tuple[PipelineModel, DataFrame]:

@@ -18,17 +18,19 @@ from pyspark.sql import types as T
 def prepare_series(df: DataFrame, key: str, t: str, y: str, tiebreak: str | None = None) -> DataFrame:
     """One row per key and day: the first value of the day by `tiebreak` (TSA1).
 
-    Without a tiebreak column the earliest `t` of the day wins, then the lowest value.
+    Without a tiebreak column the earliest `t` of the day wins, then the lowest value. A row
+    without a key or without a readable day belongs to no series and is left out.
     """
     moment = F.col(t) if not isinstance(df.schema[t].dataType, T.StringType) else F.try_to_timestamp(F.col(t))
     first = F.col(tiebreak) if tiebreak else F.struct(moment, F.col(y).cast("double"))
-    day = moment.cast("date").alias("t")
-    return df.groupBy(F.col(key).alias("key"), day).agg(F.min_by(F.col(y).cast("double"), first).alias("y"))
+    placed = df.where(F.col(key).isNotNull() & moment.isNotNull())
+    return placed.groupBy(F.col(key).alias("key"), moment.cast("date").alias("t")).agg(F.min_by(F.col(y).cast("double"), first).alias("y"))
 
 
 def daily_mean_series(df: DataFrame, key: str, t: str, y: str) -> DataFrame:
     """One row per key and day: the mean of the day."""
-    return df.groupBy(F.col(key).alias("key"), F.col(t).cast("date").alias("t")).agg(F.avg(y).alias("y"))
+    placed = df.where(F.col(key).isNotNull() & F.col(t).isNotNull())
+    return placed.groupBy(F.col(key).alias("key"), F.col(t).cast("date").alias("t")).agg(F.avg(y).alias("y"))
 
 
 def _require_daily(series: DataFrame) -> None:
@@ -88,9 +90,12 @@ def moving_average(series: DataFrame, period: int, out: str = "trend") -> DataFr
     _require_daily(series)
     half = period // 2
     w = _ordered()
-    centred = series.withColumn("__mean", F.avg("y").over(_whole())).withColumn(
-        "__run", F.sum(F.col("y") - F.col("__mean")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("__i", F.row_number().over(w))
+    # Ordered windows come first: their sort serves the whole-series ones as well.
+    centred = (
+        series.withColumn("__i", F.row_number().over(w))
+        .withColumn("__mean", F.avg("y").over(_whole()))
+        .withColumn("__run", F.sum(F.col("y") - F.col("__mean")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    )
 
     def upto(shift: int) -> Column:
         """Running sum `shift` days on; before the first day it is 0."""
@@ -110,12 +115,12 @@ def _autocorrelations(series: DataFrame, lags: int) -> DataFrame:
 
     All lags are read in one window and summed in one aggregate; no row is multiplied.
     """
-    centred = _known(series).select("key", "t", (F.col("y") - F.avg("y").over(_whole())).alias("c"))
-    lagged = centred.selectExpr(
-        "key", "c", *[f"lag(c, {k}) OVER (PARTITION BY key ORDER BY t) AS l{k}" for k in range(1, lags + 1)]
+    lagged = _known(series).selectExpr(
+        "key", "y", *[f"lag(y, {k}) OVER (PARTITION BY key ORDER BY t) AS l{k}" for k in range(1, lags + 1)]
     )
-    products = ["sum(c * c)"] + [f"sum(c * l{k})" for k in range(1, lags + 1)]
-    sums = lagged.groupBy("key").agg(F.count("*").alias("n"), F.expr(f"array({', '.join(products)})").alias("s"))
+    centred = lagged.withColumn("m", F.avg("y").over(_whole()))
+    products = ["sum((y - m) * (y - m))"] + [f"sum((y - m) * (l{k} - m))" for k in range(1, lags + 1)]
+    sums = centred.groupBy("key").agg(F.count("*").alias("n"), F.expr(f"array({', '.join(products)})").alias("s"))
     return sums.select("key", "n", F.transform("s", lambda v: F.try_divide(v, F.col("s")[0])).alias("r"))
 
 
@@ -164,9 +169,9 @@ def decompose_additive(series: DataFrame, period: int = 365) -> DataFrame:
     w = _ordered()
     known = (
         _known(series)
+        .withColumn("__phase", (F.row_number().over(w) - 1) % period)
         .withColumn("__n", F.count("*").over(_whole()))
         .where(F.col("__n") >= 2 * period)
-        .withColumn("__phase", (F.row_number().over(w) - 1) % period)
     )
     phase = Window.partitionBy("key", "__phase")
     return (

@@ -29,13 +29,13 @@ def forecast_all(
     orders: list[tuple[int, int, int]] | None = None,
     horizon: int = 365,
     train_share: float = 0.8,
-    slices: int = 4,
+    slices: int = 5,
     generated_at: object = None,
 ) -> ForecastRun:
     """Forecast run over all series.
 
     The candidates of the grid search and the test pairs feed several results and are costly,
-    so both are checkpointed; they are one row per candidate and one per test day.
+    so both are stored; they are one row per candidate and one per test day.
     """
     split = split_series(series, train_share)
     candidates = stabilise(arima_search(split.where("is_train"), orders, slices))

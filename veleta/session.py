@@ -47,10 +47,12 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stabilise(df: DataFrame) -> DataFrame:
-    """Materialise an expensive frame that several later jobs read (reliable checkpoint)."""
-    context = df.sparkSession.sparkContext
-    folder = shared_dir(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def stabilise(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Materialise a costly frame that several later jobs read.
+
+    The rows go to a parquet folder below the shared folder, so they survive lost executors,
+    and later readers take only the columns they need.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

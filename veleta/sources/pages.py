@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veleta.operators.joins import null_safe_join
+
 
 def pages_to_records(
     pages: DataFrame,
@@ -48,12 +50,12 @@ def pages_to_records(
         first = pages.select(source).distinct().select(source, F.lit(start_page).cast("bigint").alias("stop"))
     else:
         first = pages.sparkSession.range(start_page, start_page + 1).toDF("stop")
-    absent = expected.unionByName(first).join(numbers, [*keys, "stop"], "left_anti")
+    absent = null_safe_join(expected.unionByName(first), numbers, [*keys, "stop"], "left_anti")
 
     stops = by_content.unionByName(absent)
     if source:
         last = stops.groupBy(source).agg(F.min("stop").alias("__stop"))
-        kept = here.join(last, source).where(F.col(page) < F.col("__stop")).drop("__stop")
+        kept = null_safe_join(here, last, [source]).where(F.col(page) < F.col("__stop")).drop("__stop")
     else:
         kept = here.where(F.col(page) < stops.agg(F.min("stop")).scalar())
     document = T.StructType([T.StructField("results", T.ArrayType(record_schema))])

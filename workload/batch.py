@@ -240,10 +240,16 @@ def impute_stats(spark, sf_dir):
 _ROW_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
+def _row_chunks():
+    """Ship day, then ranges of order keys, so that a busy day is cut as well."""
+    return [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 4000)]
+
+
+
 @registered(f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem ORDER BY {_ROW_ORDER} LIMIT 20000")
 def row_cap(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return ordering.first_rows(items, 20000, _ROW_ORDER.split(", "), chunk="day")
+    return ordering.first_rows(items, 20000, _ROW_ORDER.split(", "), chunk=_row_chunks())
 
 
 @registered("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
@@ -281,7 +287,7 @@ FROM lineitem""")
 def row_holdout(spark, sf_dir):
     """Ordered holdout over the whole table, without any key."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    marked = ordering.ordered_holdout(items, [], _ROW_ORDER.split(", "), chunk="day")
+    marked = ordering.ordered_holdout(items, [], _ROW_ORDER.split(", "), chunk=_row_chunks())
     return marked.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "is_train")
 
 

@@ -123,8 +123,8 @@ def fill_missing(spark, sf_dir):
     """Strategy by skewness, forward fill of times by event number, most frequent kind."""
     gaps = _gaps(spark, sf_dir)
     imputer = fit_imputer(gaps, exclude=["event_id"])
-    thousands = F.floor(F.col("event_id") / 1000)
-    filled = apply_imputer(gaps, imputer, order=["event_id"], chunk=thousands)
+    ranges = [F.floor(F.col("event_id") / n) for n in (1_000_000, 1_000)]
+    filled = apply_imputer(gaps, imputer, order=["event_id"], chunk=ranges)
     return filled.withColumns({c: F.round(c, 6) for c in ("value", "code")})
 
 
