@@ -111,6 +111,13 @@ def test_split_and_holdout_round_differently(spark):
     assert split.count() == 101
 
 
+def test_earlier_positions_are_replaced(spark):
+    df = spark.range(10).withColumn("n", F.timestamp_seconds(F.col("id") * 3600))
+    once = ordering.ordered_split(df, [], ["n"])
+    again = ordering.ordered_split(once.withColumn("t", F.timestamp_seconds(-F.col("id"))), [], ["t"])
+    assert again.columns.count("n") == 1 and again.where("is_train").agg(F.min("id")).first()[0] == 2
+
+
 def test_top_k(spark):
     df = spark.createDataFrame([("a", 3.0, 1), ("a", 1.0, 2), ("a", None, 3), ("b", 1.0, 4)], "k string, aic double, g int")
     assert [r[2] for r in rows(ordering.top_k(df, "aic", 2, tiebreak=["g"]))] == [2, 4]

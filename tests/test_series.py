@@ -40,6 +40,12 @@ def test_prepare_series_keeps_the_first_value_of_a_day(spark):
     assert sorted(rows(again), key=repr) == sorted(rows(out), key=repr)
 
 
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([("a", DAY, float("nan")), ("a", DAY + dt.timedelta(days=1), 2.0)], "k string, t date, v double")
+    assert [r[2] for r in rows(series.prepare_series(df, "k", "t", "v"), "t")] == [None, 2.0]
+    assert series.acf(series.prepare_series(df, "k", "t", "v"), 3).count() == 1
+
+
 def test_series_operators_refuse_undaily_input(spark):
     with pytest.raises(TypeError):
         series.acf(spark.sql("SELECT 'a' AS key, TIMESTAMP'2024-01-01' AS t, 1.0D AS y"))
@@ -77,6 +83,9 @@ def test_acf_against_direct_sums(spark, noise):
     got = series.acf(daily(spark, a=noise, short=[1, 2, 4], flat=[3, 3, 3]), 40)
     a = [r[2] for r in rows(got.where("key = 'a'"), "lag")]
     assert a == pytest.approx(brute_acf(noise, 40)) and a[0] == 1.0
+    r = brute_acf(noise, 40)
+    bands = [0.0] + [1.959964 * np.sqrt((1 + 2 * sum(v * v for v in r[1:k])) / len(noise)) for k in range(1, 41)]
+    assert [x[3] for x in rows(got.where("key = 'a'"), "lag")] == pytest.approx(bands, rel=1e-6)
     assert [r[1] for r in rows(got.where("key = 'short'"), "lag")] == [0, 1, 2]
     assert all(r[2] is None for r in rows(got.where("key = 'flat'")))
 

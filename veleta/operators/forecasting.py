@@ -29,7 +29,9 @@ def _spread(df: DataFrame, *by: str) -> DataFrame:
     Fitting is heavy while a series is small, so sizing tasks by bytes, as adaptive execution
     does, would put all fits into one task. A fixed number of partitions is left alone.
     """
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *by)
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *by)
 
 
 def unit_root_test(series: DataFrame, alpha: float = 0.05) -> DataFrame:

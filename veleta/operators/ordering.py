@@ -59,13 +59,13 @@ def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk)
 
 
 def _offsets(counts: DataFrame, cut: _Cut, depth: int) -> DataFrame:
-    """Append to chunk counts the rows before the chunk (`__offset`) and in the key (`n`)."""
+    """Append to chunk counts the rows before the chunk (`__offset`) and in the key (`__n`)."""
     here = counts.withColumn("__offset", F.coalesce(F.sum("__rows").over(cut.before(depth)), F.lit(0)))
     if depth == 0:
-        return here.withColumn("n", F.sum("__rows").over(Window.partitionBy(*cut.keys)))
+        return here.withColumn("__n", F.sum("__rows").over(Window.partitionBy(*cut.keys)))
     coarse = cut.group(depth)
     upper = _offsets(counts.groupBy(*coarse).agg(F.sum("__rows").alias("__rows")), cut, depth - 1)
-    upper = upper.select(*coarse, F.col("__offset").alias("__upper"), "n")
+    upper = upper.select(*coarse, F.col("__offset").alias("__upper"), "__n")
     return here.join(upper, coarse).withColumn("__offset", F.col("__offset") + F.col("__upper")).drop("__upper")
 
 
@@ -75,17 +75,17 @@ def _chunk_offsets(cut: _Cut) -> DataFrame:
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk = "hour") -> DataFrame:
-    """Append `pos` (from 1) and `n`, the rows of the key (WIN1).
+    """Append `pos` (from 1) and `n`, the rows of the key (WIN1); columns of these names are replaced.
 
     `order` must tell rows of a key apart; NULL comes first.
     """
     cut = _cut(df, keys, order, chunk)
     inside = Window.partitionBy(*cut.group()).orderBy(*order)
     ranked = cut.rows.withColumn("__rank", F.row_number().over(inside))
-    return (
-        ranked.join(_chunk_offsets(cut).drop("__rows"), cut.group())
-        .withColumn("pos", F.col("__offset") + F.col("__rank"))
-        .select(*df.columns, "pos", "n")
+    return ranked.join(_chunk_offsets(cut).drop("__rows"), cut.group()).select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in ("pos", "n")],
+        (F.col("__offset") + F.col("__rank")).alias("pos"),
+        F.col("__n").alias("n"),
     )
 
 

@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _number(y: str) -> Column:
+    """Double, with NaN taken for a missing value."""
+    return F.nanvl(F.col(y).cast("double"), F.lit(None))
+
+
+# Two-sided 95 % point of the normal distribution.
+Z_95 = 1.959963984540054
+
+
 def prepare_series(df: DataFrame, key: str, t: str, y: str, tiebreak: str | None = None) -> DataFrame:
     """One row per key and day: the first value of the day by `tiebreak` (TSA1).
 
@@ -24,13 +33,15 @@ def prepare_series(df: DataFrame, key: str, t: str, y: str, tiebreak: str | None
     moment = F.col(t) if not isinstance(df.schema[t].dataType, T.StringType) else F.try_to_timestamp(F.col(t))
     first = F.col(tiebreak) if tiebreak else F.struct(moment, F.col(y).cast("double"))
     placed = df.where(F.col(key).isNotNull() & moment.isNotNull())
-    return placed.groupBy(F.col(key).alias("key"), moment.cast("date").alias("t")).agg(F.min_by(F.col(y).cast("double"), first).alias("y"))
+    return placed.groupBy(F.col(key).alias("key"), moment.cast("date").alias("t")).agg(
+        F.min_by(_number(y), first).alias("y")
+    )
 
 
 def daily_mean_series(df: DataFrame, key: str, t: str, y: str) -> DataFrame:
     """One row per key and day: the mean of the day."""
     placed = df.where(F.col(key).isNotNull() & F.col(t).isNotNull())
-    return placed.groupBy(F.col(key).alias("key"), F.col(t).cast("date").alias("t")).agg(F.avg(y).alias("y"))
+    return placed.groupBy(F.col(key).alias("key"), F.col(t).cast("date").alias("t")).agg(F.avg(_number(y)).alias("y"))
 
 
 def _require_daily(series: DataFrame) -> None:
@@ -125,9 +136,16 @@ def _autocorrelations(series: DataFrame, lags: int) -> DataFrame:
 
 
 def acf(series: DataFrame, lags: int = 40) -> DataFrame:
-    """Autocorrelation table (TSA3, WIN8): key, lag, acf for every lag shorter than the series."""
+    """Autocorrelation table (TSA3, WIN8): key, lag, acf, bound for every lag below the length.
+
+    `bound` is the half-width of Bartlett's 95 % band around zero, as a correlogram draws it.
+    """
     r = _autocorrelations(series, lags)
-    return r.select("key", "n", F.posexplode("r").alias("lag", "acf")).where("lag < n").select("key", "lag", "acf")
+    # Variance at lag k: (1 + twice the squares at lags 1 to k-1) / n; none at lag 0.
+    squares = "aggregate(slice(r, 2, greatest(lag - 1, 0)), 0D, (s, v) -> s + v * v)"
+    bound = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(F.lit(Z_95) * F.expr(f"sqrt((1 + 2 * {squares}) / n)"))
+    table = r.select("key", "n", "r", F.posexplode("r").alias("lag", "acf")).where("lag < n")
+    return table.select("key", "lag", "acf", bound.alias("bound"))
 
 
 def pacf(series: DataFrame, lags: int = 40) -> DataFrame:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from veleta.operators import forecasting, series
 from veleta.operators.imputation import apply_imputer, fit_imputer
+from veleta.operators.metrics import forecast_metrics
+from veleta.operators.ordering import ordered_holdout
 from veleta.operators.search import calendar_features, load_model, model_search, prepare_features, save_model
 from veleta.operators.search import score
 from veleta.plans.forecasting import forecast_all
@@ -87,6 +90,140 @@ def forecast_summary(spark, sf_dir):
     return forecast_all(order_series(spark, sf_dir), ORDERS).summary
 
 
+# --- autoregressions, which SQL can fit ---------------------------------------------------
+
+AR_ORDERS = [(0, 0, 0), (0, 1, 0), (1, 0, 0), (1, 1, 0)]
+
+# Conditional least squares of the four orders over train days 3 to the last.
+AR_SQL = SERIES_SQL + """,
+train AS (SELECT * FROM placed WHERE pos <= floor(0.8e0 * n)),
+lagged AS (SELECT *, lag(y) OVER w AS y1, lag(y, 2) OVER w AS y2 FROM train WINDOW w AS (PARTITION BY key ORDER BY t)),
+errors AS (
+  SELECT key, count(*) AS m, var_pop(y) * count(*) AS e000, sum((y - y1) ** 2) AS e010,
+         regr_syy(y, y1) - regr_sxy(y, y1) ** 2 / regr_sxx(y, y1) AS e100,
+         sum((y - y1) ** 2) - sum((y - y1) * (y1 - y2)) ** 2 / sum((y1 - y2) ** 2) AS e110
+  FROM lagged WHERE pos > 2 GROUP BY key
+),
+fits AS (
+  SELECT key, 0 AS p, 0 AS d, 0 AS grid_pos, m, e000 AS sse, 2 AS k FROM errors
+  UNION ALL SELECT key, 0, 1, 1, m, e010, 1 FROM errors
+  UNION ALL SELECT key, 1, 0, 2, m, e100, 3 FROM errors
+  UNION ALL SELECT key, 1, 1, 3, m, e110, 2 FROM errors
+),
+rated AS (SELECT *, m * (ln(2 * pi() * sse / m) + 1) AS dev FROM fits)"""
+
+
+@registered(f"""WITH {AR_SQL}
+SELECT key, p, d, 0 AS q, grid_pos, round(dev + 2 * k, 4) AS aic, round(dev + ln(m) * k, 4) AS bic, m AS nobs FROM rated""")
+def ar_search(spark, sf_dir):
+    out = forecasting.arima_search(_train(spark, sf_dir), AR_ORDERS)
+    return out.withColumns({c: F.round(c, 4) for c in ("aic", "bic")})
+
+
+@registered(f"""WITH {AR_SQL}
+SELECT key, p, d, 0 AS q, round(dev + 2 * k, 4) AS aic FROM rated
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY dev + 2 * k, grid_pos) = 1""")
+def ar_best_order(spark, sf_dir):
+    found = forecasting.best_order(forecasting.arima_search(_train(spark, sf_dir), AR_ORDERS))
+    return found.withColumn("aic", F.round("aic", 4))
+
+
+# One lag with a constant, fitted over all days but the first of the given rows.
+AR1_SQL = """
+ar1 AS (
+  SELECT key, count(*) AS m, regr_intercept(y, y1) AS c, regr_slope(y, y1) AS phi, avg(y1) AS mean1,
+         regr_sxx(y, y1) AS sxx, (regr_syy(y, y1) - regr_sxy(y, y1) ** 2 / regr_sxx(y, y1)) / count(*) AS sigma2,
+         max_by(y, t) AS last_y, max(t) AS last_t
+  FROM {rows} WHERE y1 IS NOT NULL GROUP BY key
+)"""
+
+
+def _ar1_orders(spark, sf_dir):
+    keys = order_series(spark, sf_dir).select("key").distinct()
+    return keys.select("key", F.lit(1).alias("p"), F.lit(0).alias("d"), F.lit(0).alias("q"))
+
+
+@registered(f"""WITH {AR_SQL}, {AR1_SQL.format(rows='lagged')}
+SELECT key, 'const' AS name, round(c, 3) AS value, round(sqrt(sigma2 * (1.0e0 / m + mean1 ** 2 / sxx)), 3) AS std_err FROM ar1
+UNION ALL SELECT key, 'ar1', round(phi, 8), round(sqrt(sigma2 / sxx), 8) FROM ar1
+UNION ALL SELECT key, 'sigma2', round(sigma2, 0), NULL FROM ar1""")
+def ar1_parameters(spark, sf_dir):
+    out = forecasting.arima_parameters(_train(spark, sf_dir), _ar1_orders(spark, sf_dir))
+    digits = lambda c: F.when(F.col("name") == "ar1", F.round(c, 8)).otherwise(F.round(c, 3))
+    return out.select(
+        "key", "name", F.when(F.col("name") == "sigma2", F.round("value", 0)).otherwise(digits("value")).alias("value"),
+        digits("std_err").alias("std_err"),
+    )
+
+
+@registered(f"""WITH {AR_SQL}, {AR1_SQL.format(rows='lagged')},
+pairs AS (
+  SELECT p.key, y, c / (1 - phi) + phi ** (pos - floor(0.8e0 * n)) * (last_y - c / (1 - phi)) AS yhat
+  FROM placed p JOIN ar1 ON ar1.key = p.key WHERE pos > floor(0.8e0 * n)
+)
+SELECT key, count(*) AS n, round(sqrt(avg((y - yhat) ** 2)), 3) AS rmse, round(avg(abs(y - yhat)), 3) AS mae,
+       round(1 - sum((y - yhat) ** 2) / (var_pop(y) * count(*)), 6) AS r2,
+       round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 5) AS mape FROM pairs GROUP BY key""")
+def ar1_test_metrics(spark, sf_dir):
+    split = series.split_series(order_series(spark, sf_dir))
+    pairs = forecasting.forecast_test_span(split, _ar1_orders(spark, sf_dir))
+    out = forecast_metrics(pairs, ["key"]).drop("mse")
+    return out.withColumns({c: F.round(c, n) for c, n in {"rmse": 3, "mae": 3, "r2": 6, "mape": 5}.items()})
+
+
+# Search between mean and one lag, test, refit on all days, forecast 30 days, attach errors.
+RUN_SQL = AR_SQL + ", " + AR1_SQL.format(rows="lagged") + """,
+chosen AS (
+  SELECT key, CASE WHEN sse1 > 0 AND m * ln(sse1 / m) + 2 < m * ln(sse0 / m) THEN 1 ELSE 0 END AS p
+  FROM (SELECT key, count(*) AS m, var_pop(y) * count(*) AS sse0,
+               regr_syy(y, y1) - regr_sxy(y, y1) ** 2 / regr_sxx(y, y1) AS sse1
+        FROM lagged WHERE pos > 1 GROUP BY key) e
+),
+levels AS (SELECT key, avg(y) AS mean FROM train GROUP BY key),
+pairs AS (
+  SELECT s.key, y, CASE WHEN p = 0 THEN mean
+    ELSE c / (1 - phi) + phi ** (pos - floor(0.8e0 * n)) * (last_y - c / (1 - phi)) END AS yhat
+  FROM placed s JOIN ar1 ON ar1.key = s.key JOIN chosen ON chosen.key = s.key JOIN levels ON levels.key = s.key
+  WHERE pos > floor(0.8e0 * n)
+),
+errs AS (
+  SELECT key, sqrt(avg((y - yhat) ** 2)) AS rmse, avg(abs(y - yhat)) AS mae,
+         1 - sum((y - yhat) ** 2) / (var_pop(y) * count(*)) AS r2,
+         avg(abs((y - yhat) / nullif(y, 0))) * 100 AS mape FROM pairs GROUP BY key
+),
+every_day AS (SELECT *, lag(y) OVER (PARTITION BY key ORDER BY t) AS y1 FROM placed),
+refit AS (
+  SELECT key, avg(y) AS mean, regr_intercept(y, y1) AS c, regr_slope(y, y1) AS phi, max_by(y, t) AS last_y, max(t) AS last_t
+  FROM every_day GROUP BY key
+)"""
+RUN_ORDERS = [(0, 0, 0), (1, 0, 0)]
+
+
+@registered(f"""WITH {RUN_SQL}
+SELECT CAST(last_t + CAST(step AS INTEGER) AS DATE) AS fecha, r.key AS "CodigoNacional",
+       round(CASE WHEN p = 0 THEN mean ELSE c / (1 - phi) + phi ** step * (last_y - c / (1 - phi)) END, 3) AS vviento_pred_ms,
+       'ARIMA(' || p || ', 0, 0)' AS modelo_viento, TIMESTAMP '2024-02-01' AS fecha_generacion,
+       round(rmse, 3) AS rmse_viento, round(r2, 6) AS r2_viento, round(mape, 5) AS mape_viento
+FROM refit r JOIN chosen ON chosen.key = r.key JOIN errs ON errs.key = r.key, (SELECT unnest(range(1, 31)) AS step) s""")
+def ar_run_published(spark, sf_dir):
+    out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30, generated_at=STAMP).published
+    digits = {"vviento_pred_ms": 3, "rmse_viento": 3, "r2_viento": 6, "mape_viento": 5}
+    return out.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@registered(f"""WITH {RUN_SQL}
+SELECT s.key, count(*) AS n_rows, min(t) AS first_day, max(t) AS last_day, count_if(pos <= floor(0.8e0 * n)) AS n_train,
+       count_if(pos > floor(0.8e0 * n)) AS n_test, 'ARIMA(' || any_value(p) || ', 0, 0)' AS model,
+       round(any_value(rmse), 3) AS rmse, round(any_value(mae), 3) AS mae, round(any_value(r2), 6) AS r2,
+       round(any_value(mape), 5) AS mape, round(count_if(pos <= floor(0.8e0 * n)) / count(*), 6) AS train_share,
+       30 AS forecast_days, CAST(max(t) + 1 AS DATE) AS forecast_from, CAST(max(t) + 30 AS DATE) AS forecast_to
+FROM placed s JOIN chosen ON chosen.key = s.key JOIN errs ON errs.key = s.key GROUP BY s.key""")
+def ar_run_summary(spark, sf_dir):
+    out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30).summary
+    digits = {"rmse": 3, "mae": 3, "r2": 6, "mape": 5, "train_share": 6}
+    return out.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
 # --- imputation --------------------------------------------------------------------------
 
 _GAPS_SQL = """
@@ -190,3 +327,22 @@ def batch_score(spark, sf_dir):
     save_model(model, root, "viento", 1)
     test = calendar_features(p.test, "fecha")
     return score(load_model(root, "viento", 1), test, keep=["CodigoNacional", "fecha"])
+
+
+@registered("""
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS fecha, avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS k,
+                  avg(value) AS y FROM events GROUP BY 1, 2),
+p AS (SELECT *, row_number() OVER (ORDER BY fecha, user_id) AS pos, count(*) OVER () AS n FROM d),
+fit AS (SELECT regr_intercept(y, k) AS a, regr_slope(y, k) AS b FROM p WHERE pos <= n - floor(0.2e0 * n))
+SELECT user_id, fecha, round(a + b * k, 3) AS value FROM p, fit WHERE pos > n - floor(0.2e0 * n)""")
+def linear_score(spark, sf_dir):
+    """Search with one plain linear learner, scored on the held-out days; SQL can fit it."""
+    daily = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("fecha")).agg(
+        F.avg(F.get_json_object("props", "$.k").cast("double")).alias("k"), F.avg("value").alias("y")
+    )
+    order = ["fecha", "user_id"]
+    marked = stabilise(ordered_holdout(daily, [], order, chunk="day"))
+    space = {"linear": (LinearRegression, {"regParam": [0.0], "solver": ["normal"]})}
+    model, _ = model_search(marked.where("is_train"), "y", ["k"], order, max_trials=1, space=space)
+    out = model.transform(marked.where("NOT is_train"))
+    return out.select("user_id", "fecha", F.round("prediction", 3).alias("value"))

@@ -54,17 +54,35 @@ def moving_average(spark, sf_dir):
     return out.select("key", "t", F.round("trend", 4).alias("trend"))
 
 
-@registered(f"""WITH {SERIES_SQL},
-centred AS (SELECT key, pos, y - avg(y) OVER (PARTITION BY key) AS c FROM placed),
-lags AS (SELECT unnest(range(0, 41)) AS lag)
-SELECT a.key, CAST(lag AS INTEGER) AS lag, round(sum(a.c * b.c) / any_value(v.total), 6) AS acf
-FROM centred a CROSS JOIN lags JOIN centred b ON b.key = a.key AND b.pos = a.pos + lag
-JOIN (SELECT key, sum(c * c) AS total FROM centred GROUP BY key) v ON v.key = a.key GROUP BY a.key, lag""")
+ACF_SQL = SERIES_SQL + """,
+centred AS (SELECT key, pos, n, y - avg(y) OVER (PARTITION BY key) AS c FROM placed),
+lags AS (SELECT unnest(range(0, 41)) AS lag),
+acf AS (
+  SELECT a.key, CAST(lag AS INTEGER) AS lag, sum(a.c * b.c) / any_value(v.total) AS acf, any_value(a.n) AS n
+  FROM centred a CROSS JOIN lags JOIN centred b ON b.key = a.key AND b.pos = a.pos + lag
+  JOIN (SELECT key, sum(c * c) AS total FROM centred GROUP BY key) v ON v.key = a.key GROUP BY a.key, lag
+)"""
+
+
+@registered(f"""WITH {ACF_SQL}
+SELECT key, lag, round(acf, 6) AS acf,
+       round(CASE WHEN lag = 0 THEN 0 ELSE 1.959963984540054e0 * sqrt((1 + 2 * coalesce(sum(CASE WHEN lag > 0 THEN acf * acf END)
+         OVER (PARTITION BY key ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n) END, 6) AS bound
+FROM acf""")
 def acf(spark, sf_dir):
-    return series.acf(order_series(spark, sf_dir)).withColumn("acf", F.round("acf", 6))
-
-
-@registered()
+    return series.acf(order_series(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("acf", "bound")})
+
+
+@registered(f"""WITH RECURSIVE {ACF_SQL},
+arrays AS (SELECT key, list(acf ORDER BY lag) AS r FROM acf GROUP BY key),
+steps AS (
+  SELECT key, r, 1 AS k, [r[2]] AS phi, r[2] AS alpha FROM arrays
+  UNION ALL
+  SELECT key, r, k + 1, list_append(list_transform(phi, lambda x, j: x - next * phi[k + 1 - j]), next), next
+  FROM (SELECT *, (r[k + 2] - list_dot_product(phi, list_reverse(r[2:k + 1])))
+               / (1 - list_dot_product(phi, r[2:k + 1])) AS next FROM steps WHERE k < 40) s
+)
+SELECT key, 0 AS lag, 1.0e0 AS pacf FROM arrays UNION ALL SELECT key, CAST(k AS INTEGER), round(alpha, 6) FROM steps""")
 def pacf(spark, sf_dir):
     return series.pacf(order_series(spark, sf_dir)).withColumn("pacf", F.round("pacf", 6))
 
