@@ -41,34 +41,44 @@ class _Hunt:
 
 
 def _narrow(df: DataFrame, hunts: list[_Hunt]) -> list[_Hunt]:
+    # Ranks that are sought in the same interval of a column share one sketch and its probes.
+    shared: dict[tuple, list[_Hunt]] = {}
+    for h in hunts:
+        shared.setdefault((h.col, h.lo, h.hi), []).append(h)
+    intervals = list(shared)
     proposals = []
-    for i, h in enumerate(hunts):
-        at = (h.rank - h.below) / h.inside
-        shares = [min(1.0, max(0.0, at + d)) for d in (-2 / _SKETCH, 0.0, 2 / _SKETCH)]
-        proposals.append(F.percentile_approx(h.value(), shares, _SKETCH).alias(str(i)))
-    probes = [sorted(set(p)) for p in df.agg(*proposals).first()]
+    for i, where in enumerate(intervals):
+        shares = set()
+        for h in shared[where]:
+            share = (h.rank - h.below) / h.inside
+            shares |= {min(1.0, max(0.0, share + d)) for d in (-2 / _SKETCH, 0.0, 2 / _SKETCH)}
+        value = shared[where][0].value()
+        proposals.append(F.percentile_approx(value, sorted(shares), _SKETCH).alias(str(i)))
+    found = {where: sorted(set(p)) for where, p in zip(intervals, df.agg(*proposals).first())}
 
     counts = []
-    for i, h in enumerate(hunts):
-        v = h.value()
-        for j, p in enumerate(probes[i]):
+    for i, where in enumerate(intervals):
+        v = shared[where][0].value()
+        for j, p in enumerate(found[where]):
             counts.append(F.count_if(v < F.lit(p)).alias(f"lt_{i}_{j}"))
             counts.append(F.count_if(v == F.lit(p)).alias(f"eq_{i}_{j}"))
     seen = df.agg(*counts).first()
+    at = {where: i for i, where in enumerate(intervals)}
 
     out = []
-    for i, h in enumerate(hunts):
-        lo, below, hi, upto, found = h.lo, h.below, h.hi, h.below + h.inside, None
-        for j, p in enumerate(probes[i]):
+    for h in hunts:
+        i, probes = at[h.col, h.lo, h.hi], found[h.col, h.lo, h.hi]
+        lo, below, hi, upto, value = h.lo, h.below, h.hi, h.below + h.inside, None
+        for j, p in enumerate(probes):
             less = h.below + seen[f"lt_{i}_{j}"]
             up_to = less + seen[f"eq_{i}_{j}"]
             if less < h.rank <= up_to:
-                found = p
+                value = p
             elif up_to < h.rank:
                 lo, below = p, up_to
             elif less < upto:
                 hi, upto = p, less
-        out.append(replace(h, lo=lo, hi=hi, below=below, inside=upto - below, found=found))
+        out.append(replace(h, lo=lo, hi=hi, below=below, inside=upto - below, found=value))
     return out
 
 
