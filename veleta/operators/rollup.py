@@ -55,7 +55,7 @@ def day_rollup(obs: DataFrame, year_name: str = "año") -> DataFrame:
     )
 
 
-def month_rollup(obs: DataFrame, digits: int = 2) -> DataFrame:
+def month_rollup(obs: DataFrame, digits: int | None = 2) -> DataFrame:
     """Station and month: greatest direction under both names, rounded mean speed (AGG2)."""
     rolled = calendar_rollup(
         obs,
@@ -72,7 +72,7 @@ def month_rollup(obs: DataFrame, digits: int = 2) -> DataFrame:
     return rolled.select("anno", "mes", "Dir_racha1", "Dir_racha2", "vv_viento_promedio", "CodigoNacional")
 
 
-def station_daily_mean(obs: DataFrame, digits: int = 2) -> DataFrame:
+def station_daily_mean(obs: DataFrame, digits: int | None = 2) -> DataFrame:
     """Station and day: rounded mean speed with its calendar parts (AGG3).
 
     Grouping is on station and date; year, month and day follow from the date afterwards, so

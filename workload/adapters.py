@@ -168,13 +168,17 @@ labelled AS (SELECT * EXCLUDE (_ingested),
 
 
 def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean order value per day for each of the five priorities."""
-    return daily_mean_series(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "o_totalprice")
+    """Logarithm of the mean order value per day for each of the five priorities.
+
+    Means of whole cents fall on halves of the last digit when rounded; their logarithms do not.
+    """
+    daily = daily_mean_series(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "o_totalprice")
+    return daily.withColumn("y", F.log("y"))
 
 
 SERIES_SQL = """
 series AS (
-  SELECT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS t, avg(o_totalprice) AS y
+  SELECT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS t, ln(avg(o_totalprice)) AS y
   FROM orders GROUP BY 1, 2
 ),
 placed AS (

@@ -61,23 +61,23 @@ def arima_forecast(spark, sf_dir):
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE) AS t, round(mean, 4) AS yhat
+SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE) AS t, round(mean, 9) AS yhat
 FROM (SELECT key, max(t) AS last, avg(y) AS mean FROM series GROUP BY key) l, (SELECT unnest(range(1, 366)) AS step) s""")
 def mean_model_forecast(spark, sf_dir):
     """Order (0, 0, 0) forecasts the mean of the series, which SQL can check."""
     s = order_series(spark, sf_dir)
     order = s.select("key").distinct().select("key", *[F.lit(0).alias(c) for c in "pdq"])
-    return forecasting.future_forecast(s, order).select("key", "t", F.round("yhat", 4).alias("yhat"))
+    return forecasting.future_forecast(s, order).select("key", "t", F.round("yhat", 9).alias("yhat"))
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE) AS t, round(y, 4) AS yhat
+SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE) AS t, round(y, 9) AS yhat
 FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 31)) AS step) s""")
 def random_walk_forecast(spark, sf_dir):
     """Order (0, 1, 0) carries the last value on, which SQL can check."""
     s = order_series(spark, sf_dir)
     order = s.select("key").distinct().select("key", F.lit(0).alias("p"), F.lit(1).alias("d"), F.lit(0).alias("q"))
-    return forecasting.future_forecast(s, order, 30).select("key", "t", F.round("yhat", 4).alias("yhat"))
+    return forecasting.future_forecast(s, order, 30).select("key", "t", F.round("yhat", 9).alias("yhat"))
 
 
 @registered()
@@ -144,16 +144,12 @@ def _ar1_orders(spark, sf_dir):
 
 
 @registered(f"""WITH {AR_SQL}, {AR1_SQL.format(rows='lagged')}
-SELECT key, 'const' AS name, round(c, 3) AS value, round(sqrt(sigma2 * (1.0e0 / m + mean1 ** 2 / sxx)), 3) AS std_err FROM ar1
+SELECT key, 'const' AS name, round(c, 8) AS value, round(sqrt(sigma2 * (1.0e0 / m + mean1 ** 2 / sxx)), 8) AS std_err FROM ar1
 UNION ALL SELECT key, 'ar1', round(phi, 8), round(sqrt(sigma2 / sxx), 8) FROM ar1
-UNION ALL SELECT key, 'sigma2', round(sigma2, 0), NULL FROM ar1""")
+UNION ALL SELECT key, 'sigma2', round(sigma2, 8), NULL FROM ar1""")
 def ar1_parameters(spark, sf_dir):
     out = forecasting.arima_parameters(_train(spark, sf_dir), _ar1_orders(spark, sf_dir))
-    digits = lambda c: F.when(F.col("name") == "ar1", F.round(c, 8)).otherwise(F.round(c, 3))
-    return out.select(
-        "key", "name", F.when(F.col("name") == "sigma2", F.round("value", 0)).otherwise(digits("value")).alias("value"),
-        digits("std_err").alias("std_err"),
-    )
+    return out.withColumns({c: F.round(c, 8) for c in ("value", "std_err")})
 
 
 @registered(f"""WITH {AR_SQL}, {AR1_SQL.format(rows='lagged')},
@@ -161,14 +157,14 @@ pairs AS (
   SELECT p.key, y, c / (1 - phi) + phi ** (pos - floor(0.8e0 * n)) * (last_y - c / (1 - phi)) AS yhat
   FROM placed p JOIN ar1 ON ar1.key = p.key WHERE pos > floor(0.8e0 * n)
 )
-SELECT key, count(*) AS n, round(sqrt(avg((y - yhat) ** 2)), 3) AS rmse, round(avg(abs(y - yhat)), 3) AS mae,
+SELECT key, count(*) AS n, round(sqrt(avg((y - yhat) ** 2)), 8) AS rmse, round(avg(abs(y - yhat)), 8) AS mae,
        round(1 - sum((y - yhat) ** 2) / (var_pop(y) * count(*)), 6) AS r2,
        round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 5) AS mape FROM pairs GROUP BY key""")
 def ar1_test_metrics(spark, sf_dir):
     split = series.split_series(order_series(spark, sf_dir))
     pairs = forecasting.forecast_test_span(split, _ar1_orders(spark, sf_dir))
     out = forecast_metrics(pairs, ["key"]).drop("mse")
-    return out.withColumns({c: F.round(c, n) for c, n in {"rmse": 3, "mae": 3, "r2": 6, "mape": 5}.items()})
+    return out.withColumns({c: F.round(c, n) for c, n in {"rmse": 8, "mae": 8, "r2": 6, "mape": 5}.items()})
 
 
 # Search between mean and one lag, test, refit on all days, forecast 30 days, attach errors.
@@ -201,26 +197,26 @@ RUN_ORDERS = [(0, 0, 0), (1, 0, 0)]
 
 @registered(f"""WITH {RUN_SQL}
 SELECT CAST(last_t + CAST(step AS INTEGER) AS DATE) AS fecha, r.key AS "CodigoNacional",
-       round(CASE WHEN p = 0 THEN mean ELSE c / (1 - phi) + phi ** step * (last_y - c / (1 - phi)) END, 3) AS vviento_pred_ms,
+       round(CASE WHEN p = 0 THEN mean ELSE c / (1 - phi) + phi ** step * (last_y - c / (1 - phi)) END, 8) AS vviento_pred_ms,
        'ARIMA(' || p || ', 0, 0)' AS modelo_viento, TIMESTAMP '2024-02-01' AS fecha_generacion,
-       round(rmse, 3) AS rmse_viento, round(r2, 6) AS r2_viento, round(mape, 5) AS mape_viento
+       round(rmse, 8) AS rmse_viento, round(r2, 6) AS r2_viento, round(mape, 5) AS mape_viento
 FROM refit r JOIN chosen ON chosen.key = r.key JOIN errs ON errs.key = r.key, (SELECT unnest(range(1, 31)) AS step) s""")
 def ar_run_published(spark, sf_dir):
     out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30, generated_at=STAMP).published
-    digits = {"vviento_pred_ms": 3, "rmse_viento": 3, "r2_viento": 6, "mape_viento": 5}
+    digits = {"vviento_pred_ms": 8, "rmse_viento": 8, "r2_viento": 6, "mape_viento": 5}
     return out.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 @registered(f"""WITH {RUN_SQL}
 SELECT s.key, count(*) AS n_rows, min(t) AS first_day, max(t) AS last_day, count_if(pos <= floor(0.8e0 * n)) AS n_train,
        count_if(pos > floor(0.8e0 * n)) AS n_test, 'ARIMA(' || any_value(p) || ', 0, 0)' AS model,
-       round(any_value(rmse), 3) AS rmse, round(any_value(mae), 3) AS mae, round(any_value(r2), 6) AS r2,
+       round(any_value(rmse), 8) AS rmse, round(any_value(mae), 8) AS mae, round(any_value(r2), 6) AS r2,
        round(any_value(mape), 5) AS mape, round(count_if(pos <= floor(0.8e0 * n)) / count(*), 6) AS train_share,
        30 AS forecast_days, CAST(max(t) + 1 AS DATE) AS forecast_from, CAST(max(t) + 30 AS DATE) AS forecast_to
 FROM placed s JOIN chosen ON chosen.key = s.key JOIN errs ON errs.key = s.key GROUP BY s.key""")
 def ar_run_summary(spark, sf_dir):
     out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30).summary
-    digits = {"rmse": 3, "mae": 3, "r2": 6, "mape": 5, "train_share": 6}
+    digits = {"rmse": 8, "mae": 8, "r2": 6, "mape": 5, "train_share": 6}
     return out.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 

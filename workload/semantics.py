@@ -29,7 +29,7 @@ monthly AS (
 
 def wind_model(spark, sf_dir) -> SemanticModel:
     return SemanticModel(
-        fact=month_rollup(wind_fact(wind_obs(spark, sf_dir)), digits=12),
+        fact=month_rollup(wind_fact(wind_obs(spark, sf_dir)), digits=None),
         dims={"dim_estaciones": stations(spark, sf_dir)},
         relationships=[Relationship("CodigoNacional", "dim_estaciones", "CodigoNacional")],
         measures={
@@ -44,22 +44,22 @@ def wind_model(spark, sf_dir) -> SemanticModel:
 
 
 @registered(f"""WITH {MONTHLY_SQL}
-SELECT CAST(anno AS INTEGER) AS anno, CAST(mes AS INTEGER) AS mes, round(sum(vv_viento_promedio), 6) AS VelocidadViento
+SELECT CAST(anno AS INTEGER) AS anno, CAST(mes AS INTEGER) AS mes, round(sum(vv_viento_promedio), 9) AS VelocidadViento
 FROM monthly GROUP BY 1, 2 ORDER BY 1, 2""")
 def measure_by_month(spark, sf_dir):
     out = wind_model(spark, sf_dir).query(["anno", "mes"], ["VelocidadViento"], order=["anno", "mes"])
-    return out.withColumn("VelocidadViento", F.round("VelocidadViento", 6))
+    return out.withColumn("VelocidadViento", F.round("VelocidadViento", 9))
 
 
 @registered(f"""WITH {MONTHLY_SQL}
-SELECT nombreEstacion, CAST(mes AS INTEGER) AS mes, round(sum(vv_viento_promedio), 6) AS VelocidadViento,
-       round(avg(vv_viento_promedio), 6) AS VelocidadMedia
+SELECT nombreEstacion, CAST(mes AS INTEGER) AS mes, round(sum(vv_viento_promedio), 9) AS VelocidadViento,
+       round(avg(vv_viento_promedio), 9) AS VelocidadMedia
 FROM monthly LEFT JOIN stations USING (CodigoNacional) GROUP BY 1, 2""")
 def measure_by_station_name(spark, sf_dir):
     out = wind_model(spark, sf_dir).query(
         ["dim_estaciones.nombreEstacion", "mes"], ["VelocidadViento", "VelocidadMedia"]
     )
-    return out.withColumns({c: F.round(c, 6) for c in ("VelocidadViento", "VelocidadMedia")})
+    return out.withColumns({c: F.round(c, 9) for c in ("VelocidadViento", "VelocidadMedia")})
 
 
 @registered(f"""WITH {FACT_SQL}, {STATION_SQL}
@@ -101,21 +101,21 @@ def cross_filtered_facts(spark, sf_dir):
 
 
 @registered(f"""WITH {MONTHLY_SQL}
-SELECT CAST(anno AS INTEGER) AS anno, CAST(mes AS INTEGER) AS mes, round(sum(vv_viento_promedio), 6) AS VelocidadViento
+SELECT CAST(anno AS INTEGER) AS anno, CAST(mes AS INTEGER) AS mes, round(sum(vv_viento_promedio), 9) AS VelocidadViento
 FROM monthly WHERE CodigoNacional IN (SELECT CodigoNacional FROM stations WHERE nombreEstacion = 'EST-21') GROUP BY 1, 2""")
 def cross_filtered_measure(spark, sf_dir):
     out = wind_model(spark, sf_dir).query(
         ["anno", "mes"], ["VelocidadViento"], selections={"dim_estaciones": F.col("nombreEstacion") == "EST-21"}
     )
-    return out.withColumn("VelocidadViento", F.round("VelocidadViento", 6))
+    return out.withColumn("VelocidadViento", F.round("VelocidadViento", 9))
 
 
 @registered(f"""WITH {MONTHLY_SQL}
 SELECT CodigoNacional, sum(anno) :: BIGINT AS anno, sum(mes) :: BIGINT AS mes, sum(Dir_racha1) AS Dir_racha1,
-       sum(Dir_racha2) AS Dir_racha2, round(sum(vv_viento_promedio), 6) AS vv_viento_promedio FROM monthly GROUP BY 1""")
+       sum(Dir_racha2) AS Dir_racha2, round(sum(vv_viento_promedio), 9) AS vv_viento_promedio FROM monthly GROUP BY 1""")
 def default_summary(spark, sf_dir):
     out = wind_model(spark, sf_dir).default_summary(["CodigoNacional"])
-    return out.withColumn("vv_viento_promedio", F.round("vv_viento_promedio", 6))
+    return out.withColumn("vv_viento_promedio", F.round("vv_viento_promedio", 9))
 
 
 _SCORED = SCORED_SQL.format(where="")

@@ -34,24 +34,24 @@ def ordered_holdout(spark, sf_dir):
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, t, round(y - lag(y) OVER w, 4) AS dy FROM series WINDOW w AS (PARTITION BY key ORDER BY t)""")
+SELECT key, t, round(y - lag(y) OVER w, 9) AS dy FROM series WINDOW w AS (PARTITION BY key ORDER BY t)""")
 def difference_d1(spark, sf_dir):
-    return series.difference(order_series(spark, sf_dir), 1).select("key", "t", F.round("dy", 4).alias("dy"))
+    return series.difference(order_series(spark, sf_dir), 1).select("key", "t", F.round("dy", 9).alias("dy"))
 
 
 @registered(f"""WITH {SERIES_SQL},
 first AS (SELECT key, t, y - lag(y) OVER (PARTITION BY key ORDER BY t) AS dy FROM series)
-SELECT key, t, round(dy - lag(dy) OVER (PARTITION BY key ORDER BY t), 4) AS dy FROM first""")
+SELECT key, t, round(dy - lag(dy) OVER (PARTITION BY key ORDER BY t), 9) AS dy FROM first""")
 def difference_d2(spark, sf_dir):
-    return series.difference(order_series(spark, sf_dir), 2).select("key", "t", F.round("dy", 4).alias("dy"))
+    return series.difference(order_series(spark, sf_dir), 2).select("key", "t", F.round("dy", 9).alias("dy"))
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, t, round(CASE WHEN count(y) OVER w = 7 THEN avg(y) OVER w END, 4) AS trend FROM series
+SELECT key, t, round(CASE WHEN count(y) OVER w = 7 THEN avg(y) OVER w END, 9) AS trend FROM series
 WINDOW w AS (PARTITION BY key ORDER BY t ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""")
 def moving_average(spark, sf_dir):
     out = series.moving_average(order_series(spark, sf_dir), 7)
-    return out.select("key", "t", F.round("trend", 4).alias("trend"))
+    return out.select("key", "t", F.round("trend", 9).alias("trend"))
 
 
 ACF_SQL = SERIES_SQL + """,
@@ -87,7 +87,7 @@ def pacf(spark, sf_dir):
     return series.pacf(order_series(spark, sf_dir)).withColumn("pacf", F.round("pacf", 6))
 
 
-def _decompose_sql(period: int, value: str = "y", digits: int = 4) -> str:
+def _decompose_sql(period: int, digits: int = 7) -> str:
     half = period // 2
     if period % 2:
         trend = f"CASE WHEN count(y) OVER w = {period} THEN avg(y) OVER w END"
@@ -97,7 +97,7 @@ def _decompose_sql(period: int, value: str = "y", digits: int = 4) -> str:
             f"- 0.5e0 * last_value(y) OVER w) / {period} END"
         )
     return f"""WITH {SERIES_SQL},
-tr AS (SELECT *, {trend} AS trend FROM (SELECT * REPLACE ({value} AS y) FROM placed) p WHERE n >= {2 * period}
+tr AS (SELECT *, {trend} AS trend FROM placed WHERE n >= {2 * period}
        WINDOW w AS (PARTITION BY key ORDER BY t ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)),
 s0 AS (SELECT key, (pos - 1) % {period} AS phase, avg(y - trend) AS s FROM tr GROUP BY 1, 2),
 s1 AS (SELECT key, phase, s - avg(s) OVER (PARTITION BY key) AS s FROM s0)
@@ -105,27 +105,27 @@ SELECT tr.key, t, round(y, {digits}) AS y, round(trend, {digits}) AS trend, roun
        round(y - trend - s, {digits}) AS resid FROM tr JOIN s1 ON s1.key = tr.key AND s1.phase = (tr.pos - 1) % {period}"""
 
 
-def _decompose(daily, period, digits=4):
-    out = series.decompose_additive(daily, period)
+def _decompose(spark, sf_dir, period, digits=7):
+    out = series.decompose_additive(order_series(spark, sf_dir), period)
     return out.select("key", "t", *[F.round(c, digits).alias(c) for c in ("y", "trend", "seasonal", "resid")])
 
 
 @registered(_decompose_sql(365))
 def decompose_yearly(spark, sf_dir):
-    return _decompose(order_series(spark, sf_dir), 365)
+    return _decompose(spark, sf_dir, 365)
 
 
-@registered(_decompose_sql(30, "ln(y)", 9))
+@registered(_decompose_sql(30))
 def decompose_monthly(spark, sf_dir):
-    """Even period, on the logarithm of the value."""
-    return _decompose(order_series(spark, sf_dir).withColumn("y", F.log("y")), 30, 9)
+    """Even period: half weight at both ends of the trend window."""
+    return _decompose(spark, sf_dir, 30)
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, t, round(y, 6) AS y FROM series
+SELECT key, t, round(y, 9) AS y FROM series
 QUALIFY t > max(t) OVER (PARTITION BY key) - INTERVAL 730 DAY""")
 def trailing_730d(spark, sf_dir):
-    return series.trailing(order_series(spark, sf_dir)).withColumn("y", F.round("y", 6))
+    return series.trailing(order_series(spark, sf_dir)).withColumn("y", F.round("y", 9))
 
 
 @registered(f"""WITH {SERIES_SQL}
@@ -136,17 +136,17 @@ def date_sequence(spark, sf_dir):
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, t, round(y, 6) AS y, 'history' AS kind FROM series
+SELECT key, t, round(y, 9) AS y, 'history' AS kind FROM series
 QUALIFY t > max(t) OVER (PARTITION BY key) - INTERVAL 730 DAY
 UNION ALL
-SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE), round(y, 6), 'forecast'
+SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE), round(y, 9), 'forecast'
 FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 31)) AS step) s""")
 def history_plus_forecast(spark, sf_dir):
     """Two years of history, then the last value carried on for 30 days."""
     s = order_series(spark, sf_dir)
     last = s.groupBy("key").agg(F.max_by("y", "t").alias("y"))
     ahead = series.future_dates(s, 30).join(last, "key").select("key", "t", "y")
-    return series.history_plus_forecast(series.trailing(s), ahead).withColumn("y", F.round("y", 6))
+    return series.history_plus_forecast(series.trailing(s), ahead).withColumn("y", F.round("y", 9))
 
 
 # --- evaluation with naive forecasts -----------------------------------------------------
@@ -163,22 +163,22 @@ def naive_pairs(spark, sf_dir, lag: int = 1):
 
 
 @registered(f"""WITH {NAIVE_SQL}
-SELECT key, count(*) AS n, round(avg((y - yhat) ** 2), 2) AS mse, round(sqrt(avg((y - yhat) ** 2)), 4) AS rmse,
-       round(avg(abs(y - yhat)), 4) AS mae,
+SELECT key, count(*) AS n, round(avg((y - yhat) ** 2), 9) AS mse, round(sqrt(avg((y - yhat) ** 2)), 9) AS rmse,
+       round(avg(abs(y - yhat)), 9) AS mae,
        round(1 - sum((y - yhat) ** 2) / (var_pop(y) * count(*)), 6) AS r2,
        round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 6) AS mape
 FROM pairs WHERE yhat IS NOT NULL GROUP BY key""")
 def error_metrics(spark, sf_dir):
     out = metrics.forecast_metrics(naive_pairs(spark, sf_dir), ["key"])
-    digits = {"mse": 2, "rmse": 4, "mae": 4, "r2": 6, "mape": 6}
+    digits = {"mse": 9, "rmse": 9, "mae": 9, "r2": 6, "mape": 6}
     return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 @registered(f"""WITH {NAIVE_SQL}
-SELECT key, CAST(pos AS INTEGER) AS pos, round(y - yhat, 4) AS residual FROM pairs WHERE yhat IS NOT NULL""")
+SELECT key, CAST(pos AS INTEGER) AS pos, round(y - yhat, 9) AS residual FROM pairs WHERE yhat IS NOT NULL""")
 def residual_table(spark, sf_dir):
     out = metrics.residuals(naive_pairs(spark, sf_dir))
-    return out.select("key", "pos", F.round("residual", 4).alias("residual"))
+    return out.select("key", "pos", F.round("residual", 9).alias("residual"))
 
 
 @registered(f"""WITH {NAIVE_SQL},
@@ -187,12 +187,12 @@ e AS (SELECT key, min(residual) AS lo, max(residual) AS hi FROM r GROUP BY key),
 c AS (SELECT key, least(CAST(floor((residual - lo) / ((hi - lo) / 30)) AS INTEGER), 29) AS bin, count(*) AS n
       FROM r JOIN e USING (key) GROUP BY 1, 2),
 b AS (SELECT key, CAST(bin AS INTEGER) AS bin, lo, (hi - lo) / 30 AS w FROM e, (SELECT unnest(range(0, 30)) AS bin) g)
-SELECT b.key, b.bin, round(lo + w * b.bin, 4) AS left_edge, round(lo + w * (b.bin + 1), 4) AS right_edge, coalesce(n, 0) AS n
+SELECT b.key, b.bin, round(lo + w * b.bin, 9) AS left_edge, round(lo + w * (b.bin + 1), 9) AS right_edge, coalesce(n, 0) AS n
 FROM b LEFT JOIN c ON c.key = b.key AND c.bin = b.bin""")
 def residual_histogram(spark, sf_dir):
     r = metrics.residuals(naive_pairs(spark, sf_dir))
     out = profile.histogram(r, "residual", 30, ["key"])
-    return out.withColumns({c: F.round(c, 4) for c in ("left_edge", "right_edge")})
+    return out.withColumns({c: F.round(c, 9) for c in ("left_edge", "right_edge")})
 
 
 @registered("""
