@@ -29,10 +29,10 @@ def frame(spark):
     return spark.createDataFrame(pdf).persist(), pdf
 
 
-@pytest.mark.parametrize("chunk", ["hour", "year", "minute", two_levels, three_levels])
+@pytest.mark.parametrize("chunk", [None, "hour", "year", "minute", two_levels, three_levels])
 def test_positions_do_not_depend_on_the_chunk(frame, chunk):
     df, pdf = frame
-    chunk = chunk if isinstance(chunk, str) else chunk()
+    chunk = chunk() if callable(chunk) else chunk
     want = pdf.sort_values(["k", "t", "id"]).assign(pos=lambda d: d.groupby("k").cumcount() + 1)
     want["n"] = want.groupby("k")["id"].transform("size")
     got = ordering.positions(df, ["k"], ["t", "id"], chunk).select("id", "pos", "n").toPandas()
@@ -41,6 +41,22 @@ def test_positions_do_not_depend_on_the_chunk(frame, chunk):
     assert (merged["pos"] == merged["pos_want"]).all() and (merged["n"] == merged["n_want"]).all()
 
 
+@pytest.mark.parametrize(
+    "rows_per_chunk,unit", [(2000, "year"), (1000, "day"), (500, "hour"), (10, "minute"), (2, "minute"), (0, "second")]
+)
+def test_time_unit_is_the_coarsest_that_fits(frame, rows_per_chunk, unit):
+    df, pdf = frame
+    assert ordering.time_unit_for(df, ["k"], "t", rows_per_chunk) == unit
+    forms = {"year": "%Y", "day": "%Y%m%d", "hour": "%Y%m%d%H", "minute": "%Y%m%d%H%M"}
+    if unit in forms:
+        assert pdf.groupby(["k", pdf["t"].dt.strftime(forms[unit])]).size().max() <= rows_per_chunk
+
+
+def test_dates_are_cut_by_day_at_most(spark):
+    df = spark.range(100).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 2 AS INT)) AS t")
+    assert ordering.time_unit_for(df, [], "t", 60) == "day" and ordering.time_unit_for(df, [], "t", 5) == "day"
+
+
 def test_positions_without_keys(frame):
     df, _ = frame
     got = [r[0] for r in rows(ordering.positions(df, [], ["t", "id"]).select("pos"), "pos")]

@@ -81,7 +81,7 @@ def apply_imputer(
     imputer: Imputer,
     keys: Sequence[str] = (),
     order: Sequence[str] = (),
-    chunk: Chunk = "hour",
+    chunk: Chunk = None,
 ) -> DataFrame:
     """Fill missing values (MLA2): dates forward in `order`, then every column its fitted value.
 

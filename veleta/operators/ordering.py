@@ -1,28 +1,34 @@
 """Positions, ordered splits and forward fill over raw rows (WIN1-4, LIM1-2, TOP1).
 
 A window over a whole key would put a busy key into one task. These operators cut each key
-into chunks that are consecutive in the order (an hour of time unless told otherwise), work
-inside (key, chunk), and carry what a chunk needs from earlier chunks through a small
-per-chunk summary: counts for positions, the last value for a fill.
+into chunks that are consecutive in the order, work inside (key, chunk), and carry what a chunk
+needs from earlier chunks through a small per-chunk summary: counts for positions, the last
+value for a fill.
 
 `chunk` is a time unit for the first order column, a column that never decreases along the
-order, or several such columns, coarse to fine. Choose it so that one chunk of one key fits a
-task; results do not depend on the choice. With several columns the summaries are summed up
-level by level, so that neither rows nor summaries of a key meet in one task: for a table
-ordered by (day, id), chunk by day and then by id range.
+order, or several such columns, coarse to fine. None measures the table and takes the coarsest
+time unit whose largest chunk fits a task (`time_unit_for`). Results do not depend on the
+choice. With several columns the summaries are summed up level by level, so that neither rows
+nor summaries of a key meet in one task: for a table ordered by (day, id), chunk by day and then
+by id range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veleta.operators.joins import tag_nulls
 
-Chunk = str | Column | Sequence[Column]
+Chunk = str | Column | Sequence[Column] | None
+
+UNITS = ("year", "month", "day", "hour", "minute", "second")
+ROWS_PER_CHUNK = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -48,7 +54,38 @@ class _Cut:
         return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _largest(df: DataFrame, keys: Sequence[str], ts: str, units: Sequence[str]) -> dict[str, int]:
+    """Rows of the largest (key, chunk) for each unit, all from one count by the finest unit."""
+    finest = F.date_trunc(units[-1], F.col(ts)).alias("__at")
+    counts = df.groupBy(*keys, finest).agg(F.count("*").alias("__rows"))
+    per_unit = [
+        counts.groupBy(*keys, F.date_trunc(u, "__at").alias("__unit"))
+        .agg(F.sum("__rows").alias("__rows"))
+        .agg(F.max("__rows").alias("largest"))
+        .select(F.lit(u).alias("unit"), "largest")
+        for u in units
+    ]
+    return {r["unit"]: r["largest"] or 0 for r in reduce(DataFrame.unionByName, per_unit).toLocalIterator()}
+
+
+def time_unit_for(df: DataFrame, keys: Sequence[str], ts: str, rows: int = ROWS_PER_CHUNK) -> str:
+    """Coarsest time unit that leaves at most `rows` rows in any chunk of any key.
+
+    One aggregate over the key and time columns, and one row per unit to the driver. Days are
+    the finest unit of a DATE; a table with more rows on one of them needs a second chunk column.
+    """
+    is_date = isinstance(df.schema[ts].dataType, T.DateType)
+    for units in (UNITS[:3],) if is_date else (UNITS[:4], UNITS[4:]):
+        sizes = _largest(df, keys, ts, units)
+        for unit in units:
+            if sizes[unit] <= rows:
+                return unit
+    return units[-1]
+
+
 def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk) -> _Cut:
+    if chunk is None:
+        chunk = time_unit_for(df, keys, order[0])
     if isinstance(chunk, str):
         chunk = [F.date_trunc(chunk, F.col(order[0]))]
     elif isinstance(chunk, Column):
@@ -74,7 +111,7 @@ def _chunk_offsets(cut: _Cut) -> DataFrame:
     return _offsets(counts, cut, len(cut.levels) - 1)
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk = "hour") -> DataFrame:
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk = None) -> DataFrame:
     """Append `pos` (from 1) and `n`, the rows of the key (WIN1); columns of these names are replaced.
 
     `order` must tell rows of a key apart; NULL comes first.
@@ -122,7 +159,7 @@ def _carried(closing: DataFrame, cut: _Cut, cols: Sequence[str], depth: int) ->
 
 
 def forward_fill(
-    df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str], chunk: Chunk = "hour"
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str], chunk: Chunk = None
 ) -> DataFrame:
     """Replace NULL by the last value before it in the key's order (WIN4)."""
     cut = _cut(df, keys, order, chunk)
@@ -140,7 +177,7 @@ def forward_fill(
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
-def first_rows(df: DataFrame, n: int, order: Sequence[str], chunk: Chunk = "hour") -> DataFrame:
+def first_rows(df: DataFrame, n: int, order: Sequence[str], chunk: Chunk = None) -> DataFrame:
     """The first `n` rows in `order`, for caps too large for one task to rank (LIM1).
 
     Chunk counts locate the chunk in which the cap falls. Earlier chunks are kept whole and

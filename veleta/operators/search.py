@@ -43,7 +43,7 @@ class Prepared:
 
 def prepare_features(
     df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), test_share: float = 0.2,
-    chunk: Chunk = "day", exclude: Sequence[str] = (),
+    chunk: Chunk = None, exclude: Sequence[str] = (),
 ) -> Prepared:
     """Raw frame to filled train and test frames (MLA3).
 
@@ -94,7 +94,7 @@ def model_search(
     parallelism: int = 3,
     seed: int = 41,
     valid_share: float = 0.2,
-    chunk: Chunk = "day",
+    chunk: Chunk = None,
     metric: str = "rmse",
     space: Mapping = SPACE,
 ) -> tuple[PipelineModel, DataFrame]:

@@ -241,8 +241,8 @@ _ROW_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
 def _row_chunks():
-    """Ship day, then ranges of order keys, so that a busy day is cut as well."""
-    return [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 4000)]
+    """Ship day, then a million order keys: some 1,600 rows a chunk at any scale."""
+    return [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / 1_000_000)]
 
 
 
@@ -262,7 +262,7 @@ SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, e
        count(*) OVER (PARTITION BY user_id) AS n FROM events""")
 def event_positions(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return ordering.positions(events, ["user_id"], ["ts", "event_id"], chunk="day").drop("ts")
+    return ordering.positions(events, ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
 @registered("""
@@ -272,7 +272,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) A
              count(*) OVER (PARTITION BY user_id) AS n FROM events) e GROUP BY user_id""")
 def event_split(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return ordering.ordered_split(events, ["user_id"], ["ts", "event_id"], chunk="day").groupBy("user_id").agg(
+    return ordering.ordered_split(events, ["user_id"], ["ts", "event_id"]).groupBy("user_id").agg(
         F.count_if("is_train").alias("n_train"),
         F.count_if(~F.col("is_train")).alias("n_test"),
         F.max(F.when(F.col("is_train"), F.col("ts"))).alias("last_train"),
@@ -297,7 +297,7 @@ SELECT event_id, CodigoNacional, time,
 FROM wind_obs WINDOW w AS (PARTITION BY CodigoNacional ORDER BY time, event_id ROWS UNBOUNDED PRECEDING)""")
 def forward_fill(spark, sf_dir):
     obs = wind_obs(spark, sf_dir).select("event_id", "CodigoNacional", "time", "ff_valor", "VRB_Valor")
-    return ordering.forward_fill(obs, ["ff_valor", "VRB_Valor"], ["CodigoNacional"], ["time", "event_id"], chunk="day")
+    return ordering.forward_fill(obs, ["ff_valor", "VRB_Valor"], ["CodigoNacional"], ["time", "event_id"])
 
 
 # --- paged documents ---------------------------------------------------------------------

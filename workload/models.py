@@ -256,7 +256,7 @@ def fill_missing(spark, sf_dir):
     """Strategy by skewness, forward fill of times by event number, most frequent kind."""
     gaps = _gaps(spark, sf_dir)
     imputer = fit_imputer(gaps, exclude=["event_id"])
-    ranges = [F.floor(F.col("event_id") / n) for n in (1_000_000, 1_000)]
+    ranges = [F.floor(F.col("event_id") / n) for n in (100_000_000, 100_000)]
     filled = apply_imputer(gaps, imputer, order=["event_id"], chunk=ranges)
     return filled.withColumns({c: F.round(c, 6) for c in ("value", "code")})
 
@@ -280,7 +280,7 @@ def _daily_wind(spark, sf_dir):
 
 
 def _prepared(spark, sf_dir):
-    return prepare_features(_daily_wind(spark, sf_dir), order=["fecha", "CodigoNacional"], chunk="day")
+    return prepare_features(_daily_wind(spark, sf_dir), order=["fecha", "CodigoNacional"])
 
 
 @registered("""
@@ -337,7 +337,7 @@ def linear_score(spark, sf_dir):
         F.avg(F.get_json_object("props", "$.k").cast("double")).alias("k"), F.avg("value").alias("y")
     )
     order = ["fecha", "user_id"]
-    marked = stabilise(ordered_holdout(daily, [], order, chunk="day"))
+    marked = stabilise(ordered_holdout(daily, [], order))
     space = {"linear": (LinearRegression, {"regParam": [0.0], "solver": ["normal"]})}
     model, _ = model_search(marked.where("is_train"), "y", ["k"], order, max_trials=1, space=space)
     out = model.transform(marked.where("NOT is_train"))
