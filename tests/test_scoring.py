@@ -109,3 +109,10 @@ def test_running_score_end_to_end(spark):
 def test_json_is_parsed_after_the_latest_delivery_is_chosen(spark):
     plan = plan_of(running_score(observations(spark, [delivery("2024-05-01T10:00:00", None)]), all_days=True))
     assert plan.index("from_json") < plan.index("WindowGroupLimit")
+
+
+def test_variant_columns_score_like_text(spark):
+    text = observations(spark, [delivery("2024-05-01T10:00:00", dt.datetime(2024, 5, 1, 12))])
+    docs = ["temperature", "wind", "windGust", "precipitationSummary"]
+    variant = text.withColumns({c: F.parse_json(c) for c in docs})
+    assert rows(running_score(variant, all_days=True)) == rows(running_score(text, all_days=True))

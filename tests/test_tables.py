@@ -75,6 +75,10 @@ def test_table_round_trips(spark, tmp_path, lake):
     with pytest.raises(AssertionError):
         assert_written(stored.withColumn("id", F.col("id").cast("bigint")), f"{base}.humanresources department")
 
+    arrays = spark.range(2).select(F.array(F.col("id")).alias("a"))
+    write_table(arrays, f"{base}.arrays")
+    assert_written(arrays, f"{base}.arrays")
+
     path = save_path(df.toDF("id", "g"), str(tmp_path / "files"))
     assert load_path(spark, path).count() == 2 and read_any(spark, path).count() == 2
     assert as_table(spark, f"{base}.shortcut", path).count() == 2

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,14 +57,14 @@ def _largest(df: DataFrame, keys: Sequence[str], ts: str, units: Sequence[str])
     """Rows of the largest (key, chunk) for each unit, all from one count by the finest unit."""
     finest = F.date_trunc(units[-1], F.col(ts)).alias("__at")
     counts = df.groupBy(*keys, finest).agg(F.count("*").alias("__rows"))
-    per_unit = [
-        counts.groupBy(*keys, F.date_trunc(u, "__at").alias("__unit"))
-        .agg(F.sum("__rows").alias("__rows"))
-        .agg(F.max("__rows").alias("largest"))
-        .select(F.lit(u).alias("unit"), "largest")
-        for u in units
-    ]
-    return {r["unit"]: r["largest"] or 0 for r in reduce(DataFrame.unionByName, per_unit).toLocalIterator()}
+    at_units = F.explode(
+        F.array(*[F.struct(F.lit(u).alias("unit"), F.date_trunc(u, "__at").alias("at")) for u in units])
+    )
+    sizes = counts.select(*keys, "__rows", at_units.alias("__unit")).groupBy(*keys, "__unit").agg(
+        F.sum("__rows").alias("__rows")
+    )
+    largest = sizes.groupBy("__unit.unit").agg(F.max("__rows").alias("largest"))
+    return {u: 0 for u in units} | {r["unit"]: r["largest"] for r in largest.toLocalIterator()}
 
 
 def time_unit_for(df: DataFrame, keys: Sequence[str], ts: str, rows: int = ROWS_PER_CHUNK) -> str:

@@ -93,9 +93,11 @@ def running_score(
     """
     timed = obs.withColumn("dt", parse_time(F.col("dateTime")))
     today = timed if all_days else in_local_day(timed, "dt", as_of, offset_hours)
-    # Equal delivery times are told apart by content; VARIANT has no order and is left out.
+    # Equal delivery times are told apart by content, as far as its types have an order.
     payload = [
-        f.name for f in obs.schema if f.name != ingested and not isinstance(f.dataType, T.VariantType)
+        f.name
+        for f in obs.schema
+        if f.name != ingested and isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)
     ]
     latest = latest_per_key(today, ["dt"], ingested, payload)
     scored = score_conditions(shred(latest, FIELDS))

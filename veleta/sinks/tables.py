@@ -66,7 +66,7 @@ def assert_written(df: DataFrame, name: str) -> None:
     the check moves a single row per side and costs no shuffle of the data.
     """
     stored = df.sparkSession.read.table(catalog_name(name))
-    if [(f.name, f.dataType) for f in stored.schema] != [(f.name, f.dataType) for f in df.schema]:
+    if stored.dtypes != df.dtypes:
         raise AssertionError(f"schema of {name} differs: {stored.schema} / {df.schema}")
 
     def digest(frame: DataFrame):

@@ -28,7 +28,7 @@ def pages_to_records(
     anti join), so no task sees the whole sequence and nothing is ordered.
     """
     if isinstance(record_schema, str):
-        record_schema = T._parse_datatype_string(record_schema)
+        record_schema = T.StructType.fromDDL(record_schema)
     keys = [source] if source else []
     # Two string-typed probes keep the stop test independent of the record layout.
     shape = T.StructType(

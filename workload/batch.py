@@ -122,7 +122,8 @@ def distinct_list(spark, sf_dir):
 
 @registered(
     "SELECT *, CAST(ts AS DATE) AS day FROM events "
-    "QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1"
+    "QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1",
+    text=["day"],
 )
 def latest_per_key(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
@@ -161,7 +162,7 @@ def month_rollup(spark, sf_dir):
 @registered(f"""WITH {FACT_SQL}
 SELECT CodigoNacional, CAST(year(time) AS INTEGER) AS anio, CAST(month(time) AS INTEGER) AS mes,
        CAST(day(time) AS INTEGER) AS dia, CAST(time AS DATE) AS fecha, round(avg(ff_valor), 9) AS vviento_promedio
-FROM wind_fact GROUP BY 1, 2, 3, 4, 5""")
+FROM wind_fact GROUP BY 1, 2, 3, 4, 5""", text=["fecha"])
 def station_daily_mean(spark, sf_dir):
     return rollup.station_daily_mean(wind_fact(wind_obs(spark, sf_dir)), digits=9)
 
@@ -317,17 +318,21 @@ def order_pages(spark, sf_dir):
     docs = orders.groupBy(F.col("o_orderpriority").alias("source"), page.alias("page")).agg(
         F.sort_array(F.collect_list(record)).alias("results")
     )
-    pages = docs.groupBy("source").agg(F.max("page").alias("last"))
-    rank = F.ascii("source") - 48
-    lost, blank, final = ((F.col("last") * F.lit(share)).cast("bigint") for share in (0.8, 0.7, 0.9))
-    placed = docs.join(pages, "source").withColumn("rank", rank)
-    body = F.to_json(
-        F.struct(
-            F.when((F.col("page") == blank) & (F.col("rank") == 1), F.array().cast(f"array<struct<o_orderkey:bigint,o_totalprice:double,tags:array<string>>>")).otherwise(F.col("results")).alias("results"),
-            F.when((F.col("page") == final) & (F.col("rank") == 2), F.lit(None)).otherwise(F.concat(F.lit("page="), (F.col("page") + 1).cast("string"))).alias("next"),
-        )
+    last = docs.groupBy("source").agg(F.max("page").alias("last"))
+
+    def at(source: str, share: float):
+        """The page this far along the sequence of one source."""
+        return (F.col("source") == source) & (F.col("page") == (F.col("last") * F.lit(share)).cast("bigint"))
+
+    following = F.concat(F.lit("page="), (F.col("page") + 1).cast("string"))
+    placed = docs.join(last, "source").withColumns(
+        {
+            "results": F.when(~at("1-URGENT", 0.7), F.col("results")).otherwise(F.slice("results", 1, 0)),
+            "next": F.when(~at("2-HIGH", 0.9), following),
+        }
     )
-    return placed.where(~((F.col("page") == lost) & (F.col("rank") == 3))).select("source", "page", body.alias("body"))
+    body = F.to_json(F.struct("results", "next")).alias("body")
+    return placed.where(~at("3-MEDIUM", 0.8)).select("source", "page", body)
 
 
 @registered("""

@@ -62,7 +62,7 @@ def arima_forecast(spark, sf_dir):
 
 @registered(f"""WITH {SERIES_SQL}
 SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE) AS t, round(mean, 9) AS yhat
-FROM (SELECT key, max(t) AS last, avg(y) AS mean FROM series GROUP BY key) l, (SELECT unnest(range(1, 366)) AS step) s""")
+FROM (SELECT key, max(t) AS last, avg(y) AS mean FROM series GROUP BY key) l, (SELECT unnest(range(1, 366)) AS step) s""", text=["t"])
 def mean_model_forecast(spark, sf_dir):
     """Order (0, 0, 0) forecasts the mean of the series, which SQL can check."""
     s = order_series(spark, sf_dir)
@@ -72,7 +72,7 @@ def mean_model_forecast(spark, sf_dir):
 
 @registered(f"""WITH {SERIES_SQL}
 SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE) AS t, round(y, 9) AS yhat
-FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 31)) AS step) s""")
+FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 31)) AS step) s""", text=["t"])
 def random_walk_forecast(spark, sf_dir):
     """Order (0, 1, 0) carries the last value on, which SQL can check."""
     s = order_series(spark, sf_dir)
@@ -200,7 +200,7 @@ SELECT CAST(last_t + CAST(step AS INTEGER) AS DATE) AS fecha, r.key AS "CodigoNa
        round(CASE WHEN p = 0 THEN mean ELSE c / (1 - phi) + phi ** step * (last_y - c / (1 - phi)) END, 8) AS vviento_pred_ms,
        'ARIMA(' || p || ', 0, 0)' AS modelo_viento, TIMESTAMP '2024-02-01' AS fecha_generacion,
        round(rmse, 8) AS rmse_viento, round(r2, 6) AS r2_viento, round(mape, 5) AS mape_viento
-FROM refit r JOIN chosen ON chosen.key = r.key JOIN errs ON errs.key = r.key, (SELECT unnest(range(1, 31)) AS step) s""")
+FROM refit r JOIN chosen ON chosen.key = r.key JOIN errs ON errs.key = r.key, (SELECT unnest(range(1, 31)) AS step) s""", text=["fecha"])
 def ar_run_published(spark, sf_dir):
     out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30, generated_at=STAMP).published
     digits = {"vviento_pred_ms": 8, "rmse_viento": 8, "r2_viento": 6, "mape_viento": 5}
@@ -213,7 +213,7 @@ SELECT s.key, count(*) AS n_rows, min(t) AS first_day, max(t) AS last_day, count
        round(any_value(rmse), 8) AS rmse, round(any_value(mae), 8) AS mae, round(any_value(r2), 6) AS r2,
        round(any_value(mape), 5) AS mape, round(count_if(pos <= floor(0.8e0 * n)) / count(*), 6) AS train_share,
        30 AS forecast_days, CAST(max(t) + 1 AS DATE) AS forecast_from, CAST(max(t) + 30 AS DATE) AS forecast_to
-FROM placed s JOIN chosen ON chosen.key = s.key JOIN errs ON errs.key = s.key GROUP BY s.key""")
+FROM placed s JOIN chosen ON chosen.key = s.key JOIN errs ON errs.key = s.key GROUP BY s.key""", text=["first_day", "last_day", "forecast_from", "forecast_to"])
 def ar_run_summary(spark, sf_dir):
     out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30).summary
     digits = {"rmse": 8, "mae": 8, "r2": 6, "mape": 5, "train_share": 6}
@@ -287,7 +287,7 @@ def _prepared(spark, sf_dir):
 WITH d AS (SELECT user_id, CAST(ts AS DATE) AS fecha FROM events GROUP BY 1, 2)
 SELECT CASE WHEN pos <= n - floor(0.2e0 * n) THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows,
        min(fecha) AS first_day, max(fecha) AS last_day, CAST(0 AS BIGINT) AS n_missing
-FROM (SELECT *, row_number() OVER (ORDER BY fecha, user_id) AS pos, count(*) OVER () AS n FROM d) p GROUP BY 1""")
+FROM (SELECT *, row_number() OVER (ORDER BY fecha, user_id) AS pos, count(*) OVER () AS n FROM d) p GROUP BY 1""", text=["first_day", "last_day"])
 def prepared_features(spark, sf_dir):
     p = _prepared(spark, sf_dir)
     parts = p.train.withColumn("part", F.lit("train")).unionByName(p.test.withColumn("part", F.lit("test")))
@@ -330,7 +330,7 @@ WITH d AS (SELECT user_id, CAST(ts AS DATE) AS fecha, avg(CAST(json_extract_stri
                   avg(value) AS y FROM events GROUP BY 1, 2),
 p AS (SELECT *, row_number() OVER (ORDER BY fecha, user_id) AS pos, count(*) OVER () AS n FROM d),
 fit AS (SELECT regr_intercept(y, k) AS a, regr_slope(y, k) AS b FROM p WHERE pos <= n - floor(0.2e0 * n))
-SELECT user_id, fecha, round(a + b * k, 3) AS value FROM p, fit WHERE pos > n - floor(0.2e0 * n)""")
+SELECT user_id, fecha, round(a + b * k, 3) AS value FROM p, fit WHERE pos > n - floor(0.2e0 * n)""", text=["fecha"])
 def linear_score(spark, sf_dir):
     """Search with one plain linear learner, scored on the held-out days; SQL can fit it."""
     daily = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("fecha")).agg(

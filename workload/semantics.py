@@ -180,16 +180,22 @@ def score_labels(spark, sf_dir):
 
 ALERT_SQL = """
 SELECT event_id, 'Alerta de eventos' AS subject, 'La condición se ha cumplido.' AS headline,
-       ['guardia@example.org'] AS sent_to, ['jefe@example.org'] AS copy_to, [] :: VARCHAR[] AS blind_copy_to,
-       '' AS message, ['user: ' || CAST(user_id AS VARCHAR)] AS extra, 'en-us' AS locale
+       'guardia@example.org;turno@example.org' AS sent_to, 'jefe@example.org' AS copy_to, '' AS blind_copy_to,
+       '' AS message, 'user: ' || CAST(user_id AS VARCHAR) AS extra, 'en-us' AS locale
 FROM events"""
 
 
+def _alerts(events, rule):
+    """Alerts with their lists as text."""
+    lists = ("sent_to", "copy_to", "blind_copy_to", "extra")
+    return alerts(events, rule, keep=["event_id"]).withColumns({c: F.array_join(c, ";") for c in lists})
+
+
 def _rule(**changes) -> AlertRule:
     base = {
         "subject": "Alerta de eventos",
         "headline": "La condición se ha cumplido.",
-        "sent_to": ["guardia@example.org"],
+        "sent_to": ["guardia@example.org", "turno@example.org"],
         "copy_to": ["jefe@example.org"],
         "extra": {"user": F.col("user_id")},
         "enabled": True,
@@ -199,15 +205,15 @@ def _rule(**changes) -> AlertRule:
 
 @registered(ALERT_SQL)
 def alert_rows(spark, sf_dir):
-    return alerts(table(spark, sf_dir, "events"), _rule(), keep=["event_id"])
+    return _alerts(table(spark, sf_dir, "events"), _rule())
 
 
 @registered(ALERT_SQL + " WHERE value > 100 AND event_type = 'error'")
 def alert_rows_on_condition(spark, sf_dir):
     rule = _rule(condition=(F.col("value") > 100) & (F.col("event_type") == "error"))
-    return alerts(table(spark, sf_dir, "events"), rule, keep=["event_id"])
+    return _alerts(table(spark, sf_dir, "events"), rule)
 
 
 @registered(ALERT_SQL + " WHERE false")
 def alert_rule_disabled(spark, sf_dir):
-    return alerts(table(spark, sf_dir, "events"), _rule(enabled=False), keep=["event_id"])
+    return _alerts(table(spark, sf_dir, "events"), _rule(enabled=False))

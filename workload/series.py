@@ -12,14 +12,14 @@ from workload.registry import registered
 
 @registered("""
 SELECT o_orderpriority AS key, CAST(o_orderdate AS DATE) AS t, o_totalprice AS y FROM orders
-QUALIFY row_number() OVER (PARTITION BY o_orderpriority, CAST(o_orderdate AS DATE) ORDER BY o_orderkey) = 1""")
+QUALIFY row_number() OVER (PARTITION BY o_orderpriority, CAST(o_orderdate AS DATE) ORDER BY o_orderkey) = 1""", text=["t"])
 def series_prepared(spark, sf_dir):
     return series.prepare_series(
         table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey"
     )
 
 
-@registered(f"""WITH {SERIES_SQL} SELECT key, t, pos, n, pos <= floor(0.8e0 * n) AS is_train FROM placed""")
+@registered(f"""WITH {SERIES_SQL} SELECT key, t, pos, n, pos <= floor(0.8e0 * n) AS is_train FROM placed""", text=["t"])
 def ordered_split(spark, sf_dir):
     return series.split_series(order_series(spark, sf_dir)).withColumn("pos", F.col("pos").cast("bigint")).drop("y")
 
@@ -34,21 +34,21 @@ def ordered_holdout(spark, sf_dir):
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, t, round(y - lag(y) OVER w, 9) AS dy FROM series WINDOW w AS (PARTITION BY key ORDER BY t)""")
+SELECT key, t, round(y - lag(y) OVER w, 9) AS dy FROM series WINDOW w AS (PARTITION BY key ORDER BY t)""", text=["t"])
 def difference_d1(spark, sf_dir):
     return series.difference(order_series(spark, sf_dir), 1).select("key", "t", F.round("dy", 9).alias("dy"))
 
 
 @registered(f"""WITH {SERIES_SQL},
 first AS (SELECT key, t, y - lag(y) OVER (PARTITION BY key ORDER BY t) AS dy FROM series)
-SELECT key, t, round(dy - lag(dy) OVER (PARTITION BY key ORDER BY t), 9) AS dy FROM first""")
+SELECT key, t, round(dy - lag(dy) OVER (PARTITION BY key ORDER BY t), 9) AS dy FROM first""", text=["t"])
 def difference_d2(spark, sf_dir):
     return series.difference(order_series(spark, sf_dir), 2).select("key", "t", F.round("dy", 9).alias("dy"))
 
 
 @registered(f"""WITH {SERIES_SQL}
 SELECT key, t, round(CASE WHEN count(y) OVER w = 7 THEN avg(y) OVER w END, 9) AS trend FROM series
-WINDOW w AS (PARTITION BY key ORDER BY t ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""")
+WINDOW w AS (PARTITION BY key ORDER BY t ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""", text=["t"])
 def moving_average(spark, sf_dir):
     out = series.moving_average(order_series(spark, sf_dir), 7)
     return out.select("key", "t", F.round("trend", 9).alias("trend"))
@@ -110,12 +110,12 @@ def _decompose(spark, sf_dir, period, digits=7):
     return out.select("key", "t", *[F.round(c, digits).alias(c) for c in ("y", "trend", "seasonal", "resid")])
 
 
-@registered(_decompose_sql(365))
+@registered(_decompose_sql(365), text=["t"])
 def decompose_yearly(spark, sf_dir):
     return _decompose(spark, sf_dir, 365)
 
 
-@registered(_decompose_sql(30))
+@registered(_decompose_sql(30), text=["t"])
 def decompose_monthly(spark, sf_dir):
     """Even period: half weight at both ends of the trend window."""
     return _decompose(spark, sf_dir, 30)
@@ -123,14 +123,14 @@ def decompose_monthly(spark, sf_dir):
 
 @registered(f"""WITH {SERIES_SQL}
 SELECT key, t, round(y, 9) AS y FROM series
-QUALIFY t > max(t) OVER (PARTITION BY key) - INTERVAL 730 DAY""")
+QUALIFY t > max(t) OVER (PARTITION BY key) - INTERVAL 730 DAY""", text=["t"])
 def trailing_730d(spark, sf_dir):
     return series.trailing(order_series(spark, sf_dir)).withColumn("y", F.round("y", 9))
 
 
 @registered(f"""WITH {SERIES_SQL}
 SELECT key, CAST(step AS INTEGER) AS step, CAST(last + CAST(step AS INTEGER) AS DATE) AS t
-FROM (SELECT key, max(t) AS last FROM series GROUP BY key) l, (SELECT unnest(range(1, 366)) AS step) s""")
+FROM (SELECT key, max(t) AS last FROM series GROUP BY key) l, (SELECT unnest(range(1, 366)) AS step) s""", text=["t"])
 def date_sequence(spark, sf_dir):
     return series.future_dates(order_series(spark, sf_dir))
 
@@ -140,7 +140,7 @@ SELECT key, t, round(y, 9) AS y, 'history' AS kind FROM series
 QUALIFY t > max(t) OVER (PARTITION BY key) - INTERVAL 730 DAY
 UNION ALL
 SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE), round(y, 9), 'forecast'
-FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 31)) AS step) s""")
+FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 31)) AS step) s""", text=["t"])
 def history_plus_forecast(spark, sf_dir):
     """Two years of history, then the last value carried on for 30 days."""
     s = order_series(spark, sf_dir)
@@ -254,7 +254,7 @@ def global_top10(spark, sf_dir):
 
 @registered(f"""WITH {WIND_SQL}
 SELECT CodigoNacional AS key, CAST(time AS DATE) AS t, min_by(ff_valor, event_id) AS y
-FROM wind_obs WHERE ff_valor IS NOT NULL GROUP BY 1, 2""")
+FROM wind_obs WHERE ff_valor IS NOT NULL GROUP BY 1, 2""", text=["t"])
 def station_series(spark, sf_dir):
     obs = wind_obs(spark, sf_dir).where("ff_valor IS NOT NULL")
     return series.prepare_series(obs, "CodigoNacional", "time", "ff_valor", "event_id")
