@@ -37,6 +37,14 @@ def test_local_day_bounds_and_pushdown(spark, tmp_path):
     assert shaping.in_local_day(df, "ts").count() == 0
 
 
+@pytest.mark.parametrize("kind,pushed", [("timestamp_ntz", "GreaterThanOrEqual(ts,2024-01-14T00:00"), ("date", "GreaterThanOrEqual(ts,2024-01-14)")])
+def test_local_day_is_pushed_down_for_every_time_type(spark, tmp_path, kind, pushed):
+    path = str(tmp_path / kind)
+    spark.sql(f"SELECT CAST(d AS {kind}) AS ts FROM VALUES (DATE'2024-01-13'), (DATE'2024-01-14'), (DATE'2024-01-15') t(d)").write.parquet(path)
+    today = shaping.in_local_day(spark.read.parquet(path), "ts", dt.datetime(2024, 1, 15, 2, 30))
+    assert today.count() == 1 and pushed in plan_of(today)
+
+
 def test_sanitised_names_must_not_meet(spark):
     assert shaping.sanitise_columns(spark.sql("SELECT 1 AS `a b`, 2 AS c")).columns == ["a_b", "c"]
     with pytest.raises(ValueError):

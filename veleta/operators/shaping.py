@@ -56,11 +56,14 @@ def in_local_day(
     """Rows dated on the day of `as_of` less the offset; `as_of` None means now (FLT2).
 
     Written as a half-open range on the bare column, not on formatted text, so the bounds
-    fold to constants and prune row groups when `ts` is a stored timestamp.
+    fold to constants of its own type and prune row groups when `ts` is a stored time.
     """
     now = F.lit(as_of) if as_of is not None else F.current_timestamp()
     day = F.date_trunc("day", now - F.expr(f"INTERVAL {int(offset_hours)} HOURS"))
-    return df.where((F.col(ts) >= day) & (F.col(ts) < day + F.expr("INTERVAL 1 DAY")))
+    kind = df.schema[ts].dataType
+    return df.where(
+        (F.col(ts) >= day.cast(kind)) & (F.col(ts) < (day + F.expr("INTERVAL 1 DAY")).cast(kind))
+    )
 
 
 def with_constants(df: DataFrame, **values: object) -> DataFrame:

@@ -267,7 +267,7 @@ def event_positions(spark, sf_dir):
 
 
 @registered("""
-SELECT user_id, count_if(pos <= floor(0.8e0 * n)) AS n_train, count_if(pos > floor(0.8e0 * n)) AS n_test,
+SELECT user_id, count(*) FILTER (WHERE pos <= floor(0.8e0 * n)) AS n_train, count(*) FILTER (WHERE pos > floor(0.8e0 * n)) AS n_test,
        max(CASE WHEN pos <= floor(0.8e0 * n) THEN ts END) AS last_train
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
              count(*) OVER (PARTITION BY user_id) AS n FROM events) e GROUP BY user_id""")

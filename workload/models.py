@@ -208,8 +208,8 @@ def ar_run_published(spark, sf_dir):
 
 
 @registered(f"""WITH {RUN_SQL}
-SELECT s.key, count(*) AS n_rows, min(t) AS first_day, max(t) AS last_day, count_if(pos <= floor(0.8e0 * n)) AS n_train,
-       count_if(pos > floor(0.8e0 * n)) AS n_test, 'ARIMA(' || any_value(p) || ', 0, 0)' AS model,
+SELECT s.key, count(*) AS n_rows, min(t) AS first_day, max(t) AS last_day, count(*) FILTER (WHERE pos <= floor(0.8e0 * n)) AS n_train,
+       count(*) FILTER (WHERE pos > floor(0.8e0 * n)) AS n_test, 'ARIMA(' || any_value(p) || ', 0, 0)' AS model,
        round(any_value(rmse), 8) AS rmse, round(any_value(mae), 8) AS mae, round(any_value(r2), 6) AS r2,
        round(any_value(mape), 5) AS mape, round(count_if(pos <= floor(0.8e0 * n)) / count(*), 6) AS train_share,
        30 AS forecast_days, CAST(max(t) + 1 AS DATE) AS forecast_from, CAST(max(t) + 30 AS DATE) AS forecast_to

@@ -25,7 +25,7 @@ def ordered_split(spark, sf_dir):
 
 
 @registered(f"""WITH {SERIES_SQL}
-SELECT key, count_if(pos <= n - floor(0.2e0 * n)) AS n_train, count_if(pos > n - floor(0.2e0 * n)) AS n_test FROM placed GROUP BY key""")
+SELECT key, count(*) FILTER (WHERE pos <= n - floor(0.2e0 * n)) AS n_train, count(*) FILTER (WHERE pos > n - floor(0.2e0 * n)) AS n_test FROM placed GROUP BY key""")
 def ordered_holdout(spark, sf_dir):
     marked = ordering.ordered_holdout(order_series(spark, sf_dir), ["key"], ["t"])
     return marked.groupBy("key").agg(
