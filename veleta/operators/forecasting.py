@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from veleta.operators import arima
 from veleta.operators.metrics import best_candidate
 from veleta.operators.series import _known, future_dates
+from veleta.session import ship_package
 
 
 def _key_type(series: DataFrame) -> str:
@@ -30,6 +31,7 @@ def _spread(df: DataFrame, *by: str) -> DataFrame:
     does, would put all fits into one task. A fixed number of partitions is left alone.
     """
     spark = df.sparkSession
+    ship_package(spark)
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(tasks, *by)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,17 @@ def stabilise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = run_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever it lies on the driver.
+
+    Does nothing when the package came as an archive, as with --py-files, or was shipped before.
+    """
+    package = Path(__file__).resolve().parent
+    context = spark.sparkContext
+    archive = f"{package.name}.zip"
+    if not package.is_dir() or any(f.endswith(f"/{archive}") for f in context.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="veleta-package-")
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
