@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm import near_dedup, sharding, span_dedup, toxicity
+from veleta.llm import bpe, decontaminate, near_dedup, quality, sharding, span_dedup, toxicity
 from veleta.llm.tables import table
 
 
@@ -25,6 +26,19 @@ def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op7_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    ratios = quality.fit_ratio(docs, quality.trusted_texts(docs, labels))
+    return quality.measure(docs, ratios).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def op8_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -35,9 +49,14 @@ def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_bag_minhash, op4_sentence_spans, op6_ftrl_toxicity, op9_feistel_shards)
+    for f in (op2_bag_minhash, op4_sentence_spans, op6_ftrl_toxicity, op7_ngram_ratio, op8_containment, op9_feistel_shards, op10_bpe_transducer)
 }
-# None of these has a form in SQL that DuckDB can run over whole tables.
-ORACLES: dict[str, str] = {}
+# The others have no form in SQL that DuckDB can run over whole tables.
+ORACLES: dict[str, str] = {"op8_containment": decontaminate.SQL}
