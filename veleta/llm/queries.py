@@ -6,19 +6,46 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm import bpe, decontaminate, near_dedup, quality, sharding, span_dedup, toxicity
+from veleta.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    near_dedup,
+    quality,
+    sharding,
+    span_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from veleta.llm.tables import table
+from veleta.session import run_dir
+
+
+def op1_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "tokens")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    return token_files.read_digests(spark, path)
 
 
 def op2_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = span_dedup.dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_sentences", "n_removed", "text")
 
 
+def op5_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.visible_text(table(spark, sf_dir, "pages"))
+
+
 def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
@@ -56,7 +83,18 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_bag_minhash, op4_sentence_spans, op6_ftrl_toxicity, op7_ngram_ratio, op8_containment, op9_feistel_shards, op10_bpe_transducer)
+    for f in (
+        op1_simple8b_tokens,
+        op2_bag_minhash,
+        op3_viterbi_counts,
+        op4_sentence_spans,
+        op5_layout_text,
+        op6_ftrl_toxicity,
+        op7_ngram_ratio,
+        op8_containment,
+        op9_feistel_shards,
+        op10_bpe_transducer,
+    )
 }
 # The others have no form in SQL that DuckDB can run over whole tables.
 ORACLES: dict[str, str] = {"op8_containment": decontaminate.SQL}
