@@ -101,8 +101,7 @@ def measure(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshol
     weights = F.split(F.lit(" ".join(map(str, known))), " ").cast("array<bigint>")
     total = F.aggregate("buckets", F.lit(0).cast("long"), lambda acc, b: acc + F.get(weights, b.cast("int")))
     length = F.length("text")
-    counted = base.select(
-        "row",
+    measures = F.struct(
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
         (length - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -110,6 +109,8 @@ def measure(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshol
         _repeated_words(F.size("words"), grams).cast("long").alias("n_repeat_words"),
         F.when(F.size("buckets") > 0, total / F.size("buckets") / UNIT).alias("score"),
     )
+    # Behind a generator, a filter on the verdict does not move below and compute all of it again.
+    counted = base.select("row", F.explode(F.array(measures)).alias("m")).select("row", "m.*")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return counted.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(F.col("score") >= threshold, F.lit(False)))
 
