@@ -28,8 +28,9 @@ def near_dedup_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated runs of sentences go; a document that loses all its text goes too."""
-    cut = span_dedup.dedup_spans(docs)
-    left = cut.filter((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    gone = fresh(docs, "n_removed")
+    cut = span_dedup.dedup_spans(docs, counts=(fresh(docs, "n_sentences"), gone))
+    left = cut.filter((F.col(gone) == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -124,28 +124,36 @@ def repeated_spans(found: DataFrame) -> DataFrame:
     return found.join(first, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "doc_key", "start", "last")
 
 
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS) -> DataFrame:
+def dedup_spans(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least: int = SENTENCES,
+    words: int = WORDS,
+    counts: tuple[str, str] = ("n_sentences", "n_removed"),
+) -> DataFrame:
     """The rows of `docs` with repeated sentence runs taken out of the text, and two new columns.
 
-    n_sentences counts the sentences before, n_removed those taken out. Runs compare by their
+    `counts` names them: the sentences before, and those taken out. Runs compare by their
     words, so white space does not tell them apart. A text that loses all its sentences becomes
     empty, a NULL text stays NULL, an empty one empty; texts of fewer than `least` sentences or
     `words` words have no runs. Ties between documents of one id go to the lesser text hash; rows
     that repeat id and text are one document and come out alike, so exact copies under other ids
     lose all their runs but rows repeated under one id lose none. NULL ids come first. All other columns stay;
-    n_sentences and n_removed replace columns of these names. An empty table gives no rows.
+    the two new ones replace columns of their names. An empty table gives no rows.
     """
     found = stabilise(spans(docs, id_col, text_col, least, words), "spans")
     gone = repeated_spans(found).groupBy("doc_id", "doc_key").agg(F.collect_set(F.struct("start", "last")).alias("spans"))
     gone = stabilise(gone, "removed")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in (text_col.lower(), "n_sentences", "n_removed")])
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in counts}]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept if c != text_col])
     left = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     left = left.withColumn("key", F.xxhash64("text"))
     joined = left.join(gone, left["id"].eqNullSafe(gone["doc_id"]) & (left["key"] == gone["doc_key"]), "left")
     joined = joined.select("row", "text", "spans")
     cut = in_arrow(joined, _without, f"row {row_type(joined)}, text string, n_sentences long, n_removed long")
-    kept = [c for c in docs.columns if c.lower() not in ("n_sentences", "n_removed")]
-    return cut.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in kept], "n_sentences", "n_removed")
+    columns = [F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in kept]
+    return cut.select(*columns, F.col("n_sentences").alias(counts[0]), F.col("n_removed").alias(counts[1]))
 
 
 def row_type(df: DataFrame) -> str:
