@@ -61,8 +61,15 @@ def choose_strategies(
     return out
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """NULL for NaN in every column of floating numbers."""
+    floating = [f for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({f.name: F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast(f.dataType)) for f in floating})
+
+
 def fit_imputer(train: DataFrame, **overrides) -> Imputer:
-    """Fit fills on the training rows only (MLA1). Only the fill values reach the driver."""
+    """Fit fills on the training rows only (MLA1). NaN is missing. Only the fill values reach the driver."""
+    train = nan_as_null(train)
     strategy = choose_strategies(train, **overrides)
     by = {s: [c for c, v in strategy.items() if v == s] for s in ("mean", "median", "mode", "forward")}
     values: dict[str, object] = {}
@@ -88,6 +95,7 @@ def apply_imputer(
     A column filled by a mean or median becomes double, so that the fill is not cut to a whole
     number. Forward fills need an order; without one, dates take the most frequent value.
     """
+    df = nan_as_null(df)
     forward = [c for c in imputer.forward if c in df.columns and c not in order]
     if forward and order:
         df = forward_fill(df, forward, keys, order, chunk)

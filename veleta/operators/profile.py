@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veleta.operators.joins import null_safe_join
 
@@ -55,8 +56,9 @@ def sample_skewness(value: Column) -> Column:
     """Bias-corrected skewness aggregate, NULL below three values (AGG13).
 
     Spark's own skewness is the population form g1; the sample form is g1*sqrt(n(n-1))/(n-2).
-    A constant column has skewness 0.
+    A constant column has skewness 0. NaN counts as missing.
     """
+    value = F.nanvl(value, F.lit(None).cast("double"))
     n = F.count(value).cast("double")
     corrected = F.skewness(value) * F.sqrt(n * (n - 1)) / F.when(n > 2, n - 2)
     return F.when(F.min(value) == F.max(value), F.when(n > 2, F.lit(0.0))).otherwise(corrected)
@@ -88,10 +90,12 @@ def histogram(df: DataFrame, value: str, bins: int = 30, keys: Sequence[str] = (
     """Equal-width bins over the value range, empty bins included (AGG16).
 
     Bins are closed on the left, the last one on both sides. A constant column gets a range
-    of one half to either side.
+    of one half to either side. NULL and NaN are in no bin.
     """
     keys = list(keys)
     v = F.col(value)
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        v = F.nanvl(v, F.lit(None).cast("double"))
     shown = df.where(v.isNotNull())
     raw = shown.groupBy(*keys).agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
     flat = F.col("lo") == F.col("hi")

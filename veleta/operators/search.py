@@ -123,7 +123,7 @@ def model_search(
             score = evaluator.evaluate(build(name, params).fit(fit_rows).transform(valid_rows))
             error = None
         except Exception as failed:  # a failed trial is a row, not the end of the search
-            score, error = None, str(failed)[:500]
+            score, error = None, str(failed)
         return number, name, params, score, time.monotonic() - begun, error
 
     trials = list(enumerate(draw_trials(max_trials, seed, space)))

@@ -104,7 +104,8 @@ class SemanticModel:
 
         The fact is first aggregated to the relationship keys and its own categories, and only
         those groups meet the dimensions. The join therefore sees each key once per category,
-        however many fact rows the key has. `selections` filters facts through a dimension.
+        however many fact rows the key has. A dimension that repeats a key gives the least of its
+        rows, so no fact counts twice. `selections` filters facts through a dimension.
         """
         fact = self.fact if where is None else self.fact.where(where)
         for dim, selection in (selections or {}).items():
@@ -124,7 +125,8 @@ class SemanticModel:
         labels = {d: d.split(".")[1] if "." in d else d for d in dims}
         for dim, key in link_keys.items():
             wanted = [d.split(".")[1] for d in dims if d.startswith(f"{dim}.")]
-            side = self.dims[dim].select(F.col(links[dim].dim_key).alias(key), *wanted)
+            side = self.dims[dim].select(F.col(links[dim].dim_key).alias(key), F.struct(*wanted).alias("__row"))
+            side = side.groupBy(key).agg(F.min("__row").alias("__row")).select(key, "__row.*")
             grouped = grouped.join(side, key, "left")
         out = grouped.groupBy(*[labels[d] for d in dims]).agg(*[m.final(n) for n, m in used.items()])
         return out.orderBy(*[labels.get(o, o) for o in order]) if order else out

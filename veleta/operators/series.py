@@ -93,7 +93,7 @@ def difference(series: DataFrame, d: int) -> DataFrame:
 
 
 def moving_average(series: DataFrame, period: int, out: str = "trend") -> DataFrame:
-    """Append the centred mean over `period` days, NULL where the frame is cut off (WIN5).
+    """Append the centred mean over `period` days, NULL where the frame is cut off or lacks a value (WIN5).
 
     An even period gives half weight to both ends. The mean is a difference of running sums,
     so a row costs the same for 7 days and for 365.
@@ -105,20 +105,23 @@ def moving_average(series: DataFrame, period: int, out: str = "trend") -> DataFr
     centred = (
         series.withColumn("__i", F.row_number().over(w))
         .withColumn("__mean", F.avg("y").over(_whole()))
-        .withColumn("__run", F.sum(F.col("y") - F.col("__mean")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("__run", F.sum(F.coalesce(F.col("y") - F.col("__mean"), F.lit(0.0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("__seen", F.count("y").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     )
 
-    def upto(shift: int) -> Column:
+    def upto(shift: int, of: str = "__run") -> Column:
         """Running sum `shift` days on; before the first day it is 0."""
         if shift >= 0:
-            return F.lead("__run", shift).over(w)
-        return F.when(F.col("__i") + shift == 0, F.lit(0.0)).otherwise(F.lag("__run", -shift).over(w))
+            return F.lead(of, shift).over(w)
+        return F.when(F.col("__i") + shift == 0, F.lit(0)).otherwise(F.lag(of, -shift).over(w))
 
     if period % 2:
         total = upto(half) - upto(-half - 1)
     else:
         total = (upto(half) + upto(half - 1) - upto(-half) - upto(-half - 1)) / 2
-    return centred.withColumn(out, F.col("__mean") + total / period).drop("__mean", "__run", "__i")
+    full = upto(half, "__seen") - upto(-half - 1, "__seen") == 2 * half + 1
+    mean = F.when(full, F.col("__mean") + total / period)
+    return centred.withColumn(out, mean).drop("__mean", "__run", "__seen", "__i")
 
 
 def _autocorrelations(series: DataFrame, lags: int) -> DataFrame:

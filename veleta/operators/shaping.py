@@ -111,15 +111,24 @@ _SHAPES = {
 }
 
 
+# Zeros in front of a number, or at the end of its decimals.
+_CODE = r"^\s*[+-]?(0\d|\d*\.\d*0\s*$)"
+
+
 def _fits(c: Column, target: str) -> Column:
+    """The value, where the cast is possible and the text is no code with zeros that it would lose."""
     value = c.try_cast(target)
-    return F.when(c.rlike(_SHAPES[target]), value) if target in _SHAPES else value
+    fits = c.rlike(_SHAPES[target]) if target in _SHAPES else None
+    if target in ("bigint", "double"):
+        fits &= ~c.rlike(_CODE)
+    return value if fits is None else F.when(fits, value)
 
 
 def tighten_types(df: DataFrame) -> DataFrame:
     """Cast each column to the narrowest type that loses no value (PRJ11).
 
-    Text becomes bigint, double, timestamp or boolean when every value allows it; doubles
+    Text becomes bigint, double, timestamp or boolean when every value allows it, but codes with
+    zeros that a number would lose, such as "007" and "1.10", stay text; doubles
     that are all whole become bigint. One aggregate pass decides for all columns.
     """
     tests: dict[str, Column] = {}

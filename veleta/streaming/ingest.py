@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,17 +70,23 @@ def append_stream(
     return _start(writer, trigger, lambda w: w.toTable(catalog_name(table)))
 
 
+# Partition columns of `append_merging`, named so that they meet no column of a message.
+_STREAM, _BATCH = "ingest__stream", "ingest__batch"
+
+
 def append_merging(
     sdf: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
     """Append to a parquet folder whose schema may grow between runs (SNK6).
 
-    Each batch owns the partition `batch=<id>` and overwrites it, so a batch that is repeated
-    after a failure leaves the same rows. `read_merged` unites the schemas.
+    Each batch owns a partition named by its stream and its number, and overwrites it, so a batch
+    that is repeated after a failure leaves the same rows. Numbers restart with a new checkpoint,
+    so the checkpoint tells streams apart. `read_merged` unites the schemas.
     """
+    stream = md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{_STREAM}=s{stream}/{_BATCH}={batch_id}")
 
     writer = sdf.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     return _start(writer, trigger, lambda w: w.start())
@@ -90,7 +97,7 @@ def read_merged(spark: SparkSession, path: str, declared: Mapping[str, str] | No
 
     A column that a batch, or every batch, lacks is NULL.
     """
-    stored = spark.read.option("mergeSchema", "true").parquet(path).drop("batch")
+    stored = spark.read.option("mergeSchema", "true").parquet(path).drop(_STREAM, _BATCH)
     if not declared:
         return stored
     first = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import functions as F
 
 from veleta.operators import dedup, ordering, profile, rollup, shaping
@@ -37,7 +39,7 @@ def sql_text_scan(spark, sf_dir):
 
 @registered("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def table_shortcut(spark, sf_dir):
-    name = f"customer_{abs(hash(sf_dir))}"
+    name = f"customer_{crc32(sf_dir.encode())}"
     return as_table(spark, name, f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_acctbal")
 
 
@@ -50,15 +52,15 @@ def derived_columns(spark, sf_dir):
     return shaping.with_constants(wide, model="v1", version=7)
 
 
-@registered("SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderdate, o_totalprice FROM orders")
+@registered("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderdate, o_totalprice FROM orders")
 def key_and_time_casts(spark, sf_dir):
-    """Double key to int, text to timestamp, time column first."""
+    """Double key to bigint, text to timestamp, time column first."""
     text = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("double").alias("o_orderkey"),
         "o_totalprice",
         F.col("o_orderdate").cast("string").alias("o_orderdate"),
     )
-    return shaping.time_first(text.withColumn("o_orderkey", F.col("o_orderkey").try_cast("int")), "o_orderdate")
+    return shaping.time_first(text.withColumn("o_orderkey", F.col("o_orderkey").try_cast("bigint")), "o_orderdate")
 
 
 @registered('SELECT l_orderkey AS l_order_key, l_quantity AS qty_units_, l_tax AS tax FROM lineitem')

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veleta.operators import forecasting, series
@@ -36,12 +37,15 @@ def arima_search(spark, sf_dir):
     return forecasting.arima_search(_train(spark, sf_dir))
 
 
-# A short grid keeps the queries below from repeating the full search.
-ORDERS = [(0, 0, 0), (1, 0, 0), (1, 0, 1), (0, 1, 1), (2, 0, 1)]
+_FOUND: dict[tuple[str, str], DataFrame] = {}
 
 
 def _orders(spark, sf_dir):
-    return stabilise(forecasting.best_order(forecasting.arima_search(_train(spark, sf_dir), ORDERS)))
+    """Best of all 48 orders of every series; searched once in a session, stored, then read."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FOUND:
+        _FOUND[key] = stabilise(forecasting.best_order(forecasting.arima_search(_train(spark, sf_dir))))
+    return _FOUND[key]
 
 
 @registered()
@@ -72,22 +76,22 @@ def mean_model_forecast(spark, sf_dir):
 
 @registered(f"""WITH {SERIES_SQL}
 SELECT key, CAST(last + CAST(step AS INTEGER) AS DATE) AS t, round(y, 9) AS yhat
-FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 31)) AS step) s""", text=["t"])
+FROM (SELECT key, max(t) AS last, max_by(y, t) AS y FROM series GROUP BY key) l, (SELECT unnest(range(1, 366)) AS step) s""", text=["t"])
 def random_walk_forecast(spark, sf_dir):
     """Order (0, 1, 0) carries the last value on, which SQL can check."""
     s = order_series(spark, sf_dir)
     order = s.select("key").distinct().select("key", F.lit(0).alias("p"), F.lit(1).alias("d"), F.lit(0).alias("q"))
-    return forecasting.future_forecast(s, order, 30).select("key", "t", F.round("yhat", 9).alias("yhat"))
+    return forecasting.future_forecast(s, order).select("key", "t", F.round("yhat", 9).alias("yhat"))
 
 
 @registered()
 def forecast_published(spark, sf_dir):
-    return forecast_all(order_series(spark, sf_dir), ORDERS, generated_at=STAMP).published
+    return forecast_all(order_series(spark, sf_dir), generated_at=STAMP).published
 
 
 @registered()
 def forecast_summary(spark, sf_dir):
-    return forecast_all(order_series(spark, sf_dir), ORDERS).summary
+    return forecast_all(order_series(spark, sf_dir)).summary
 
 
 # --- autoregressions, which SQL can fit ---------------------------------------------------
@@ -200,9 +204,9 @@ SELECT CAST(last_t + CAST(step AS INTEGER) AS DATE) AS fecha, r.key AS "CodigoNa
        round(CASE WHEN p = 0 THEN mean ELSE c / (1 - phi) + phi ** step * (last_y - c / (1 - phi)) END, 8) AS vviento_pred_ms,
        'ARIMA(' || p || ', 0, 0)' AS modelo_viento, TIMESTAMP '2024-02-01' AS fecha_generacion,
        round(rmse, 8) AS rmse_viento, round(r2, 6) AS r2_viento, round(mape, 5) AS mape_viento
-FROM refit r JOIN chosen ON chosen.key = r.key JOIN errs ON errs.key = r.key, (SELECT unnest(range(1, 31)) AS step) s""", text=["fecha"])
+FROM refit r JOIN chosen ON chosen.key = r.key JOIN errs ON errs.key = r.key, (SELECT unnest(range(1, 366)) AS step) s""", text=["fecha"])
 def ar_run_published(spark, sf_dir):
-    out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30, generated_at=STAMP).published
+    out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, generated_at=STAMP).published
     digits = {"vviento_pred_ms": 8, "rmse_viento": 8, "r2_viento": 6, "mape_viento": 5}
     return out.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
@@ -212,10 +216,10 @@ SELECT s.key, count(*) AS n_rows, min(t) AS first_day, max(t) AS last_day, count
        count(*) FILTER (WHERE pos > floor(0.8e0 * n)) AS n_test, 'ARIMA(' || any_value(p) || ', 0, 0)' AS model,
        round(any_value(rmse), 8) AS rmse, round(any_value(mae), 8) AS mae, round(any_value(r2), 6) AS r2,
        round(any_value(mape), 5) AS mape, round(count_if(pos <= floor(0.8e0 * n)) / count(*), 6) AS train_share,
-       30 AS forecast_days, CAST(max(t) + 1 AS DATE) AS forecast_from, CAST(max(t) + 30 AS DATE) AS forecast_to
+       365 AS forecast_days, CAST(max(t) + 1 AS DATE) AS forecast_from, CAST(max(t) + 365 AS DATE) AS forecast_to
 FROM placed s JOIN chosen ON chosen.key = s.key JOIN errs ON errs.key = s.key GROUP BY s.key""", text=["first_day", "last_day", "forecast_from", "forecast_to"])
 def ar_run_summary(spark, sf_dir):
-    out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS, horizon=30).summary
+    out = forecast_all(order_series(spark, sf_dir), RUN_ORDERS).summary
     digits = {"rmse": 8, "mae": 8, "r2": 6, "mape": 5, "train_share": 6}
     return out.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
@@ -317,8 +321,8 @@ def model_trials(spark, sf_dir):
 
 @registered()
 def batch_score(spark, sf_dir):
-    """Best of four learners stored, loaded and applied to the held-out days."""
-    p, model, _ = _search(spark, sf_dir, 4)
+    """Best of ten trials stored, loaded and applied to the held-out days."""
+    p, model, _ = _search(spark, sf_dir, 10)
     root = run_dir(spark, "models")
     save_model(model, root, "viento", 1)
     test = calendar_features(p.test, "fecha")
