@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from veleta.llm.tables import in_arrow, only
 
 # Entries kept of each table before it is emptied; results do not depend on it.
-KEPT_STEPS, KEPT_WORDS = 400_000, 300_000
+KEPT_STEPS, KEPT_WORDS = 800_000, 300_000
 # Before a space with no white space on either side; no match of the pattern reaches over that place.
 SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
@@ -217,7 +217,9 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
+        # Words met lately, and those of the generation before: what is met again moves over.
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def _learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of words not yet known, each a union of whole matches."""
@@ -239,9 +241,12 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [SINGLE_SPACE.split(t) if t else () for t in texts]
         if len(self.words) > KEPT_WORDS:
-            self.words = {}
-        known = self.words
+            self.words, self.older = {}, self.words
+        known, older = self.words, self.older
         new = {w for ws in cut for w in ws}.difference(known)
+        again = new.intersection(older)
+        known |= {w: older[w] for w in again}
+        new -= again
         learnt = self._learn(list(new))
         known |= {w: ids for w, ids in learnt.items() if len(w) <= 64}
         rest = {w: ids for w, ids in learnt.items() if len(w) > 64}
