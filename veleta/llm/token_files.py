@@ -31,7 +31,7 @@ COUNTS = [60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 WIDTHS = [1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 ZEROS = 120
 BLOCK, PAGE = 1024, 1 << 16
-# Words remembered by a worker before its table is emptied.
+# Words remembered by a worker before a new table is begun; results do not depend on it.
 KEPT_WORDS = 400_000
 SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
@@ -129,16 +129,21 @@ def _tokenizer(data: bytes):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_buffer(data), {}
+    # Words met lately, and those of the generation before: what is met again moves over.
+    return Tokenizer.from_buffer(data), [{}, {}]
 
 
 def _encode(data: bytes, texts: list[str], end_id: int) -> list[np.ndarray]:
     """Ids of every text. Words between single spaces are encoded once and remembered."""
-    tokenizer, known = _tokenizer(data)
+    tokenizer, generations = _tokenizer(data)
     cut = [SINGLE_SPACE.split(t) if t else () for t in texts]
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    new = list({w for ws in cut for w in ws}.difference(known))
+    if len(generations[0]) > KEPT_WORDS:
+        generations[:] = {}, generations[0]
+    known, older = generations
+    new = {w for ws in cut for w in ws}.difference(known)
+    again = new.intersection(older)
+    known |= {w: older[w] for w in again}
+    new = list(new - again)
     for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
         known[w] = np.array(e.ids, np.uint32).tobytes()
     end = np.array([end_id], np.uint32).tobytes()
