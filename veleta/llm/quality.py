@@ -53,15 +53,17 @@ def _bucket_counts(docs: DataFrame, text_col: str) -> DataFrame:
 def fit_ratio(docs: DataFrame, trusted: DataFrame, text_col: str = "text") -> DataFrame:
     """One row with `ratios`: the log-ratio of each of BUCKETS buckets, in whole millionths.
 
-    Counts cover all texts of both frames, with one added to every bucket; without trusted texts
-    the target is even over the buckets.
+    Counts cover all texts of both frames. One is added to every raw bucket, and to the target
+    BUCKETS n-grams that are spread like the raw corpus, so that buckets of which little is known
+    say little; without trusted texts all ratios are zero.
     """
     raw = _bucket_counts(docs, text_col).withColumnRenamed("n", "raw")
     good = _bucket_counts(trusted, text_col).withColumnRenamed("n", "good")
     counts = stabilise(raw.join(good, "bucket", "full").na.fill(0), "buckets")
     whole = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("r"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")).first()
     every = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left").na.fill(0)
-    ratio = F.log((F.col("good") + 1) / (whole["g"] + BUCKETS)) - F.log((F.col("raw") + 1) / (whole["r"] + BUCKETS))
+    share = (F.col("raw") + 1) / (whole["r"] + BUCKETS)
+    ratio = F.log((F.col("good") + BUCKETS * share) / ((whole["g"] + BUCKETS) * share))
     pairs = every.select(F.struct("bucket", F.round(ratio * UNIT).cast("long").alias("ratio")).alias("p"))
     ratios = pairs.agg(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["ratio"]).alias("ratios"))
     return stabilise(ratios, "ratios")
@@ -119,4 +121,5 @@ def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Texts that `labels` calls good; an id labelled more than once counts once."""
     good = labels.filter("quality = 1").select(F.col(f"`{id_col}`").alias("id")).distinct()
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return own.join(good, "id").select("text")
+    # The labels grow with the documents, so they are merged at every size and never broadcast.
+    return own.join(good.hint("merge"), "id").select("text")
