@@ -19,9 +19,9 @@ BUCKETS = 1 << 14
 THRESHOLD = -0.08
 # Log-ratios are kept as whole millionths, so sums do not depend on the order of adding.
 UNIT = 1_000_000
-SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
-SYMBOLS = "#*$%&|<>"
+WORD_CHAR = r"[^\x20\x09-\x0D]"
+SYMBOL = r"[#*$%&|<>]"
 
 
 def _places(n: Column, size: int, then) -> Column:
@@ -29,24 +29,32 @@ def _places(n: Column, size: int, then) -> Column:
     return F.when(n >= size, F.transform(F.sequence(F.lit(0), n - size), then)).otherwise(F.array().cast("array<bigint>"))
 
 
-def with_hashes(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """row (all columns of docs), text (NULL as empty), and a hash of every word, as `words`."""
+def with_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """row (all columns of docs), text (NULL as empty) and its words, as `parts`."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
-    parts = F.array_remove(F.split("text", SPACE_RUN), "")
-    return docs.select(row, text).select("row", "text", F.transform(parts, lambda x: F.xxhash64(x)).alias("words"))
+    return docs.select(row, text).select("row", "text", F.array_remove(F.split("text", SPACE_RUN), "").alias("parts"))
 
 
-def _buckets() -> Column:
-    """Buckets of all words and of all pairs of neighbours."""
-    n, w = F.size("words"), F.col("words")
-    single = F.transform(w, lambda x: F.pmod(x, F.lit(BUCKETS)))
-    pairs = _places(n, 2, lambda i: F.pmod(F.xxhash64(F.lit(2), w[i], w[i + 1]), F.lit(BUCKETS)))
-    return F.concat(single, pairs)
+def _single(word: Column) -> Column:
+    """Bucket of a word, given its hash."""
+    return F.pmod(word, F.lit(BUCKETS))
+
+
+def _pair(word: Column, following: Column) -> Column:
+    """Bucket of two neighbours, given their hashes."""
+    return F.pmod(F.xxhash64(F.lit(2), word, following), F.lit(BUCKETS))
 
 
 def _bucket_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    grams = with_hashes(docs, text_col).select(F.explode(_buckets()).alias("bucket"))
+    """Rows of words and of pairs by bucket: one row per word, hashed outside of any lambda."""
+    p = F.col("parts")
+    words = with_words(docs, text_col).select(F.explode(F.arrays_zip(p.alias("a"), F.slice(p, 2, F.size(p)).alias("b"))).alias("x"))
+    hashed = words.select(
+        F.xxhash64("x.a").alias("a"), F.when(F.col("x.b").isNotNull(), F.xxhash64("x.b")).alias("b")
+    )
+    both = F.array(_single(F.col("a")), F.when(F.col("b").isNotNull(), _pair(F.col("a"), F.col("b"))))
+    grams = hashed.select(F.explode(both).alias("bucket")).filter(F.col("bucket").isNotNull())
     return grams.groupBy("bucket").agg(F.count("*").alias("n"))
 
 
@@ -71,7 +79,7 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, text_col: str = "text") -> Da
 
 def _repeated_words(n: Column, grams: Column) -> Column:
     """Words inside three-word windows that occur twice or more in the text."""
-    placed = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    placed = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
 
     def covered(s: Column) -> Column:
         last = F.size(s) - 1
@@ -94,22 +102,34 @@ def measure(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshol
     Every row is judged on its own, so repeated rows and ids come out alike; extra columns are
     carried in `row` whatever their names. An empty table gives no rows.
     """
-    w, grams, text = F.col("words"), F.col("grams"), F.col("text")
-    triples = _places(F.size("words"), 3, lambda i: F.xxhash64(F.lit(3), w[i], w[i + 1], w[i + 2]))
-    base = with_hashes(docs, text_col).select("row", "text", "words", triples.alias("grams"), _buckets().alias("buckets"))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(F.translate(x, SPACES, " ")) != "")
+    w, grams, text, parts, n = F.col("words"), F.col("grams"), F.col("text"), F.col("parts"), F.size("words")
+    triples = _places(n, 3, lambda i: F.xxhash64(F.lit(3), w[i], w[i + 1], w[i + 2]))
+    hashed = with_words(docs, text_col).select(
+        "row",
+        "text",
+        F.length(F.concat_ws("", parts)).cast("long").alias("word_chars"),
+        F.transform(parts, lambda x: F.xxhash64(x)).alias("words"),
+    )
+    base = hashed.select("row", "text", "word_chars", "words", triples.alias("grams"))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.rlike(x, F.lit(WORD_CHAR)))
     # BUCKETS numbers at most, folded into one literal of the plan.
     known = ratios.first()["ratios"]
     weights = F.split(F.lit(" ".join(map(str, known))), " ").cast("array<bigint>")
-    total = F.aggregate("buckets", F.lit(0).cast("long"), lambda acc, b: acc + F.get(weights, b.cast("int")))
-    length = F.length("text")
+    weight = lambda bucket: F.get(weights, bucket.cast("int"))
+    total = F.aggregate(
+        F.sequence(F.lit(0), n - 1),
+        F.lit(0).cast("long"),
+        lambda acc, i: acc
+        + weight(_single(w[i]))
+        + F.when(i + 1 < n, weight(_pair(w[i], w[i + 1]))).otherwise(F.lit(0).cast("long")),
+    )
     measures = F.struct(
-        F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        (length - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        n.cast("long").alias("n_words"),
+        "word_chars",
+        F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"),
-        _repeated_words(F.size("words"), grams).cast("long").alias("n_repeat_words"),
-        F.when(F.size("buckets") > 0, total / F.size("buckets") / UNIT).alias("score"),
+        _repeated_words(n, grams).cast("long").alias("n_repeat_words"),
+        F.when(n > 0, total / (2 * n - 1) / UNIT).alias("score"),
     )
     # Behind a generator, a filter on the verdict does not move below and compute all of it again.
     counted = base.select("row", F.explode(F.array(measures)).alias("m")).select("row", "m.*")
