@@ -13,6 +13,7 @@ from veleta.llm import (
     near_dedup,
     quality,
     sharding,
+    simhash,
     span_dedup,
     token_counts,
     token_files,
@@ -81,6 +82,10 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op13_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ QUERIES = {
         op8_containment,
         op9_feistel_shards,
         op10_bpe_transducer,
+        op13_simhash_ring,
     )
 }
 # The others have no form in SQL that DuckDB can run over whole tables.
