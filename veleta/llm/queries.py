@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veleta.llm import (
+    alignment,
     bpe,
     decontaminate,
     html_text,
@@ -82,6 +83,11 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op12_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
@@ -99,6 +105,7 @@ QUERIES = {
         op8_containment,
         op9_feistel_shards,
         op10_bpe_transducer,
+        op12_fragment_alignment,
         op13_simhash_ring,
     )
 }
