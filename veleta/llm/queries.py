@@ -19,6 +19,7 @@ from veleta.llm import (
     token_counts,
     token_files,
     toxicity,
+    turns,
 )
 from veleta.llm.tables import table
 from veleta.session import run_dir
@@ -83,6 +84,29 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with the faults that the contract of op11 puts in, by a hash of conversation and turn."""
+    fault = F.crc32(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]).cast("binary")) % 20
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    return conversations.withColumn("fault", fault).filter("fault <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(F.col("fault") == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op11_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = table(spark, sf_dir, "conversations")
+    repaired = turns.repair(turns.ordered_turns(damaged(source), copies=F.col("copies")))
+    ids = source.select("conv_id").distinct().alias("o")
+    out = ids.join(repaired.alias("r"), F.col("o.conv_id").eqNullSafe(F.col("r.conv_id")), "left")
+    counts = [F.coalesce(f"r.{c}", F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select("o.conv_id", *counts, F.coalesce("r.audit", F.lit("")).alias("audit"), F.coalesce("r.repaired_sha256", empty).alias("repaired_sha256"))
+
+
 def op12_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
@@ -105,6 +129,7 @@ QUERIES = {
         op8_containment,
         op9_feistel_shards,
         op10_bpe_transducer,
+        op11_cyk_repair,
         op12_fragment_alignment,
         op13_simhash_ring,
     )
