@@ -106,6 +106,11 @@ def test_containment_threshold(spark):
     assert got == {n: n for n in range(32, 41)}
 
 
+def test_exact_containment_finds_the_same(spark):
+    search = lambda exact: sorted(map(str, dc.contained_items(documents(spark), items(spark), exact=exact).collect()))
+    assert search(True) == search(False)
+
+
 def test_toxicity_learns_and_bears_everything(spark):
     rows = [(i, f"calm text number {i % 17} about rivers and hills " * 4 + ("you utter blockhead" if i % 3 == 0 else "")) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -129,10 +134,18 @@ def test_html(spark):
  a
    b</pre><select><option>s1<option selected>s2</select><details><summary>sum</summary>no</details><p hidden>no</p>a&amp;&lt;b <script>no</script><!-- no -->end"""
     assert render(page).split("\n") == [
-        "One", "", "Two bold text", "next", "", "- a", "- b", "  - c", "  3. x", "  4. y", "", "Cap", "Name  | Qty", "apple | 3", "fig   | 10", "", "yes", "", " a", "   b", "", "s2", "sum", "", "a&<b end",
+        "One", "", "Two bold text", "next", "", "- a", "- b", "  - c", "  3. x", "  4. y", "", "Cap", "Name  | Qty", "apple | 3", "fig   | 10", "", "yes", "", " a", "   b", "", "s2", "sum", "a&<b end",
     ]
 
 
+def test_html_breaks_and_bars():
+    assert render("a<br><br>b<br>c").split("\n") == ["a", "", "b", "c"]
+    assert render("<table><tr><td>a |<td>|<td></table>") == "a | | |"
+    assert render("<ul><li><p>x</p><li>y</ul>").split("\n") == ["- x", "- y"]
+    wide = render("<table><tr><td colspan=120>w<td>end<tr>" + "".join(f"<td>{k}" for k in range(121)) + "</table>")
+    assert wide.split("\n")[0].count("|") == 120
+
+
 @pytest.mark.parametrize("page", ["<" * 3000, "<a" * 3000, "<div>" * 20_000 + "x", "<table><tr><td>" * 2000 + "y", "<p " + "\"'" * 3000, "<!--", "</td></table>z", "<b><i></b>x</i>", None, ""])
 def test_broken_html_does_not_fail(page):
     assert isinstance(render(page), str)

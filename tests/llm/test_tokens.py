@@ -7,6 +7,7 @@ from pathlib import Path
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -15,7 +16,8 @@ import tokenizers  # noqa: E402
 from cases import TEXTS, documents, empty  # noqa: E402
 from tokenizers import models, pre_tokenizers  # noqa: E402
 
-from veleta.llm import bpe, token_counts, token_files  # noqa: E402
+from veleta.llm import bpe, token_counts, token_files, word_ids  # noqa: E402
+from veleta.llm.words import slices  # noqa: E402
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 ALPHABET = [*"abcdefghijklmnop    \n\t'\"1234567890.,;:!?", *"éüñßçêäöÉ日本語中русский \u0085\x1c\x1f🙂👩‍🚀ꙮ", "'s", "'ll", "  ", " \n", "the ", "ing", "<unk>", "<s>", "<0x0A>", "▁"]
@@ -47,11 +49,34 @@ def test_emptied_tables_change_nothing(ranks, monkeypatch):
     texts = some_texts(200, 2)
     want = bpe.Encoder(ranks, public_tokenizers.PATTERN).encode(texts)
     monkeypatch.setattr(bpe, "KEPT_STEPS", 50)
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 10)
+    monkeypatch.setattr(word_ids, "KEPT", 10)
     small = bpe.Encoder(ranks, public_tokenizers.PATTERN)
     assert [ids for t in texts for ids in small.encode([t])] == want
 
 
+def test_foreign_patterns_match_whole_texts(ranks):
+    for pattern in (r"\p{Lu}?[^\p{Lu}]+|\p{Lu}", r"[\s\S]{1,7}", r"\s?[A-Za-z]+(?: of)?|[\s\S]"):
+        own = bpe.Encoder(ranks, pattern)
+        library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        for text in ["x JavaScriptObjectNotation y", "a list of things of use", *some_texts(200, 3)[:200]]:
+            assert own.encode([text])[0] == library.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_a_tokenizer_file_have_the_ids_of_whole_texts(name):
+    path = public_tokenizers.path(name)
+    library = tokenizers.Tokenizer.from_file(path)
+    texts = [*some_texts(600, 4), "x <|endoftext|> y<|endoftext|>", "A b\u00a0 c \u3000d", "one  two   three"]
+    words = token_files._words(Path(path).read_bytes())
+    column = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    for _ in range(2):  # the second time from what it remembers
+        got = []
+        for _, data, offsets in slices([column], at_most=3000):
+            ids, ends = words.of(data, offsets)
+            got += [p.tolist() for p in np.split(ids, ends[:-1])]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_decoder_holds_cut_characters_back(ranks):
     tokens = {v: k for k, v in ranks.items()}
     single = [ranks[bytes([b])] for b in "é🙂".encode()]

@@ -18,25 +18,26 @@ from __future__ import annotations
 import base64
 import codecs
 import gc
-import re
-import sys
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
-from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from veleta.llm.tables import in_arrow, only
+from veleta.llm.word_ids import PATTERN, SLICE, WordIds
+from veleta.llm.words import slices
 
-# Entries kept of each table before it is emptied; results do not depend on it.
-KEPT_STEPS, KEPT_WORDS = 800_000, 300_000
-# Before a space with no white space on either side; no match of the pattern reaches over that place.
-SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
+# Entries kept of each table before it is emptied, which bounds a worker's tables to some 150 MB;
+# results do not depend on it.
+KEPT_STEPS, KEPT_MOVES, KEPT_PAIRS = 150_000, 60_000, 400_000
+# Ids decoded at a time.
+AT_ONCE = 1 << 14
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -115,7 +116,7 @@ class Transducer:
                 a, before = a_half, a
             else:
                 b, before = b_half, b + 1
-        if len(self.pairs) > KEPT_STEPS:
+        if len(self.pairs) > KEPT_PAIRS:
             self.pairs.clear()
         self.pairs[key] = known
         return known
@@ -135,7 +136,7 @@ class Transducer:
             while head not in self.heads:
                 head = head[1:]
             found = head, ending, [old[k - 1] if k else -1 for k in self._tails(head)]
-            if len(self.moves) > KEPT_STEPS:
+            if len(self.moves) > KEPT_MOVES:
                 self.moves.clear()
             self.moves[(suffix, byte)] = found
         return found
@@ -143,21 +144,29 @@ class Transducer:
     def _make(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The step from a state by a byte: the next state and the ids that became certain."""
         suffix, certain, live = self.states[number]
-        head, ending, sources = self._move(suffix, byte)
+        head, ending, sources = self.moves.get((suffix, byte)) or self._move(suffix, byte)
         for token, i in ending:  # exactly one of them fits
             path = live[i]
-            if self._follows(path[-1] if path else certain, token):
+            last = path[-1] if path else certain
+            known = self.pairs.get(last << 32 | token)
+            if known or (known is None and self._follows(last, token)):
                 here = (*path, token)
                 break
         else:
             raise ValueError("the ranks lack a single byte")
         new = [here if i < 0 else live[i] for i in sources]
         first, shared = new[0], 0
-        shortest = min(map(len, new))
-        while shared < shortest and all(p[shared] == first[shared] for p in new):
-            shared += 1
+        if len(new) == 1:
+            shared = len(first)
+        elif first:
+            shortest = min(map(len, new))
+            while shared < shortest and all(p[shared] == first[shared] for p in new):
+                shared += 1
         out = first[:shared]
-        state = (head, out[-1] if out else certain, tuple([p[shared:] for p in new]) if shared else tuple(new))
+        if shared:
+            new = [p[shared:] for p in new]
+        # The certain token tells nothing once every path has one of its own.
+        state = (head, -1 if all(new) else out[-1] if out else certain, tuple(new))
         found = self.numbers.get(state)
         if found is None:
             found = self.numbers[state] = len(self.states)
@@ -185,20 +194,18 @@ class Transducer:
         return (*out, *self._end(state))
 
     def encode(self, pieces: Iterable[bytes]) -> Iterator[tuple[int, ...]]:
-        """Ids of every match. Matches in order of their bytes go on from where they part."""
-        if self.made > KEPT_STEPS:
-            self._empty()
+        """Ids of every match."""
         steps, tokens_of = self.steps, self.ranks
-        before, trail = b"", [(0, ())]  # state and certain ids behind each byte of the match before
         for piece in pieces:
             whole = tokens_of.get(piece)
             if whole is not None:
                 yield (whole,)
                 continue
-            same = len(commonprefix((before, piece)))
-            del trail[same + 1 :]
-            state, out = trail[same]
-            for byte in piece[same:]:
+            if self.made > KEPT_STEPS:
+                self._empty()
+                steps = self.steps
+            state, out = 0, ()
+            for byte in piece:
                 key = state << 8 | byte
                 step = steps.get(key)
                 if step is None:
@@ -206,31 +213,33 @@ class Transducer:
                 state, ids = step
                 if ids:
                     out += ids
-                trail.append((state, out))
-            before = piece
             yield out + self._end(state)
 
 
 class Encoder:
-    """Encoder of whole texts, many at a time."""
+    """Encoder of whole texts, many at a time; each match of the pattern is encoded on its own.
+
+    The published pattern never matches across a single space, so words between such spaces are
+    encoded once and remembered. With any other pattern a text is matched as a whole.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
-        # Words met lately, and those of the generation before: what is met again moves over.
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of words not yet known, each a union of whole matches."""
-        matches = {w: (w,) if w[1:].isalpha() and w[0] == " " else self.pattern.findall(w) for w in words}
-        pieces = sorted({m.encode("utf-8", "surrogatepass") for ms in matches.values() for m in ms})
+        self.published = pattern == PATTERN
+        self.words = WordIds(self._ids, split=self.published)
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has."""
+        plain = self.published
+        matches = [(w,) if plain and w[0] == " " and w[1:].isalpha() else [m.group() for m in self.pattern.finditer(w)] for w in words]
+        pieces = sorted({m.encode("utf-8", "surrogatepass") for ms in matches for m in ms if m})
         ids = dict(zip(pieces, self._long(pieces)))
-        return {w: sum((ids[m.encode("utf-8", "surrogatepass")] for m in ms), ()) if len(ms) < 9 else self._join(ids, ms) for w, ms in matches.items()}
-
-    @staticmethod
-    def _join(ids: dict[bytes, tuple[int, ...]], matches: list[str]) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(ids[m.encode("utf-8", "surrogatepass")] for m in matches))
+        parts = [ids[m.encode("utf-8", "surrogatepass")] for ms in matches for m in ms if m]
+        flat = np.fromiter(chain.from_iterable(parts), np.uint32)
+        ends = np.append(0, np.cumsum([len(p) for p in parts], dtype=np.int64))
+        upto = np.cumsum([sum(map(bool, ms)) for ms in matches], dtype=np.int64)
+        return flat, np.diff(ends[upto], prepend=0)
 
     def _long(self, pieces: list[bytes]) -> Iterator[tuple[int, ...]]:
         """The transducer for usual matches; very long ones stream through it on their own."""
@@ -239,34 +248,35 @@ class Encoder:
             yield next(usual) if len(p) <= 256 else self.transducer.stream(p)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [SINGLE_SPACE.split(t) if t else () for t in texts]
-        if len(self.words) > KEPT_WORDS:
-            self.words, self.older = {}, self.words
-        known, older = self.words, self.older
-        new = {w for ws in cut for w in ws}.difference(known)
-        again = new.intersection(older)
-        known |= {w: older[w] for w in again}
-        new -= again
-        learnt = self._learn(list(new))
-        known |= {w: ids for w, ids in learnt.items() if len(w) <= 64}
-        rest = {w: ids for w, ids in learnt.items() if len(w) > 64}
-        if rest:
-            return [list(chain.from_iterable([known[w] if w in known else rest[w] for w in ws])) for ws in cut]
-        return [list(chain.from_iterable(map(known.__getitem__, ws))) for ws in cut]
+        column = pa.array(texts, pa.string())
+        return [own for _, data, offsets in slices([pa.RecordBatch.from_arrays([column], names=["text"])], at_most=SLICE) for own in self.split(data, offsets)]
+
+    def split(self, data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
+        ids, ends = self.words.of(data, offsets)
+        return [p.tolist() for p in np.split(ids, ends[:-1])]
+
+
+class Utf8:
+    """Incremental decoder of UTF-8: feed bytes, get text; a character cut between two calls waits for its rest."""
+
+    def __init__(self, errors: str = "replace"):
+        self.decoder = codecs.getincrementaldecoder("utf-8")(errors)
+
+    def feed(self, data: bytes, final: bool = False) -> str:
+        return self.decoder.decode(data, final)
 
 
 class Decoder:
-    """Streaming decoder: feed ids, get text; characters cut between ids wait for their rest."""
+    """Streaming decoder: feed ids, get text."""
 
     def __init__(self, tokens: dict[int, bytes], errors: str = "replace"):
-        self.tokens = tokens
-        self.utf8 = codecs.getincrementaldecoder("utf-8")(errors)
+        self.tokens, self.utf8 = tokens, Utf8(errors)
 
     def feed(self, ids: Iterable[int], final: bool = False) -> str:
-        return self.utf8.decode(b"".join(map(self.tokens.__getitem__, ids)), final)
+        return self.utf8.feed(b"".join(map(self.tokens.__getitem__, ids)), final)
 
 
-def decode(tokens: dict[int, bytes], ids: list[int], at_once: int = 4096) -> Iterator[str]:
+def decode(tokens: dict[int, bytes], ids: list[int], at_once: int = AT_ONCE) -> Iterator[str]:
     """Text of the ids, piece by piece."""
     decoder = Decoder(tokens)
     for k in range(0, len(ids), at_once):
@@ -274,56 +284,62 @@ def decode(tokens: dict[int, bytes], ids: list[int], at_once: int = 4096) -> Ite
     yield decoder.feed((), final=True)
 
 
+class Bytes:
+    """Bytes of every id, end to end."""
+
+    def __init__(self, tokens: dict[int, bytes]):
+        size = max(tokens, default=0) + 1
+        self.lengths = np.zeros(size, np.int64)
+        self.lengths[list(tokens)] = [len(t) for t in tokens.values()]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(tokens[k] for k in sorted(tokens)), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        room = self.lengths[ids]
+        return self.data[np.arange(room.sum()) + np.repeat(self.starts[ids] - (np.cumsum(room) - room), room)].tobytes()
+
+
 @lru_cache(maxsize=2)
-def _loaded(data: bytes, pattern: str) -> tuple[Encoder, dict[int, bytes]]:
-    gc.disable()  # the tables hold no cycles, and scanning them takes long
+def _loaded(data: bytes, pattern: str) -> tuple[Encoder, dict[int, bytes], Bytes]:
     ranks = read_ranks(data)
-    return Encoder(ranks, pattern), {v: k for k, v in ranks.items()}
+    tokens = {v: k for k, v in ranks.items()}
+    loaded = Encoder(ranks, pattern), tokens, Bytes(tokens)
+    gc.freeze()  # the vocabulary stays; scanning it again and again takes long
+    return loaded
 
 
 def _encoded(shared, pattern: str):
     def rows(batches):
-        encoder, _ = _loaded(shared.value, pattern)
-        for batch in batches:
-            for first in range(0, len(batch), 256):
-                part = batch.slice(first, 256)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "text", "ids"])
+        encoder = _loaded(shared.value, pattern)[0]
+        for part, data, offsets in slices(batches, at_most=SLICE):
+            ids, ends = encoder.words.of(data, offsets)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*part.columns, lists], names=["doc_id", "text", "ids"])
 
     return rows
 
 
 def _round_trip(shared, pattern: str):
     def rows(batches):
-        encoder, tokens = _loaded(shared.value, pattern)
-        for batch in batches:
-            for first in range(0, len(batch), 256):
-                part = batch.slice(first, 256)
-                counts, hashes, backs = [], [], []
-                for ids in encoder.encode([t or "" for t in part.column(1).to_pylist()]):
-                    counts.append(len(ids))
-                    hashes.append(sha256(_little(ids)).hexdigest())
-                    back = sha256()
-                    for piece in decode(tokens, ids):
-                        back.update(piece.encode())
-                    backs.append(back.hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(backs)],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        encoder, _, held = _loaded(shared.value, pattern)
+        for part, data, offsets in slices(batches, at_most=SLICE):
+            ids, ends = encoder.words.of(data, offsets)
+            hashes, backs = [], []
+            for own in np.split(ids, ends[:-1]):
+                hashes.append(sha256(own.astype("<u4")).hexdigest())
+                back, utf8 = sha256(), Utf8()
+                for k in range(0, len(own), AT_ONCE):
+                    back.update(utf8.feed(held.joined(own[k : k + AT_ONCE])).encode())
+                back.update(utf8.feed(b"", final=True).encode())
+                backs.append(back.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(hashes, pa.string()), pa.array(backs, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     return rows
 
 
-def _little(ids: list[int]) -> bytes:
-    words = array("I", ids)
-    if words.itemsize != 4:
-        words = array("L", ids)
-    if sys.byteorder == "big":
-        words.byteswap()
-    return words.tobytes()
-
-
 def _share(df: DataFrame, path: str):
     """Broadcast of the vocabulary file, which is of a fixed size and lies on the driver."""
     with open(path, "rb") as file:
@@ -341,7 +357,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
 def _decoded(shared):
     def rows(batches):
-        _, tokens = _loaded(shared.value, ".")
+        tokens = _loaded(shared.value, PATTERN)[1]
         for batch in batches:
             for first in range(0, len(batch), 256):
                 part = batch.slice(first, 256)
@@ -358,6 +374,11 @@ def decode_documents(ids: DataFrame, path: str, id_col: str = "doc_id", ids_col:
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256: encoding and decoding in one pass."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256: encoding and decoding in one pass.
+
+    NULL and empty texts have no ids and the digests of no bytes. Rows are encoded one by one, so
+    repeated rows and NULL ids come out alike; other columns are not read. An empty table gives no
+    rows.
+    """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return in_arrow(only(docs, id_col, text_col), _round_trip(_share(docs, path), pattern), schema)

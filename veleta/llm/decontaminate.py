@@ -38,26 +38,30 @@ def _run_strings(words: str, size: int = SHINGLE) -> Column:
 
 
 def item_runs(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item_id, size (words in a run), runs (distinct) and n_item, for items that have words."""
+    """item (a number of its own), item_id, size (words in a run), runs (distinct) and n_item, for items that have words."""
     own = items.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     own = own.select("item_id", _words().alias("words")).filter(F.size("words") > 0)
     size = F.least(F.size("words"), F.lit(SHINGLE))
     short = F.array(F.concat_ws(" ", "words"))
     runs = F.when(F.size("words") < SHINGLE, short).otherwise(_run_strings("words"))
-    return own.select("item_id", size.alias("size"), runs.alias("runs")).distinct().withColumn("n_item", F.size("runs"))
-
-
-def signatures(runs: DataFrame) -> DataFrame:
-    """The runs of least hash of every item, each with the number of its hash function."""
-    each = runs.select("item_id", "size", "n_item", "runs", F.explode("runs").alias("run"))
-    least = each.select("item_id", "size", "n_item", "runs", "run", F.explode(F.sequence(F.lit(1), F.lit(FUNCTIONS))).alias("k"))
-    chosen = least.groupBy("item_id", "runs", "size", "n_item", "k").agg(F.min_by("run", F.xxhash64("k", "run")).alias("run"))
+    each = own.select("item_id", size.alias("size"), runs.alias("runs")).distinct()
+    return each.withColumns({"n_item": F.size("runs"), "item": F.monotonically_increasing_id()})
+
+
+def signatures(runs: DataFrame, exact: bool = False) -> DataFrame:
+    """The runs of least hash of every item, each with the number of its hash function; all of its runs with `exact`."""
+    each = runs.select("item", "size", "n_item", F.posexplode("runs").alias("at", "run"))
+    if exact:
+        chosen = each.withColumnRenamed("at", "k")
+    else:
+        least = each.select("item", "size", "n_item", "run", F.explode(F.sequence(F.lit(1), F.lit(FUNCTIONS))).alias("k"))
+        chosen = least.groupBy("item", "size", "n_item", "k").agg(F.min_by("run", F.xxhash64("k", "run")).alias("run"))
     # Sizes in powers of two: the partition of an item, and the least size of a document for it.
     part = F.floor(F.log2("n_item")).cast("int").alias("part")
-    return chosen.select("item_id", "size", "k", part, "n_item", F.xxhash64(F.split("run", " ")).alias("run_hash"))
+    return chosen.select("item", "size", "k", part, "n_item", F.xxhash64(F.split("run", " ")).alias("run_hash"))
 
 
-def _candidates(docs: DataFrame, anchors: DataFrame, sizes: list[int], threshold: float) -> DataFrame:
+def _candidates(docs: DataFrame, anchors: DataFrame, sizes: list[int], threshold: float, found_least: int) -> DataFrame:
     found = None
     w = F.col("words")
     for size in sizes:
@@ -65,29 +69,31 @@ def _candidates(docs: DataFrame, anchors: DataFrame, sizes: list[int], threshold
         rows = docs.select("doc_id", "key", "words").select("doc_id", "key", (F.size("words") - size + 1).alias("n_runs"), F.explode(hashes).alias("run_hash"))
         own = anchors.filter(F.col("size") == size).drop("size")
         hits = rows.join(own, "run_hash").filter(F.col("n_runs") >= threshold * F.pow(F.lit(2), "part"))
-        hits = hits.groupBy("doc_id", "key", "item_id", "k").agg(F.first("n_item").alias("n_item"))
+        hits = hits.groupBy("doc_id", "key", "item", "k").agg(F.first("n_item").alias("n_item"))
         found = hits if found is None else found.union(hits)
-    counted = found.groupBy("doc_id", "key", "item_id").agg(F.count_distinct("k").alias("hits"))
-    return counted.filter(F.col("hits") >= FOUND).select("doc_id", "key", "item_id")
+    counted = found.groupBy("doc_id", "key", "item").agg(F.count_distinct("k").alias("hits"))
+    return counted.filter(F.col("hits") >= found_least).select("doc_id", "key", "item")
 
 
-def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = CONTAINED) -> DataFrame:
+def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = CONTAINED, exact: bool = False) -> DataFrame:
     """Pairs doc_id, item_id with n_item, n_shared and containment of at least `threshold`.
 
     Runs are of five words as they stand between ASCII white space; an item of fewer words is one
     run of all its words. NULL and empty texts contain nothing and are contained in nothing. Rows
     that repeat id and text give one pair per item; rows of one id with other texts are searched
-    each, NULL ids too. Other columns are not read. Empty tables give no pairs.
+    each, NULL ids too; items with a NULL id are found like any other. Other columns are not read.
+    Empty tables give no pairs. With `exact` all runs of an item are looked for in place of its
+    signature, so that no pair can be missed, at the cost of more candidates.
     """
     source = only(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
     runs = stabilise(item_runs(items), "items")
-    anchors = stabilise(signatures(runs), "anchors")
+    anchors = stabilise(signatures(runs, exact), "anchors")
     sizes = sorted(r[0] for r in runs.select("size").distinct().collect()) or [SHINGLE]  # five at most
-    pairs = stabilise(_candidates(source.withColumn("words", _words()), anchors, sizes, threshold), "candidates")
+    pairs = stabilise(_candidates(source.withColumn("words", _words()), anchors, sizes, threshold, 1 if exact else FOUND), "candidates")
     named = source.select("doc_id", "key", "text").join(
-        pairs.select(F.col("doc_id").alias("id"), "key", "item_id"), "key"
+        pairs.select(F.col("doc_id").alias("id"), "key", "item"), "key"
     ).filter(F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
-    both = named.withColumn("words", _words()).join(runs, "item_id")
+    both = named.withColumn("words", _words()).join(runs, "item")
     whole = F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" "))
     long = F.size(F.array_intersect("runs", F.coalesce(_run_strings("words"), F.array().cast("array<string>"))))
     short = F.contains(whole, F.concat(F.lit(" "), F.element_at("runs", 1), F.lit(" "))).cast("int")
@@ -98,7 +104,11 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = CONTAINED) -> DataFrame:
-    """The rows of `docs` that contain no item, with the columns they came with."""
+    """The rows of `docs` that contain no item, with the columns they came with.
+
+    NULL, empty and wordless texts contain none and stay; of repeated rows all stay or go; rows
+    with a NULL id are judged by their own text. Without items all rows stay.
+    """
     dirty = contained_items(docs, items, id_col, text_col, threshold).select(F.col("doc_id").alias("id"), F.col("key")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     left = docs.select(row, F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("key2"))

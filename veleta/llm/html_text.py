@@ -257,8 +257,11 @@ def _table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     out = []
     for cells in grid:
         for n in range(max(map(len, cells), default=0)):
-            parts = [(c[n] if n < len(c) else "").ljust(widths.get(k, 0)) for k, c in enumerate(cells)]
-            out.append(" | ".join(parts).rstrip(" |"))
+            parts = [c[n] if n < len(c) else "" for c in cells]
+            while parts and not parts[-1]:
+                parts.pop()
+            padded = [part.ljust(widths.get(k, 0)) for k, part in enumerate(parts[:-1])]
+            out.append(" | ".join(padded + parts[-1:]))
     return [line for line in out if line]
 
 
@@ -296,9 +299,9 @@ def render(html: str | None) -> str:
             continue
         flow, children = flows[-1], node.children
         if tag == "br":
-            flow.line = flow.line or " "
-            flow._put(flow.line.rstrip(" ")) if flow.line.strip(" ") else flow.newline()
-            flow.line = ""
+            if not flow.line.strip(" "):
+                flow.gap = True  # a break on an empty line leaves that line empty
+            flow.newline()
             continue
         leave: list = []
         if tag == "details" and "open" not in attrs:
@@ -326,7 +329,7 @@ def render(html: str | None) -> str:
             if not table.rows:
                 table.rows.append([])
             row = table.rows[-1]
-            wide, deep = _number(attrs.get("colspan"), 1, 1, 100), _number(attrs.get("rowspan"), 1, 1, 1000)
+            wide, deep = _number(attrs.get("colspan"), 1, 1, 1000), _number(attrs.get("rowspan"), 1, 1, 65534)
 
             def end_cell(cell=cell, row=row, wide=wide, deep=deep):
                 flows.pop()
@@ -346,7 +349,7 @@ def render(html: str | None) -> str:
             flow.space() if not lists else flow.newline()
             step = -1 if "reversed" in attrs else 1
             count = sum(isinstance(c, Node) and c.tag == "li" for c in children)
-            lists.append([tag == "ol", _number(attrs.get("start"), count if step < 0 else 1), step])
+            lists.append([tag == "ol", _number(attrs.get("start"), count if step < 0 else 1), step, True])
 
             def end_list(flow=flow):
                 lists.pop()
@@ -361,7 +364,10 @@ def render(html: str | None) -> str:
                 bullet, lists[-1][1] = f"{number}. ", number + lists[-1][2]
             flow.indents.append(" " * len(bullet))
             flow.bullet = bullet if seen else ""
-            flow.gap = flow.gap and not flow.lines
+            if lists and not lists[-1][3]:
+                flow.gap = False  # items follow each other without empty lines
+            if lists:
+                lists[-1][3] = False
 
             def end_item(flow=flow):
                 flow.newline()

@@ -13,7 +13,7 @@ may have room left, which counts as zeros and is cut off.
 
 from __future__ import annotations
 
-import re
+import json
 from functools import lru_cache
 from zlib import crc32
 
@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veleta.llm.tables import in_arrow, only
+from veleta.llm.word_ids import SLICE, WordIds
+from veleta.llm.words import slices
 from veleta.session import stabilise
 
 # Values in a word and bits of each, by selector from 2 on. Fixed values of the format.
@@ -31,9 +33,8 @@ COUNTS = [60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 WIDTHS = [1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 ZEROS = 120
 BLOCK, PAGE = 1024, 1 << 16
-# Words remembered by a worker before a new table is begun; results do not depend on it.
-KEPT_WORDS = 400_000
-SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
+# Words encoded as one text.
+TOGETHER = 8192
 
 
 def _bit_lengths(ids: np.ndarray) -> np.ndarray:
@@ -122,36 +123,57 @@ def unpack(words: np.ndarray, block_ends: np.ndarray, n: int, block: int = BLOCK
     return out
 
 
+class _Encoder:
+    """Encoder of words by a tokenizer file."""
+
+    def __init__(self, data: bytes):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_buffer(data)
+        file = json.loads(data)
+        before = file.get("pre_tokenizer") or {}
+        # Only this kind of file is known to cut texts before single spaces and to keep all bytes.
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        added = [t["content"] for t in file.get("added_tokens", [])]
+        self.splits = bool(plain) and not file.get("normalizer") and not any(c.isspace() for t in added for c in t)
+        if self.splits:
+            entries = [self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size())]
+            self.lengths = np.array([len(e) if e not in added else len(e.encode()) for e in entries], np.int64)
+
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has.
+
+        Words that begin with a space and have none at their end are encoded as long texts, which
+        the tokenizer cuts between them; the lengths of tokens tell which id belongs to which word.
+        """
+        counts, parts = np.zeros(len(words), np.int64), [None] * len(words)
+        inner = [k for k, w in enumerate(words) if self.splits and w[0] == " " and len(w) > 1 and not w[1].isspace() and not w[-1].isspace()]
+        for first in range(0, len(inner), TOGETHER):
+            own = inner[first : first + TOGETHER]
+            ids = self._each(["".join([words[k] for k in own])])[0]
+            ends = np.cumsum(self.lengths[ids])
+            want = np.cumsum([len(words[k].encode()) for k in own])
+            at = np.searchsorted(ends, want)
+            if len(ends) and at[-1] < len(ends) and (ends[at] == want).all():
+                for k, part in zip(own, np.split(ids, at[:-1] + 1)):
+                    parts[k] = part
+        rest = [k for k, p in enumerate(parts) if p is None]
+        for k, part in zip(rest, self._each([words[k] for k in rest])):
+            parts[k] = part
+        counts[:] = [len(p) for p in parts]
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), counts
+
+
 @lru_cache(maxsize=1)
-def _tokenizer(data: bytes):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    # Words met lately, and those of the generation before: what is met again moves over.
-    return Tokenizer.from_buffer(data), [{}, {}]
-
-
-def _encode(data: bytes, texts: list[str], end_id: int) -> list[np.ndarray]:
-    """Ids of every text. Words between single spaces are encoded once and remembered."""
-    tokenizer, generations = _tokenizer(data)
-    cut = [SINGLE_SPACE.split(t) if t else () for t in texts]
-    if len(generations[0]) > KEPT_WORDS:
-        generations[:] = {}, generations[0]
-    known, older = generations
-    new = {w for ws in cut for w in ws}.difference(known)
-    again = new.intersection(older)
-    known |= {w: older[w] for w in again}
-    new = list(new - again)
-    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[w] = np.array(e.ids, np.uint32).tobytes()
-    end = np.array([end_id], np.uint32).tobytes()
-    out = [np.frombuffer(b"".join([*map(known.__getitem__, ws), end]), np.uint32) for ws in cut]
-    for w in new:
-        if len(w) > 64:
-            del known[w]
-    return out
+def _words(data: bytes) -> WordIds:
+    encoder = _Encoder(data)
+    return WordIds(encoder.words, encoder.splits)
 
 
 PAGES = "part int, page int, start long, doc_ids array<long>, n_tokens array<long>, block_ends array<int>, words binary"
@@ -176,17 +198,16 @@ def _write(shared, end_id: int):
             start, page, ids, lengths, arrays, held = start + held, page + 1, [], [], [], 0
             return out
 
-        for batch in batches:
-            for first in range(0, len(batch), 256):
-                rows = batch.slice(first, 256)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                for doc, found in zip(rows.column(0).to_pylist(), _encode(shared.value, texts, end_id)):
-                    ids.append(doc)
-                    lengths.append(len(found))
-                    arrays.append(found)
-                    held += len(found)
-                    if held >= PAGE:
-                        yield flush()
+        end = np.array([end_id], np.uint32)
+        for rows, data, offsets in slices(batches, at_most=SLICE):
+            found, ends = _words(shared.value).of(data, offsets)
+            for doc, low, high in zip(rows.column(0).to_pylist(), [0, *ends.tolist()], ends.tolist()):
+                ids.append(doc)
+                lengths.append(high - low + 1)
+                arrays += [found[low:high], end]
+                held += high - low + 1
+                if held >= PAGE:
+                    yield flush()
         if ids:
             yield flush()
 
