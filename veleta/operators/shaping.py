@@ -111,8 +111,8 @@ _SHAPES = {
 }
 
 
-# Zeros in front of a number, or at the end of its decimals.
-_CODE = r"^\s*[+-]?(0\d|\d*\.\d*0\s*$)"
+# Zeros in front of a number, or at the end of several decimals; "1.0" is how a number is written.
+_CODE = r"^\s*[+-]?(0\d|\d*\.\d+0\s*$)"
 
 
 def _fits(c: Column, target: str) -> Column:
