@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 class AlertRule:
     """What fires, what the message says and who receives it.
 
-    `condition` None fires on every event. A rule that is not enabled fires on none.
-    `apply_on_update` says whether a changed rule is applied to a stream that is running.
+    `condition` None fires on every event. A rule that is not enabled fires on none. Rules that
+    change while a stream runs are kept in a `RuleBook`.
     """
 
     subject: str
@@ -27,20 +27,16 @@ class AlertRule:
     locale: str = "en-us"
     condition: Column | None = None
     enabled: bool = False
-    apply_on_update: bool = False
 
 
 def _texts(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def alerts(events: DataFrame, rule: AlertRule, keep: Sequence[str] = ()) -> DataFrame:
-    """One alert per firing event; works on streams and tables alike."""
-    fires = rule.condition if rule.condition is not None else F.lit(True)
-    fired = events.where(fires if rule.enabled else F.lit(False))
+def alert_struct(rule: AlertRule) -> list[Column]:
+    """Columns of an alert."""
     extra = F.array(*[F.concat(F.lit(f"{n}: "), c.cast("string")) for n, c in rule.extra.items()])
-    return fired.select(
-        *keep,
+    return [
         F.lit(rule.subject).alias("subject"),
         F.lit(rule.headline).alias("headline"),
         _texts(rule.sent_to).alias("sent_to"),
@@ -49,4 +45,11 @@ def alerts(events: DataFrame, rule: AlertRule, keep: Sequence[str] = ()) -> Data
         F.lit(rule.message).alias("message"),
         extra.cast("array<string>").alias("extra"),
         F.lit(rule.locale).alias("locale"),
-    )
+    ]
+
+
+def alerts(events: DataFrame, rule: AlertRule, keep: Sequence[str] = ()) -> DataFrame:
+    """One alert per firing event; works on streams and tables alike."""
+    fires = rule.condition if rule.condition is not None else F.lit(True)
+    fired = events.where(fires if rule.enabled else F.lit(False))
+    return fired.select(*keep, *alert_struct(rule))

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from veleta.session import run_dir
 from veleta.sinks import open_lakehouse
 from veleta.sources import scan
+from veleta.plans.running_score import RESULT_COLUMNS, running_score
+from veleta.sinks.upsert import read_upserted
 from veleta.streaming import (
-    AlertRule, alerts, append_merging, append_stream, ingest_messages, progress_frame, read_merged, stream_json,
+    AlertRule, BookRule, PathRule, ProgressLog, RuleBook, alerts, alerts_of, append_merging, append_stream, as_events,
+    event_fields, ingest_messages, keep_newest, progress_frame, read_alerts, read_merged, read_progress, stream_events,
+    stream_json, watch,
 )
-from workload.adapters import table
+from workload.adapters import SCORED_SQL, table, weather_obs
 from workload.registry import registered
 
 ONCE = {"availableNow": True}
@@ -100,3 +104,118 @@ def stream_alerts(spark, sf_dir):
         alerts(stream, rule, keep=["event_id"]), f"{folder}/out", f"{folder}/checkpoint", ONCE
     ).awaitTermination()
     return read_merged(spark, f"{folder}/out").select("event_id", "subject", "headline")
+
+
+def _lines(spark, sf_dir):
+    """Events as JSON text whose fields depend on the kind of event, and the day of the month."""
+    e = table(spark, sf_dir, "events")
+    head = F.col("event_id").alias("id")
+    inner = lambda *c: F.to_json(F.struct(head, *c))
+    line = (
+        F.when(F.col("event_type") == "click", inner(F.struct("value", F.col("user_id").alias("user")).alias("click")))
+        .when(F.col("event_type") == "error", inner(F.struct((F.col("user_id") % 7).alias("code")).alias("error")))
+        .otherwise(inner(F.col("event_type").alias("kind"), "value"))
+    )
+    return e.select(line.alias("value"), F.dayofmonth("ts").alias("day"))
+
+
+def _id():
+    return F.try_variant_get(F.col("event"), "$.id", "bigint").alias("event_id")
+
+
+@registered("""
+SELECT * FROM (
+  SELECT '$.id' AS path, 'number' AS kind, count(*) AS n_events FROM events
+  UNION ALL SELECT '$.click', 'object', count(*) FROM events WHERE event_type = 'click'
+  UNION ALL SELECT '$.click.value', 'number', count(value) FROM events WHERE event_type = 'click'
+  UNION ALL SELECT '$.click.user', 'number', count(user_id) FROM events WHERE event_type = 'click'
+  UNION ALL SELECT '$.error', 'object', count(*) FROM events WHERE event_type = 'error'
+  UNION ALL SELECT '$.error.code', 'number', count(user_id) FROM events WHERE event_type = 'error'
+  UNION ALL SELECT '$.kind', 'text', count(event_type) FROM events WHERE event_type NOT IN ('click', 'error')
+  UNION ALL SELECT '$.value', 'number', count(value) FROM events WHERE event_type NOT IN ('click', 'error')
+) WHERE n_events > 0""")
+def event_field_kinds(spark, sf_dir):
+    """What fields events have that come without a schema."""
+    return event_fields(as_events(_lines(spark, sf_dir)))
+
+
+@registered("""
+SELECT event_id, 'strong click' AS rule_id, 'Clic fuerte' AS subject, ['value: ' || CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR)] AS extra
+FROM events WHERE event_type = 'click' AND value > 50
+UNION ALL SELECT event_id, 'any error', 'Error', [] FROM events WHERE event_type = 'error' AND user_id IS NOT NULL
+UNION ALL SELECT event_id, 'purchase', 'Compra', [] FROM events WHERE event_type = 'purchase'""")
+def schemaless_alerts(spark, sf_dir):
+    """A stream of events without a schema becomes alert rows by rules on paths."""
+    folder = run_dir(spark, "schemaless")
+    _lines(spark, sf_dir).select("value").write.text(f"{folder}/in")
+    value = F.try_variant_get(F.col("event"), "$.click.value", "double").cast("decimal(18,2)")
+    rules = {
+        "strong click": AlertRule("Clic fuerte", "", [], extra={"value": value}, condition=PathRule("$.click.value", "number", ">", "50").condition(), enabled=True),
+        "any error": AlertRule("Error", "", [], condition=PathRule("$.error.code", "present").condition(), enabled=True),
+        "purchase": AlertRule("Compra", "", [], condition=PathRule("$.kind", "text", "=", "purchase").condition(), enabled=True),
+        "off": AlertRule("No", "", []),
+    }
+    fired = alerts_of(stream_events(spark, f"{folder}/in", LIMIT), rules, [_id()])
+    append_merging(fired, f"{folder}/out", f"{folder}/checkpoint", ONCE).awaitTermination()
+    return read_merged(spark, f"{folder}/out").select("event_id", "rule_id", "subject", "extra")
+
+
+@registered("""
+WITH v AS (SELECT event_id, value, CASE WHEN day(ts) <= 10 THEN 1 WHEN day(ts) <= 20 THEN 2 ELSE 3 END AS part
+           FROM events WHERE event_type NOT IN ('click', 'error'))
+SELECT event_id, 'live' AS rule_id, CASE WHEN part = 1 THEN 1 ELSE 2 END AS version FROM v WHERE value > CASE WHEN part = 1 THEN 50 ELSE 80 END
+UNION ALL
+SELECT event_id, 'restart', CASE WHEN part < 3 THEN 1 ELSE 2 END FROM v WHERE value > CASE WHEN part < 3 THEN 50 ELSE 80 END""")
+def alerts_rule_changes(spark, sf_dir):
+    """Both rules change after the first part: one holds from the next batch, the other once the stream starts anew."""
+    folder = run_dir(spark, "rules")
+    book, lines = RuleBook(spark, f"{folder}/book"), _lines(spark, sf_dir)
+    over = lambda limit, **more: {"when": PathRule("$.value", "number", ">", str(limit)), "enabled": True, **more}
+    land = lambda days: lines.where(days).select("value").write.mode("append").text(f"{folder}/in")
+    begin = lambda trigger=None: watch(
+        stream_events(spark, f"{folder}/in", LIMIT), book, f"{folder}/out", f"{folder}/checkpoint", [_id()], trigger=trigger
+    )
+    book.publish(BookRule("live", **over(50)), BookRule("restart", **over(50)))
+    land("day <= 10")
+    running = begin()
+    running.processAllAvailable()
+    book.publish(BookRule("live", **over(80, apply_on_update=True)), BookRule("restart", **over(80)))
+    land("day > 10 AND day <= 20")
+    running.processAllAvailable()
+    running.stop()
+    land("day > 20")
+    begin(ONCE).awaitTermination()
+    return read_alerts(spark, f"{folder}/out").select("event_id", "rule_id", "version")
+
+
+@registered("SELECT 24 AS n_batches, 2 AS n_runs, count(*) AS n_rows FROM events")
+def stream_progress_log(spark, sf_dir):
+    """A row for every batch of two runs of a stream, read from the log."""
+    folder = run_dir(spark, "progress-log")
+    messages = _messages(spark, sf_dir)
+    for half in ("day <= 15", "day > 15"):
+        messages.where(half).select("id", "temp").repartition(12).write.mode("append").json(f"{folder}/in")
+        with ProgressLog(spark, f"{folder}/log", every=5) as log:
+            source = stream_json(spark, f"{folder}/in", "id STRING, temp DOUBLE", 1)
+            running = append_merging(source, f"{folder}/out", f"{folder}/checkpoint", ONCE)
+            running.awaitTermination()
+            log.settled(running)
+    entries = read_progress(spark, f"{folder}/log").where("input_rows > 0")
+    return entries.agg(
+        F.count("*").cast("int").alias("n_batches"), F.countDistinct("run_id").cast("int").alias("n_runs"), F.sum("input_rows").alias("n_rows")
+    )
+
+
+@registered("WITH " + SCORED_SQL.replace("{where}", "") + " SELECT " + ", ".join(RESULT_COLUMNS) + " FROM labelled")
+def stream_newest_scored(spark, sf_dir):
+    """Deliveries stream in, late and repeated, into a table of the newest one per hour, which is then scored."""
+    folder = run_dir(spark, "newest")
+    obs = weather_obs(spark, sf_dir)
+    late = F.col("_ingested") % 3 == 0
+    for part in (obs.where(~late), obs.where(late), obs.where(F.col("_ingested") % 10 == 0)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", LIMIT).parquet(f"{folder}/in")
+        keep_newest(
+            stream, f"{folder}/table", f"{folder}/checkpoint", ["dateTime"], "_ingested", F.substring("dateTime", 1, 10), trigger=ONCE
+        ).awaitTermination()
+    return running_score(read_upserted(spark, f"{folder}/table"), all_days=True)
