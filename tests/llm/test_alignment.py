@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
+import tokenizers
 
 from cases import documents, empty
 from veleta.llm import alignment as al
@@ -18,7 +20,9 @@ MORE = [
 
 
 def plain(rows):
-    a, side_a, b, side_b = al._tokenizers(*(open(p, "rb").read() for p in PATHS))
+    a, b = tokenizers.Tokenizer.from_file(PATHS[0]), sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+    a.encode_special_tokens = True
+    _, side_a, _, side_b = al._tokenizers(*(open(p, "rb").read() for p in PATHS))
     token = lambda side, i: side.data[side.starts[i] : side.starts[i] + side.lengths[i]].tobytes()
     held, spread = [], Counter()
     for doc, text in rows:

@@ -139,3 +139,32 @@ def test_top_k(spark):
     assert [r[2] for r in rows(ordering.top_k(df, "aic", 2, tiebreak=["g"]))] == [2, 4]
     per_key = ordering.top_k(df, "aic", 1, ["k"], ["g"])
     assert {r[2] for r in rows(per_key)} == {2, 4}
+
+
+def test_any_order_type_and_no_chunk(spark):
+    """Numbers, text and days order rows without a word about chunks; nothing has to fit a calendar."""
+    df = spark.range(3000).selectExpr("id", "id % 3 AS k", "lpad(CAST(id * 7919 % 3000 AS STRING), 5, '0') AS s", "CAST(NULL AS DOUBLE) AS v").repartition(7)
+    assert [tuple(r) for r in ordering.positions(df, [], ["id"]).select("id", "pos", "n").orderBy("id").head(3)] == [(0, 1, 3000), (1, 2, 3000), (2, 3, 3000)]
+    by_text = ordering.positions(df, ["k"], ["s"])
+    want = df.toPandas().sort_values(["k", "s"])
+    want["pos"] = want.groupby("k").cumcount() + 1
+    got = by_text.select("id", "pos").toPandas().merge(want[["id", "pos"]], on="id", suffixes=("", "_want"))
+    assert len(got) == 3000 and (got["pos"] == got["pos_want"]).all()
+    holes = df.withColumn("v", F.when(F.col("id") % 10 == 0, F.col("id")))
+    filled = ordering.forward_fill(holes, ["v"], [], ["id"])
+    assert filled.where("v <> id - id % 10").count() == 0 and filled.where("v IS NULL").count() == 0
+    assert {r[0] for r in ordering.first_rows(df, 1234, ["id"]).select("id").collect()} == set(range(1234))
+
+
+def test_a_busy_day_is_split(spark):
+    """A hundred thousand rows on one date: no chunk holds much more than its share of the table."""
+    df = spark.range(110_000).selectExpr("id", "IF(id < 10000, date_add(DATE'2024-01-01', CAST(id % 50 AS INT)), DATE'2024-06-01') AS t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = ordering._cut(df, [], ["t"], None)
+        sizes = [r["count"] for r in cut.rows.groupBy(*cut.group()).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 2 * 110_000 / 4
+        at = ordering.positions(df, [], ["t"])
+        assert at.agg(F.count_distinct("pos"), F.min("pos"), F.max("pos")).first() == (110_000, 1, 110_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

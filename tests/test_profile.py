@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from veleta.operators import profile, quantiles, rollup
 
 OBS = [
@@ -103,9 +103,8 @@ def test_medians_equal_numpy(spark, values):
 
 
 @pytest.mark.parametrize("shape", ["spread", "one heavy value", "two halves", "few values"])
-def test_order_statistics_beyond_one_buffer(spark, monkeypatch, shape):
-    """With a small buffer the search has to narrow several times; every rank must be exact."""
-    monkeypatch.setattr(quantiles, "_SMALL", 20)
+def test_order_statistics_of_many_rows(spark, shape):
+    """Every rank must be exact, however the values are spread."""
     column = {
         "spread": "abs(hash(id)) / 7.0D",
         "one heavy value": "IF(id % 3 = 0, 5.0D, abs(hash(id)) % 1000 / 10.0D)",
@@ -118,3 +117,45 @@ def test_order_statistics_beyond_one_buffer(spark, monkeypatch, shape):
     got = quantiles.order_statistics(df, {"v": ranks})
     assert [got["v", r] for r in ranks] == [ordered[r - 1] for r in ranks]
     df.unpersist()
+
+
+def test_order_statistics_keep_the_type_and_all_digits(spark):
+    from decimal import Decimal
+
+    rows_ = [
+        (2**53 + 1, -(2**63), "12345678901234567890.123456789012345678", Decimal("1.25"), dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 2, 3, 4, 567891), 7),
+        (2**53 + 1, 2**63 - 1, "-99999999999999999999.999999999999999999", Decimal("-7.50"), dt.date(1960, 5, 5), dt.datetime(1950, 1, 1), None),
+        (2**53 + 3, 5, "0.000000000000000001", Decimal("3.00"), None, None, 9),
+    ]
+    df = spark.createDataFrame(rows_, "a bigint, b bigint, c string, d decimal(10,2), e date, f timestamp, g int")
+    df = df.withColumn("c", F.col("c").cast("decimal(38,18)"))
+    got = quantiles.order_statistics(df, {c: [1, 2, 3] for c in df.columns})
+    for c in df.columns:
+        known = sorted(r[c] for r in df.select(c).collect() if r[c] is not None)
+        assert [got.get((c, k + 1)) for k in range(len(known))] == known and (c, len(known) + 1) not in got
+    medians = quantiles.exact_medians(df, ["a", "b", "g"])
+    assert medians == {"a": 2**53 + 1, "b": 5, "g": 8} and isinstance(medians["a"], int)
+
+
+def test_bits_of_doubles_sort_like_the_doubles(spark):
+    import math
+    import random
+    import struct
+
+    rng = random.Random(4)
+    values = [0.0, 5e-324, 2.2250738585072014e-308, 2.2250738585072009e-308, 1.7976931348623157e308, math.inf, 0.1]
+    values += [2.0**k for k in range(-1074, 1024, 11)] + [math.nextafter(2.0**k, 0) for k in range(-1000, 1024, 13)]
+    values += [rng.random() * 10.0 ** rng.randint(-300, 300) for _ in range(300)]
+    df = spark.createDataFrame([(v * s,) for v in values for s in (1, -1)], "v double")
+    for v, bits in df.select("v", quantiles._bits(F.col("v"))).collect():
+        whole = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert bits == (-whole if v < 0 else whole) and quantiles._from_bits(bits) == v
+
+
+def test_most_frequent_of_many_columns_takes_one_pass(spark):
+    df = spark.createDataFrame(
+        [(1, "b", None), (10, "a", None), (9, "b", None), (9, "a", None), (None, None, None), (10, "c", None)], "n int, s string, e double"
+    )
+    top = profile.most_frequent(df, ["n", "s", "e"])
+    assert dict(rows(top, "column")) == {"n": "9", "s": "a", "e": None}
+    assert plan_of(top).count("Generate") == 1

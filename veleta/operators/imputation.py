@@ -41,24 +41,35 @@ def choose_strategies(
     Columns named by the caller keep the strategy they are named under. A number without a
     skewness (fewer than three values) takes the most frequent value.
     """
+    return _choose(train, mean, median, mode, exclude, limit)[0]
+
+
+def _choose(train, mean=(), median=(), mode=(), exclude=(), limit: float = 1.0) -> tuple[dict[str, str], dict[str, tuple]]:
+    """Strategies, and mean and number of known values of every number, all from one aggregate."""
     named = {**dict.fromkeys(mode, "mode"), **dict.fromkeys(median, "median"), **dict.fromkeys(mean, "mean")}
     fields = [f for f in train.schema if f.name not in exclude]
-    numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType) and f.name not in named]
-    skews = {}
+    numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
+    found: dict[str, tuple] = {}
     if numeric:
-        aggregates = [sample_skewness(F.col(f"`{c}`").cast("double")).alias(c) for c in numeric]
-        skews = train.agg(*aggregates).first().asDict()
+        value = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in numeric}
+        aggregates = [F.struct(sample_skewness(v), F.avg(F.nanvl(F.col(f"`{c}`"), F.lit(None)) if _floating(train, c) else f"`{c}`"), F.count(v)).alias(c) for c, v in value.items()]
+        found = {c: tuple(r) for c, r in train.agg(*aggregates).first().asDict().items()}
     out = {}
     for f in fields:
+        skew = found[f.name][0] if f.name in found else None
         if f.name in named:
             out[f.name] = named[f.name]
-        elif f.name in skews and skews[f.name] is not None:
-            out[f.name] = "mean" if skews[f.name] <= limit else "median"
+        elif skew is not None:
+            out[f.name] = "mean" if skew <= limit else "median"
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             out[f.name] = "forward"
         else:
             out[f.name] = "mode"
-    return out
+    return out, {c: r[1:] for c, r in found.items()}
+
+
+def _floating(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
 
 
 def nan_as_null(df: DataFrame) -> DataFrame:
@@ -70,12 +81,10 @@ def nan_as_null(df: DataFrame) -> DataFrame:
 def fit_imputer(train: DataFrame, **overrides) -> Imputer:
     """Fit fills on the training rows only (MLA1). NaN is missing. Only the fill values reach the driver."""
     train = nan_as_null(train)
-    strategy = choose_strategies(train, **overrides)
+    strategy, measured = _choose(train, **overrides)
     by = {s: [c for c, v in strategy.items() if v == s] for s in ("mean", "median", "mode", "forward")}
-    values: dict[str, object] = {}
-    if by["mean"]:
-        values |= train.agg(*[F.avg(f"`{c}`").alias(c) for c in by["mean"]]).first().asDict()
-    values |= exact_medians(train, by["median"])
+    values: dict[str, object] = {c: measured[c][0] for c in by["mean"]}
+    values |= exact_medians(train, by["median"], {c: measured[c][1] for c in by["median"]})
     # Dates keep a most frequent value too: a forward fill leaves leading gaps.
     counted = by["mode"] + by["forward"]
     if counted:

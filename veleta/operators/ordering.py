@@ -5,12 +5,16 @@ into chunks that are consecutive in the order, work inside (key, chunk), and car
 needs from earlier chunks through a small per-chunk summary: counts for positions, the last
 value for a fill.
 
-`chunk` is a time unit for the first order column, a column that never decreases along the
-order, or several such columns, coarse to fine. None measures the table and takes the coarsest
-time unit whose largest chunk fits a task (`time_unit_for`). Results do not depend on the
-choice. With several columns the summaries are summed up level by level, so that neither rows
-nor summaries of a key meet in one task: for a table ordered by (day, id), chunk by day and then
-by id range.
+`chunk` None sorts the table over the cluster by keys and order and takes its sorted partitions
+for chunks: bounds come from a sample, equal order values are spread by a hash of the row, and
+what a chunk needs is summed up over partitions. That works for any type that has an order, and
+no key, day or value makes a chunk large. The sorted rows are stored once.
+
+A caller that knows its data can save that sort: `chunk` may be a time unit for the first order
+column, a column that never decreases along the order, or several such columns, coarse to fine.
+Results do not depend on the choice. With several columns the summaries are summed up level by
+level, so that neither rows nor summaries of a key meet in one task: for a table ordered by (day,
+id), chunk by day and then by id range. `time_unit_for` measures which time unit is fine enough.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veleta.operators.joins import tag_nulls
+from veleta.session import stabilise
 
 Chunk = str | Column | Sequence[Column] | None
 
@@ -37,6 +42,9 @@ class _Cut:
     rows: DataFrame
     keys: list[str]
     levels: list[list[str]]
+    # What orders the rows of a chunk; of a sorted table the number of the row, without gaps in a partition.
+    inside: list[str]
+    numbered: bool = False
 
     def group(self, depth: int | None = None) -> list[str]:
         """Keys and the chunk columns of the first `depth` levels (all by default)."""
@@ -82,16 +90,38 @@ def time_unit_for(df: DataFrame, keys: Sequence[str], ts: str, rows: int = ROWS_
     return units[-1]
 
 
+_ROW, _PART = "__row", "__part"
+# Rows of a partition are numbered in the lower bits, as Spark's own row numbers are.
+_PART_BITS = 33
+
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _sorted(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows in partitions that are consecutive in keys and order, with number and partition."""
+    spread = [F.col(f"`{f.name}`") for f in df.schema if _hashable(f.dataType)]
+    by = [*[F.col(f"`{c}`").asc_nulls_first() for c in (*keys, *order)], F.xxhash64(*spread)]
+    dealt = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    row = F.monotonically_increasing_id()
+    return stabilise(dealt.withColumns({_ROW: row}), "sorted").withColumn(_PART, F.shiftright(_ROW, _PART_BITS))
+
+
 def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Chunk) -> _Cut:
     if chunk is None:
-        chunk = time_unit_for(df, keys, order[0])
+        rows = _sorted(df, keys, order)
+        tagged, pairs = tag_nulls(rows, [*keys, _PART], "__c")
+        return _Cut(tagged, [name for pair in pairs[:-1] for name in pair], pairs[-1:], [_ROW], True)
     if isinstance(chunk, str):
         chunk = [F.date_trunc(chunk, F.col(order[0]))]
     elif isinstance(chunk, Column):
         chunk = [chunk]
     names = [f"__chunk{i}" for i in range(len(chunk))]
     tagged, pairs = tag_nulls(df.withColumns(dict(zip(names, chunk))), [*keys, *names], "__c")
-    return _Cut(tagged, [name for pair in pairs[: len(keys)] for name in pair], pairs[len(keys) :])
+    return _Cut(tagged, [name for pair in pairs[: len(keys)] for name in pair], pairs[len(keys) :], list(order))
 
 
 def _offsets(counts: DataFrame, cut: _Cut, depth: int) -> DataFrame:
@@ -106,7 +136,8 @@ def _offsets(counts: DataFrame, cut: _Cut, depth: int) -> DataFrame:
 
 
 def _chunk_offsets(cut: _Cut) -> DataFrame:
-    counts = cut.rows.groupBy(*cut.group()).agg(F.count("*").alias("__rows"))
+    first = [F.min(_ROW).alias("__first")] if cut.numbered else []
+    counts = cut.rows.groupBy(*cut.group()).agg(F.count("*").alias("__rows"), *first)
     return _offsets(counts, cut, len(cut.levels) - 1)
 
 
@@ -116,9 +147,17 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: C
     `order` must tell rows of a key apart; NULL comes first.
     """
     cut = _cut(df, keys, order, chunk)
+    if cut.numbered:
+        placed = cut.rows.join(_chunk_offsets(cut).drop("__rows"), cut.group())
+        ranked = placed.withColumn("__rank", F.col(_ROW) - F.col("__first") + 1)
+        return _positioned(ranked, df)
     inside = Window.partitionBy(*cut.group()).orderBy(*order)
     ranked = cut.rows.withColumn("__rank", F.row_number().over(inside))
-    return ranked.join(_chunk_offsets(cut).drop("__rows"), cut.group()).select(
+    return _positioned(ranked.join(_chunk_offsets(cut).drop("__rows"), cut.group()), df)
+
+
+def _positioned(ranked: DataFrame, df: DataFrame) -> DataFrame:
+    return ranked.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in ("pos", "n")],
         (F.col("__offset") + F.col("__rank")).alias("pos"),
         F.col("__n").alias("n"),
@@ -162,13 +201,13 @@ def forward_fill(
 ) -> DataFrame:
     """Replace NULL by the last value before it in the key's order (WIN4)."""
     cut = _cut(df, keys, order, chunk)
-    moment = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    moment = F.struct(*cut.inside) if len(cut.inside) > 1 else F.col(cut.inside[0])
     # Last value of each column inside the chunk; NULL when the chunk has none.
     closing = cut.rows.groupBy(*cut.group()).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), moment)).alias(f"__close_{c}") for c in cols]
     )
     carried = _carried(closing, cut, cols, len(cut.levels) - 1).drop(*[f"__close_{c}" for c in cols])
-    inside = Window.partitionBy(*cut.group()).orderBy(*order)
+    inside = Window.partitionBy(*cut.group()).orderBy(*cut.inside)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = cut.rows.withColumns({f"__local_{c}": F.last(c, True).over(upto) for c in cols})
     joined = local.join(carried, cut.group())
@@ -180,7 +219,7 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str], chunk: Chunk = None)
     """The first `n` rows in `order`, for caps too large for one task to rank (LIM1).
 
     Chunk counts locate the chunk in which the cap falls. Earlier chunks are kept whole and
-    unsorted; only the boundary chunk is ranked.
+    unsorted; only the boundary chunk is ranked, and of a sorted table none.
     """
     cut = _cut(df, [], order, chunk)
     # The chunk that holds row n, or the last one when there are fewer rows.
@@ -196,7 +235,8 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str], chunk: Chunk = None)
         here = here & (F.col(flag) == edge[flag]) & (F.col(value) == F.lit(edge[value]))
     boundary = cut.rows.where(here)
     if edge["__offset"] + edge["__rows"] > n:
-        boundary = boundary.orderBy(*order).limit(n - edge["__offset"])
+        left = n - edge["__offset"]
+        boundary = boundary.where(F.col(_ROW) < edge["__first"] + left) if cut.numbered else boundary.orderBy(*order).limit(left)
     return cut.rows.where(earlier).unionByName(boundary).select(*df.columns)
 
 

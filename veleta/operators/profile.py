@@ -73,17 +73,30 @@ def skew_corrected(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ())
 def most_frequent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent value of each column as text, lowest value on a tie (AGG14).
 
-    Values are counted with map-side combining before anything is compared, so no task holds
-    a column. Ties compare in the column's own order, hence one small aggregate per column.
+    All columns are counted in one pass, with map-side combining before anything is compared, so
+    no task holds a column. A value is carried in a struct with a field for each column, so ties
+    compare in the column's own order.
     """
-    tops = None
-    for c in cols:
-        counts = df.where(F.col(f"`{c}`").isNotNull()).groupBy(F.col(f"`{c}`").alias("v")).count()
-        # Greatest count first; among equals the value that sorts lowest.
-        top = counts.groupBy("count").agg(F.min("v").alias("v")).agg(F.max_by("v", "count").alias("v"))
-        row = top.select(F.lit(c).alias("column"), F.col("v").cast("string").alias("value"))
-        tops = row if tops is None else tops.unionByName(row)
-    return tops
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, value string")
+    empty = [F.lit(None).cast(df.schema[c].dataType) for c in cols]
+    rows = [
+        F.when(
+            F.col(f"`{c}`").isNotNull(),
+            F.struct(F.lit(i).alias("at"), *[(F.col(f"`{c}`") if i == k else empty[k]).alias(f"v{k}") for k in range(len(cols))]),
+        )
+        for i, c in enumerate(cols)
+    ]
+    names = ["at", *[f"v{k}" for k in range(len(cols))]]
+    counts = df.select(F.inline(F.array_compact(F.array(*rows)))).groupBy(*names).agg(F.count("*").alias("__n"))
+    values = F.struct(*names[1:])
+    # Greatest count first; among equals the value that sorts lowest. Every column keeps its row.
+    lowest = counts.groupBy("at", "__n").agg(F.min(values).alias("v"))
+    top = lowest.groupBy("at").agg(F.max_by("v", "__n").alias("v"))
+    text = F.coalesce(*[F.when(F.col("at") == i, F.col(f"v.v{i}").cast("string")) for i in range(len(cols))])
+    known = top.select(F.col("at"), text.alias("value"))
+    listed = df.sparkSession.createDataFrame(list(enumerate(cols)), "at int, column string")
+    return listed.join(known, "at", "left").select("column", "value")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30, keys: Sequence[str] = ()) -> DataFrame:
@@ -106,14 +119,16 @@ def histogram(df: DataFrame, value: str, bins: int = 30, keys: Sequence[str] = (
     )
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
     if keys:
-        placed = null_safe_join(shown.select(*keys, v.alias("__v")), extent, keys)
+        # Equal values meet before the range of their key reaches them.
+        values = shown.groupBy(*keys, v.alias("__v")).agg(F.count("*").alias("__n"))
+        placed = null_safe_join(values, extent, keys)
         lo, step = F.col("__lo"), width
     else:
-        placed = shown.select(v.alias("__v"))
+        placed = shown.select(v.alias("__v"), F.lit(1).alias("__n"))
         lo = extent.select("__lo").scalar()
         step = extent.select(width).scalar()
     at = F.least(F.floor((F.col("__v") - lo) / step), F.lit(bins - 1)).cast("int").alias("bin")
-    counted = placed.groupBy(*keys, at).agg(F.count("*").alias("n"))
+    counted = placed.groupBy(*keys, at).agg(F.sum("__n").alias("n"))
     all_bins = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     frame = extent.select(*keys, "__lo", width.alias("__w"), all_bins)
     return null_safe_join(frame, counted, [*keys, "bin"], "left").select(

@@ -50,8 +50,9 @@ def prepare_features(
     Clean names, tighten types, drop empty columns, keep numbers and dates, hold out the last
     rows in `order`, fit the fills on the train rows and apply them to both.
     """
-    kept = select_types(drop_all_null(tighten_types(sanitise_columns(df))), ("number", "datetime"))
-    # Fitting the fills takes several passes; each reads the stored columns it needs.
+    # The frame is computed once; types, empty columns and fills are found on the stored columns.
+    raw = stabilise(sanitise_columns(df), "raw")
+    kept = select_types(drop_all_null(tighten_types(raw)), ("number", "datetime"))
     marked = stabilise(ordered_holdout(kept, keys, order, test_share, chunk=chunk), "holdout")
     train = marked.where("is_train").select(*kept.columns)
     test = marked.where(~F.col("is_train")).select(*kept.columns)
