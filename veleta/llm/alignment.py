@@ -13,7 +13,6 @@ ends are sent up a tree, FAN at a time.
 
 from __future__ import annotations
 
-import os
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
@@ -25,12 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veleta.llm.tables import in_arrow, only
+from veleta.llm.token_files import FileEncoder
+from veleta.llm.word_ids import WordIds
+from veleta.llm.words import slices
 from veleta.session import stabilise
 
 # Bytes of a range; documents of one range need no tree.
 RANGE, FAN = 1 << 18, 16
 # Bytes of texts encoded together.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 22
 # Most frequent pairs that every task gets, 16 bytes each; all others are joined.
 HEAD = 1 << 18
 # Pairs held by a task before it hands on their counts.
@@ -58,40 +60,50 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Pieces:
+    """Encoder of words by a file of pieces, which writes a space before every text."""
+
+    def __init__(self, model: bytes):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.side = Side([bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)])
+        # Pieces that hold a space hold it in front, so none reaches over the space before a word.
+        self.splits = not any("▁" in n.lstrip("▁") for n in names)
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that begin with a space, which the model adds itself."""
+        ids = self.model.encode([w[1:] for w in words], num_threads=1) if words else []
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
+
+
 @lru_cache(maxsize=1)
-def _tokenizers(byte_level: bytes, pieces: bytes):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import sentencepiece
-    from tokenizers import Tokenizer
-
-    a = Tokenizer.from_buffer(byte_level)
-    a.encode_special_tokens = True
-    letters = byte_letters()
+def _tokenizers(byte_level: bytes, pieces: bytes) -> tuple[WordIds, Side, WordIds, Side]:
+    a, b, letters = FileEncoder(byte_level, specials=False), Pieces(pieces), byte_letters()
     # Entries outside the alphabet of letters are special tokens, which no text is encoded to.
-    entries = [a.id_to_token(i) or "" for i in range(a.get_vocab_size())]
-    side_a = Side([bytes(letters.get(c, 0) for c in t) for t in entries])
-    b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-    names = [b.id_to_piece(i) for i in range(b.get_piece_size())]
-    side_b = Side([bytes([int(n[3:5], 16)]) if b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)])
-    return a, side_a, b, side_b
-
-
-def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), np.append(0, np.cumsum(counts))
-
-
-def encode(tokenizers, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For every text the ids of both sides and where their tokens end; none where a side has other bytes."""
-    a, side_a, b, side_b = tokenizers
-    ids_a, cuts_a = _flat([e.ids for e in a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)])
-    ids_b, cuts_b = _flat(b.encode(texts, num_threads=1))
-    out = []
-    for k, text in enumerate(texts):
-        x, y = ids_a[cuts_a[k] : cuts_a[k + 1]], ids_b[cuts_b[k] : cuts_b[k + 1]]
-        want = np.frombuffer((" " + text).encode(), np.uint8)
-        if text and np.array_equal(side_a.joined(x), want) and np.array_equal(side_b.joined(y), want):
-            out.append((x, np.cumsum(side_a.lengths[x]), y, np.cumsum(side_b.lengths[y])))
+    entries = [a.tokenizer.id_to_token(i) or "" for i in range(a.tokenizer.get_vocab_size())]
+    side = Side([bytes(letters.get(c, 0) for c in t) for t in entries])
+    return WordIds(a.words, a.splits), side, WordIds(b.words, b.splits), b.side
+
+
+def encode(tokenizers, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For every text, which begins with a space, the ids of both sides and where their tokens end.
+
+    None for a space alone and where a side has other bytes than the text.
+    """
+    words_a, side_a, words_b, side_b = tokenizers
+    (ids_a, to_a), (ids_b, to_b) = words_a.of(data, offsets), words_b.of(data, offsets)
+    ids_a, ids_b = ids_a.astype(np.int64), ids_b.astype(np.int64)
+    whole = all(np.array_equal(side.joined(ids), data) for side, ids in ((side_a, ids_a), (side_b, ids_b)))
+    to_a, to_b, out = np.append(0, to_a), np.append(0, to_b), []
+    for k in range(len(offsets) - 1):
+        x, y, text = ids_a[to_a[k] : to_a[k + 1]], ids_b[to_b[k] : to_b[k + 1]], data[offsets[k] : offsets[k + 1]]
+        ends_x, ends_y = np.cumsum(side_a.lengths[x]), np.cumsum(side_b.lengths[y])
+        same = len(text) > 1 and len(x) and len(y) and ends_x[-1] == ends_y[-1] == len(text)
+        if same and (whole or (np.array_equal(side_a.joined(x), text) and np.array_equal(side_b.joined(y), text))):
+            out.append((x, ends_x, y, ends_y))
         else:
             out.append((NO_IDS,) * 4)
     return out
@@ -179,13 +191,11 @@ def _encoded(shared_a, shared_b, span: int):
         most = max(len(tokenizers[1].lengths), len(tokenizers[3].lengths))
         for batch in batches:
             rows, held = [], 0
-            numbers, ids, column = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            begin = 0
-            while begin < len(ids):
-                end = max(begin + 1, int(np.searchsorted(np.cumsum(sizes[begin:]), AT_ONCE, "right")) + begin)
-                texts = [t or "" for t in column.slice(begin, end - begin).to_pylist()]
-                for row, doc, (a, ends_a, b, ends_b) in zip(numbers[begin:end], ids[begin:end], encode(tokenizers, texts)):
+            spaced = pc.binary_join_element_wise(pa.scalar(""), batch.column(2).fill_null(""), pa.scalar(" "))
+            texts = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spaced], names=["row", "doc_id", "text"])
+            for part, data, offsets in slices([texts], at_most=AT_ONCE):
+                both = encode(tokenizers, data, offsets)
+                for row, doc, (a, ends_a, b, ends_b) in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), both):
                     head = {"row": row, "doc_id": doc, "part": 0}
                     if not len(a):
                         rows.append(head | {"kind": 0, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "pairs": [], "links": []})
@@ -204,7 +214,6 @@ def _encoded(shared_a, shared_b, span: int):
                     if held > 1 << 19:
                         yield _rows(rows)
                         rows, held = [], 0
-                begin = end
             if rows:
                 yield _rows(rows)
 

@@ -123,16 +123,17 @@ def unpack(words: np.ndarray, block_ends: np.ndarray, n: int, block: int = BLOCK
     return out
 
 
-class _Encoder:
-    """Encoder of words by a tokenizer file."""
+class FileEncoder:
+    """Encoder of words by a tokenizer file; `specials` tells whether special tokens in a text count as such."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, specials: bool = True):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(data)
+        self.tokenizer.encode_special_tokens = not specials
         file = json.loads(data)
         before = file.get("pre_tokenizer") or {}
         # Only this kind of file is known to cut texts before single spaces and to keep all bytes.
@@ -152,27 +153,38 @@ class _Encoder:
         Words that begin with a space and have none at their end are encoded as long texts, which
         the tokenizer cuts between them; the lengths of tokens tell which id belongs to which word.
         """
-        counts, parts = np.zeros(len(words), np.int64), [None] * len(words)
-        inner = [k for k, w in enumerate(words) if self.splits and w[0] == " " and len(w) > 1 and not w[1].isspace() and not w[-1].isspace()]
+        counts, order, parts, rest = np.zeros(len(words), np.int64), [], [], []
+        inner = []
+        for k, w in enumerate(words):
+            plain = self.splits and w[0] == " " and len(w) > 1 and not w[1].isspace() and not w[-1].isspace()
+            (inner if plain else rest).append(k)
         for first in range(0, len(inner), TOGETHER):
             own = inner[first : first + TOGETHER]
-            ids = self._each(["".join([words[k] for k in own])])[0]
-            ends = np.cumsum(self.lengths[ids])
-            want = np.cumsum([len(words[k].encode()) for k in own])
+            text = "".join([words[k] for k in own])
+            ids = self._each([text])[0]
+            size = [len(words[k]) for k in own] if text.isascii() else [len(words[k].encode()) for k in own]
+            ends, want = np.cumsum(self.lengths[ids]), np.cumsum(size)
             at = np.searchsorted(ends, want)
-            if len(ends) and at[-1] < len(ends) and (ends[at] == want).all():
-                for k, part in zip(own, np.split(ids, at[:-1] + 1)):
-                    parts[k] = part
-        rest = [k for k, p in enumerate(parts) if p is None]
-        for k, part in zip(rest, self._each([words[k] for k in rest])):
-            parts[k] = part
-        counts[:] = [len(p) for p in parts]
-        return np.concatenate([np.zeros(0, np.uint32), *parts]), counts
+            if len(ends) and at[-1] == len(ends) - 1 and (ends[at] == want).all():
+                counts[own] = np.diff(at, prepend=-1)
+                order += own
+                parts.append(ids)
+            else:
+                rest += own
+        single = self._each([words[k] for k in rest])
+        counts[rest] = [len(p) for p in single]
+        order += rest
+        flat = np.concatenate([np.zeros(0, np.uint32), *parts, *single])
+        # From the order of encoding to that of the words.
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        ends = np.cumsum(counts)
+        return flat[np.arange(len(flat)) + np.repeat(starts - (ends - counts), counts)], counts
 
 
 @lru_cache(maxsize=1)
 def _words(data: bytes) -> WordIds:
-    encoder = _Encoder(data)
+    encoder = FileEncoder(data)
     return WordIds(encoder.words, encoder.splits)
 
 

@@ -74,18 +74,19 @@ class WordIds:
         many = counts[each]
         ends = np.cumsum(many)
         ids = flat[np.arange(ends[-1]) + np.repeat(starts[each] - (ends - many), many)]
-        self._remember(distinct, place, flat, starts, counts)
+        self._remember(distinct, place, new, flat, starts, counts)
         upto = np.append(0, ends)
         return ids, upto[np.searchsorted(at, offsets[1:])]
 
-    def _remember(self, words: list[str], place: np.ndarray, flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
-        short = [k for k, w in enumerate(words) if len(w) <= LONGEST][:KEPT]
-        if len(self.known) + len(short) > KEPT:
+    def _remember(self, words: list[str], place: np.ndarray, new: np.ndarray, flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
+        """Keep short words; where there are too many, those of this slice alone."""
+        if len(self.known) + len(new) > KEPT:
             self._forget()
-        fresh = np.array([k for k in short if words[k] not in self.known], np.int64)
+            new = np.arange(len(words))
+        fresh = [k for k in new.tolist()[:KEPT] if len(words[k]) <= LONGEST]
         own = place[fresh]
         many = counts[own]
         gathered = flat[np.arange(many.sum()) + np.repeat(starts[own] - (np.cumsum(many) - many), many)]
         first = len(self.counts)
-        self.known |= {words[k]: first + i for i, k in enumerate(fresh)}
+        self.known.update(zip([words[k] for k in fresh], range(first, first + len(fresh))))
         self.flat, self.counts = np.concatenate([self.flat, gathered]), np.concatenate([self.counts, many])
