@@ -94,3 +94,25 @@ def test_a_failed_trial_is_a_row(wavy):
 def test_calendar_features(spark):
     out = search.calendar_features(spark.sql("SELECT TIMESTAMP'2024-02-29 10:00:00' AS t"), "t").first()
     assert (out["t_month"], out["t_doy"]) == (2.0, 60.0)
+
+
+def test_text_features_reach_the_learner(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    kinds = [f"k{i}" for i in range(40)]
+    pdf = pd.DataFrame({"day": pd.date_range("2022-01-01", periods=600), "kind": rng.choice(kinds, size=600), "x": rng.normal(size=600)})
+    pdf["y"] = pdf["kind"].str[1:].astype(int) % 2 * 10.0 + pdf["x"]
+    pdf.loc[::50, "kind"] = None
+    train = spark.createDataFrame(pdf)
+    model, trials = search.model_search(train, "y", ["kind", "x"], ["day"], max_trials=4)
+    assert trials.where("error IS NOT NULL").count() == 0
+    path = search.save_model(model, str(tmp_path), "m", 1)
+    unseen = spark.createDataFrame([("k1", 0.0), ("k2", 0.0), ("never", 0.0), (None, 0.0)], "kind string, x double")
+    got = [r["value"] for r in search.score(search.load_model(str(tmp_path), "m", 1), unseen, keep=["kind"]).collect()]
+    assert path and len(got) == 4 and all(np.isfinite(got)) and got[0] - got[1] > 5
+
+
+def test_prepared_categories(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2] if i % 5 else None, float(i)) for i in range(50)], "id int, `the kind` string, v double")
+    p = search.prepare_features(df, order=["id"], exclude=["id"], categories=["the kind"])
+    assert p.train.columns == ["id", "the_kind", "v"] and p.train.where("the_kind IS NULL").count() == 0
+    assert search.prepare_features(df, order=["id"]).train.columns == ["id", "v"]

@@ -4,9 +4,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from veleta.plans.medallion import bronze_to_silver, run_chain, silver_rollups, silver_to_gold
 from veleta.sinks import assert_written, create_table, load_to_new_table, save_path, write_table
+from veleta.sinks.published import publish, roll_back, version_of
 from veleta.sources import as_table, jdbc_options, load_path, pages_to_records, query, read_any, records_frame, scan
 
 RECORD = "id INT, name STRING, phrases ARRAY<STRING>"
@@ -132,3 +133,37 @@ def test_chain_stops_at_the_first_failure():
     with pytest.raises(RuntimeError):
         run_chain([lambda: seen.append("a"), fail, lambda: seen.append("b")])
     assert seen == ["a"]
+
+
+def test_first_gap_among_many_pages(spark):
+    """Bitmaps of 32,768 pages: gaps inside, at the border and behind; a page is parsed once."""
+    body = F.concat(F.lit('{"results": [{"id": '), "page", F.lit('}], "next": "x"}'))
+    pages = spark.range(7, 100_007).select(F.col("id").alias("page"), F.lit(None).cast("string").alias("who")).withColumn("body", body)
+    stop = lambda df: pages_to_records(df, RECORD, 7, source="who").agg(F.max("page")).first()[0]
+    assert stop(pages) == 100_006
+    for gap in (8, 32_774, 32_775, 65_543, 99_999):
+        assert stop(pages.where(F.col("page") != gap)) == gap - 1
+        assert stop(pages.withColumn("body", F.when(F.col("page") != gap, F.col("body")))) == gap - 1
+    assert stop(pages.where("page > 7")) is None and stop(pages.where("page > 40000")) is None
+    plan = plan_of(pages_to_records(pages, RECORD, 7))
+    assert "from_json" not in plan  # what is left reads the stored pages
+
+
+def test_published_versions(spark, lake):
+    name = f"{lake('pub')}.t"
+    first = publish(spark.range(5), name)
+    assert scan(spark, name).count() == 5 and version_of(spark, name) == first
+    reader = scan(spark, name)
+    second = publish(spark.range(7).selectExpr("id", "CAST(id AS STRING) AS s"), name)
+    assert scan(spark, name).columns == ["id", "s"] and reader.count() == 5
+
+    def refuse(rows):
+        assert rows.count() > 100, "too few rows"
+
+    with pytest.raises(AssertionError):
+        publish(spark.range(3), name, check=refuse)
+    with pytest.raises(Exception, match="(?i)divide"):
+        publish(spark.range(3).selectExpr("id / (id - id) AS x"), name)
+    assert version_of(spark, name) == second and scan(spark, name).count() == 7
+    roll_back(spark, name, first)
+    assert scan(spark, name).columns == ["id"]

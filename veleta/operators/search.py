@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veleta.functions.naming import clean_identifier
+from veleta.operators.categories import SUFFIX, fit_categories
 from veleta.operators.imputation import Imputer, apply_imputer, fit_imputer
 from veleta.operators.ordering import Chunk, ordered_holdout
 from veleta.operators.shaping import drop_all_null, sanitise_columns, select_types, tighten_types
@@ -43,16 +45,20 @@ class Prepared:
 
 def prepare_features(
     df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), test_share: float = 0.2,
-    chunk: Chunk = None, exclude: Sequence[str] = (),
+    chunk: Chunk = None, exclude: Sequence[str] = (), categories: Sequence[str] = (),
 ) -> Prepared:
     """Raw frame to filled train and test frames (MLA3).
 
-    Clean names, tighten types, drop empty columns, keep numbers and dates, hold out the last
-    rows in `order`, fit the fills on the train rows and apply them to both.
+    Clean names, tighten types, drop empty columns, keep numbers, dates and the text columns
+    named in `categories`, hold out the last rows in `order`, fit the fills on the train rows and
+    apply them to both.
     """
     # The frame is computed once; types, empty columns and fills are found on the stored columns.
     raw = stabilise(sanitise_columns(df), "raw")
-    kept = select_types(drop_all_null(tighten_types(raw)), ("number", "datetime"))
+    tight = drop_all_null(tighten_types(raw))
+    named = {clean_identifier(c) for c in categories}
+    chosen = set(select_types(tight, ("number", "datetime")).columns) | named
+    kept = tight.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in named else F.col(f"`{c}`") for c in tight.columns if c in chosen])
     marked = stabilise(ordered_holdout(kept, keys, order, test_share, chunk=chunk), "holdout")
     train = marked.where("is_train").select(*kept.columns)
     test = marked.where(~F.col("is_train")).select(*kept.columns)
@@ -102,12 +108,18 @@ def model_search(
     """Best model, refitted on all training rows, and one row per trial (MLA4-5).
 
     Trials are compared on the last rows in `order`, which none of them was fitted on. Each
-    fit is a distributed job; `parallelism` of them are submitted side by side.
+    fit is a distributed job; `parallelism` of them are submitted side by side. Text features
+    become codes by frequency on the rows that trials are fitted on; the codes are part of the
+    model.
     """
     spark = train.sparkSession
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     marked = ordered_holdout(train.where(F.col(label).isNotNull()), keys, order, valid_share, chunk=chunk)
-    ready = assembler.transform(marked).select("features", F.col(label).cast("double").alias("label"), "is_train")
+    texts = [c for c in features if isinstance(train.schema[c].dataType, T.StringType)]
+    before = [fit_categories(marked.where("is_train"), texts)] if texts else []
+    bins = max([32, *[len(labels) + 1 for stage in before for labels in stage.labelsArray]])
+    inputs = [f"{c}{SUFFIX}" if c in texts else c for c in features]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    ready = PipelineModel(stages=[*before, assembler]).transform(marked).select("features", F.col(label).cast("double").alias("label"), "is_train")
     ready = ready.persist()
     fit_rows, valid_rows = ready.where("is_train"), ready.where(~F.col("is_train"))
     evaluator = RegressionEvaluator(metricName=metric)
@@ -115,7 +127,9 @@ def model_search(
     def build(name: str, params: dict):
         kind = space[name][0]
         extra = {"seed": seed} if issubclass(kind, _SEEDED) else {}
-        return kind(featuresCol="features", labelCol="label", **params, **extra)
+        if issubclass(kind, _SEEDED) and bins > 32:
+            extra["maxBins"] = bins  # a tree needs a bin for every code
+        return kind(featuresCol="features", labelCol="label", **{**extra, **params})
 
     def run(trial):
         number, (name, params) = trial
@@ -144,7 +158,7 @@ def model_search(
     table = spark.createDataFrame(
         rows, "trial int, estimator string, params string, metric double, seconds double, is_best boolean, error string"
     )
-    return PipelineModel(stages=[assembler, *model.stages]), table
+    return PipelineModel(stages=[*before, assembler, *model.stages]), table
 
 
 def save_model(model: PipelineModel, root: str, name: str, version: int) -> str:

@@ -60,12 +60,16 @@ def load_to_new_table(df: DataFrame, name: str, fmt: str = "parquet") -> str:
 
 
 def assert_written(df: DataFrame, name: str) -> None:
-    """Read a table back and fail when columns or rows differ from `df`.
+    """Read a table back and fail when columns or rows differ from `df`."""
+    assert_same(df, df.sparkSession.read.table(catalog_name(name)), name)
+
+
+def assert_same(df: DataFrame, stored: DataFrame, name: str) -> None:
+    """Fail when columns or rows of two frames differ.
 
     Both sides are reduced to (row count, order-free hash sums) in one aggregate each, so
     the check moves a single row per side and costs no shuffle of the data.
     """
-    stored = df.sparkSession.read.table(catalog_name(name))
     if stored.dtypes != df.dtypes:
         raise AssertionError(f"schema of {name} differs: {stored.schema} / {df.schema}")
 

@@ -2,11 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veleta.operators.joins import null_safe_join
+from veleta.session import stabilise
+
+# Pages that one bitmap of Spark tells apart.
+_BITS = 32768
+
+
+def _first_zero(bitmap: Column) -> Column:
+    """Position of the lowest bit that is not set; only for bitmaps that are not full."""
+    digits = F.hex(bitmap)
+    full = F.length(F.regexp_extract(digits, "^(FF)*", 0))
+    byte = F.conv(F.substring(digits, full + 1, F.lit(2)), 16, 10).cast("int")
+    # Adding one turns the lowest zero and the ones below it.
+    return full * 4 + F.bit_count(byte.bitwiseXOR(byte + 1)) - 1
+
+
+def _stops(parsed: DataFrame, keys: list[str], page: str, start_page: int) -> DataFrame:
+    """First page that is not read, for every sequence.
+
+    One row of 4 KB for 32,768 pages: which of them hold records. The first zero bit is the first
+    page that is absent or empty.
+    """
+    at = F.col(page) - start_page + 1
+    found = parsed.groupBy(*keys, F.bitmap_bucket_number(at).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.when(F.col("__filled"), at))).alias("__bits"),
+        F.min(F.when(~F.col("__filled"), F.col(page))).alias("__empty"),
+        F.min(F.when(~F.col("__more"), F.col(page) + 1)).alias("__behind"),
+    )
+    bucket, following = F.col("__bucket"), F.lead("__bucket").over(Window.partitionBy(*keys).orderBy("__bucket"))
+    begin = F.lit(start_page) + (bucket - 1) * _BITS
+    gap = F.when(F.bitmap_count("__bits") < _BITS, begin + _first_zero(F.col("__bits"))).when(
+        following.isNull() | (following != bucket + 1), begin + _BITS
+    )
+    stops = found.select(*keys, "__bucket", F.least(gap, "__empty", "__behind").alias("__stop"))
+    first = F.when(F.min("__bucket") > 1, F.lit(start_page))
+    return stops.groupBy(*keys).agg(F.least(F.min("__stop"), first).alias("__stop"))
 
 
 def pages_to_records(
@@ -24,41 +59,26 @@ def pages_to_records(
     page that is absent, unreadable or empty, and stops after the first page without `next`.
     `source` names a column that tells several page sequences apart.
 
-    The stop is a minimum over three distributed tests (an absent successor is found by an
-    anti join), so no task sees the whole sequence and nothing is ordered.
+    The pages are read and parsed once and stored; the stop is found on bitmaps of the pages that
+    hold records, so no task sees a whole sequence of pages.
     """
     if isinstance(record_schema, str):
         record_schema = T.StructType.fromDDL(record_schema)
     keys = [source] if source else []
-    # Two string-typed probes keep the stop test independent of the record layout.
-    shape = T.StructType(
-        [T.StructField("results", T.ArrayType(T.StringType())), T.StructField("next", T.StringType())]
-    )
-    here = pages.where(F.col(page) >= start_page)
-    probe = here.select(*keys, page, F.from_json(body, shape).alias("doc")).select(
+    document = T.StructType([T.StructField("results", T.ArrayType(record_schema)), T.StructField("next", T.StringType())])
+    here = pages.where(F.col(page) >= start_page).select(*keys, page, F.from_json(body, document).alias("__doc"))
+    parsed = here.select(
         *keys,
         page,
-        (F.coalesce(F.size("doc.results"), F.lit(0)) > 0).alias("filled"),
-        (F.coalesce(F.length("doc.next"), F.lit(0)) > 0).alias("more"),
+        F.col("__doc.results").alias("__results"),
+        (F.coalesce(F.size("__doc.results"), F.lit(0)) > 0).alias("__filled"),
+        (F.coalesce(F.length("__doc.next"), F.lit(0)) > 0).alias("__more"),
     )
-    own_stop = F.when(~F.col("filled"), F.col(page)).when(~F.col("more"), F.col(page) + 1)
-    by_content = probe.select(*keys, own_stop.cast("bigint").alias("stop")).where("stop is not null")
-
-    numbers = here.select(*keys, F.col(page).cast("bigint").alias("stop"))
-    expected = numbers.select(*keys, (F.col("stop") + 1).alias("stop"))
-    if source:
-        first = pages.select(source).distinct().select(source, F.lit(start_page).cast("bigint").alias("stop"))
-    else:
-        first = pages.sparkSession.range(start_page, start_page + 1).toDF("stop")
-    absent = null_safe_join(expected.unionByName(first), numbers, [*keys, "stop"], "left_anti")
-
-    stops = by_content.unionByName(absent)
+    parsed = stabilise(parsed, "pages")
+    stops = _stops(parsed, keys, page, start_page)
+    read = parsed.where("__filled").select(*keys, page, "__results")
     if source:
-        last = stops.groupBy(source).agg(F.min("stop").alias("__stop"))
-        kept = null_safe_join(here, last, [source]).where(F.col(page) < F.col("__stop")).drop("__stop")
+        kept = null_safe_join(read, stops, keys).where(F.col(page) < F.col("__stop"))
     else:
-        kept = here.where(F.col(page) < stops.agg(F.min("stop")).scalar())
-    document = T.StructType([T.StructField("results", T.ArrayType(record_schema))])
-    return kept.select(
-        *keys, page, F.explode(F.from_json(body, document).getField("results")).alias("record")
-    ).select(*keys, page, "record.*")
+        kept = read.where(F.col(page) < stops.select("__stop").scalar())
+    return kept.select(*keys, page, F.explode("__results").alias("__record")).select(*keys, page, "__record.*")

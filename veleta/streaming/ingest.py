@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Mapping
 from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -71,39 +74,79 @@ def append_stream(
 
 
 # Partition columns of `append_merging`, named so that they meet no column of a message.
-_STREAM, _BATCH = "ingest__stream", "ingest__batch"
+_SCHEMA, _STREAM, _BATCH = "ingest__schema", "ingest__stream", "ingest__batch"
+_SCHEMAS = "written bigint, ddl string, ingest__schema string, ingest__stream string, ingest__batch bigint"
 
 
 def append_merging(
     sdf: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
-    """Append to a parquet folder whose schema may grow between runs (SNK6).
+    """Append to a parquet folder whose schema may change between runs (SNK6).
 
-    Each batch owns a partition named by its stream and its number, and overwrites it, so a batch
-    that is repeated after a failure leaves the same rows. Numbers restart with a new checkpoint,
-    so the checkpoint tells streams apart. `read_merged` unites the schemas.
+    Each batch owns a partition named by its schema, its stream and its number, and overwrites it,
+    so a batch that is repeated after a failure leaves the same rows. Numbers restart with a new
+    checkpoint, so the checkpoint tells streams apart. What schema a batch has is kept beside the
+    folder; a batch that is repeated with another one counts with the later one. `read_merged`
+    unites the schemas, also where a column has other types.
     """
-    stream = md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    stream = f"s{md5(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{_STREAM}=s{stream}/{_BATCH}={batch_id}")
+        ddl = batch.schema.json()
+        schema = f"c{md5(ddl.encode()).hexdigest()[:16]}"
+        batch.write.mode("overwrite").parquet(f"{path}/{_SCHEMA}={schema}/{_STREAM}={stream}/{_BATCH}={batch_id}")
+        entry = [(time.time_ns(), ddl, schema, stream, batch_id)]
+        batch.sparkSession.createDataFrame(entry, _SCHEMAS).coalesce(1).write.mode("append").parquet(f"{path}.schemas")
 
     writer = sdf.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     return _start(writer, trigger, lambda w: w.start())
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both: whole numbers, double, text; date, timestamp, text."""
+    if a == b:
+        return a
+    if isinstance(a, T.NullType) or isinstance(b, T.NullType):
+        return b if isinstance(a, T.NullType) else a
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return max(a, b, key=lambda t: [k for k, w in enumerate(_WHOLE) if isinstance(t, w)][0])
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    times = (T.DateType, T.TimestampType)
+    return T.TimestampType() if isinstance(a, times) and isinstance(b, times) else T.StringType()
+
+
 def read_merged(spark: SparkSession, path: str, declared: Mapping[str, str] | None = None) -> DataFrame:
     """All batches under one schema: declared columns first, then those that came later.
 
-    A column that a batch, or every batch, lacks is NULL.
+    The files of each schema are read as they were written and then cast to the widest type of
+    each column. A column that a batch, or every batch, lacks is NULL.
     """
-    stored = spark.read.option("mergeSchema", "true").parquet(path).drop(_STREAM, _BATCH)
+    log = spark.read.schema(_SCHEMAS).parquet(f"{path}.schemas")
+    last = log.groupBy(_STREAM, _BATCH).agg(F.max_by(F.struct("ddl", _SCHEMA), "written").alias("w")).select(_STREAM, _BATCH, "w.*")
+    # One row for each schema that messages ever had.
+    schemas = {r[_SCHEMA]: T.StructType.fromJson(json.loads(r["ddl"])) for r in last.groupBy(_SCHEMA, "ddl").agg(F.min(_BATCH).alias("b")).orderBy("b", _SCHEMA).collect()}
+    types: dict[str, T.DataType] = {}
+    for schema in schemas.values():
+        for f in schema:
+            types[f.name] = wider(types[f.name], f.dataType) if f.name in types else f.dataType
+    out = None
+    for name, schema in schemas.items():
+        own = T.StructType([*schema, T.StructField(_STREAM, T.StringType()), T.StructField(_BATCH, T.LongType())])
+        stored = spark.read.schema(own).parquet(f"{path}/{_SCHEMA}={name}")
+        kept = stored.join(last.where(F.col(_SCHEMA) == name).select(_STREAM, _BATCH), [_STREAM, _BATCH], "left_semi")
+        held = set(schema.names)
+        one = kept.select(*[(F.col(f"`{c}`").cast(t) if c in held else F.lit(None).cast(t)).alias(c) for c, t in types.items()])
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType())
     if not declared:
-        return stored
-    first = [
-        (F.col(c).cast(t) if c in stored.columns else F.lit(None).cast(t)).alias(c) for c, t in declared.items()
-    ]
-    return stored.select(*first, *[c for c in stored.columns if c not in declared])
+        return out
+    first = [(F.col(c).cast(t) if c in out.columns else F.lit(None).cast(t)).alias(c) for c, t in declared.items()]
+    return out.select(*first, *[c for c in out.columns if c not in declared])
 
 
 def ingest_messages(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veleta.operators import forecasting, series
+from veleta.operators.categories import coded, dictionary, fit_categories
 from veleta.operators.imputation import apply_imputer, fit_imputer
 from veleta.operators.metrics import forecast_metrics
 from veleta.operators.ordering import ordered_holdout
@@ -16,6 +17,9 @@ from veleta.operators.search import calendar_features, load_model, model_search,
 from veleta.operators.search import score
 from veleta.plans.forecasting import forecast_all
 from veleta.session import run_dir, stabilise
+from veleta.sinks import open_lakehouse
+from veleta.sinks.published import publish
+from veleta.sources import scan
 from workload.adapters import SERIES_SQL, order_series, table, wind_obs
 from workload.registry import registered
 
@@ -37,6 +41,14 @@ def arima_search(spark, sf_dir):
     return forecasting.arima_search(_train(spark, sf_dir))
 
 
+def _published(spark, df, name):
+    """Publish a frame in a lakehouse of its own and read it by its name."""
+    folder = run_dir(spark, name)
+    full = f"{open_lakehouse(spark, folder.rsplit('/', 1)[1], location=folder)}.{name}"
+    publish(df, full)
+    return scan(spark, full)
+
+
 _FOUND: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -86,7 +98,8 @@ def random_walk_forecast(spark, sf_dir):
 
 @registered()
 def forecast_published(spark, sf_dir):
-    return forecast_all(order_series(spark, sf_dir), generated_at=STAMP).published
+    """The forecast as its readers see it: published under a name, then read by that name."""
+    return _published(spark, forecast_all(order_series(spark, sf_dir), generated_at=STAMP).published, "predicciones")
 
 
 @registered()
@@ -316,7 +329,7 @@ def _search(spark, sf_dir, trials):
 @registered()
 def model_trials(spark, sf_dir):
     """Ten trials on the ordered holdout."""
-    return _search(spark, sf_dir, 10)[2].drop("seconds")
+    return _published(spark, _search(spark, sf_dir, 10)[2], "ensayos").drop("seconds")
 
 
 @registered()
@@ -326,7 +339,8 @@ def batch_score(spark, sf_dir):
     root = run_dir(spark, "models")
     save_model(model, root, "viento", 1)
     test = calendar_features(p.test, "fecha")
-    return score(load_model(root, "viento", 1), test, keep=["CodigoNacional", "fecha"])
+    scored = score(load_model(root, "viento", 1), test, keep=["CodigoNacional", "fecha"])
+    return _published(spark, scored, "puntajes")
 
 
 @registered("""
@@ -345,4 +359,64 @@ def linear_score(spark, sf_dir):
     space = {"linear": (LinearRegression, {"regParam": [0.0], "solver": ["normal"]})}
     model, _ = model_search(marked.where("is_train"), "y", ["k"], order, max_trials=1, space=space)
     out = model.transform(marked.where("NOT is_train"))
-    return out.select("user_id", "fecha", F.round("prediction", 3).alias("value"))
+    return _published(spark, out.select("user_id", "fecha", F.round("prediction", 3).alias("value")), "lineal")
+
+
+_CATEGORIES_SQL = """
+o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderpriority END AS priority, o_orderstatus AS status,
+             o_orderstatus <> 'P' AND o_orderkey % 5 <> 0 AS is_train FROM orders),
+counted AS (
+  SELECT 'priority' AS "column", priority AS value, count(*) AS n FROM o WHERE is_train AND priority IS NOT NULL GROUP BY priority
+  UNION ALL SELECT 'status', status, count(*) FROM o WHERE is_train AND status IS NOT NULL GROUP BY status
+),
+codes AS (SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) - 1 AS INTEGER) AS code FROM counted),
+others AS (SELECT "column", CAST(max(code) + 1 AS INTEGER) AS code FROM codes GROUP BY 1)"""
+
+
+def _categories(spark, sf_dir):
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(key % 9 != 0, F.col("o_orderpriority")).alias("priority"), F.col("o_orderstatus").alias("status")
+    )
+    is_train = (F.col("status") != "P") & (key % 5 != 0)
+    return orders, fit_categories(orders.where(is_train), ["priority", "status"])
+
+
+@registered(f"""WITH {_CATEGORIES_SQL} SELECT "column", value, code FROM codes UNION ALL SELECT "column", NULL, code FROM others""")
+def category_dictionary(spark, sf_dir):
+    """Codes by frequency of the training rows, and the place for all other values."""
+    orders, model = _categories(spark, sf_dir)
+    return dictionary(model, orders)
+
+
+@registered(f"""WITH {_CATEGORIES_SQL}
+SELECT o_orderkey, coalesce(p.code, po.code) AS priority_code, coalesce(s.code, so.code) AS status_code
+FROM o LEFT JOIN codes p ON p."column" = 'priority' AND p.value = o.priority
+       LEFT JOIN codes s ON s."column" = 'status' AND s.value = o.status
+       JOIN others po ON po."column" = 'priority' JOIN others so ON so."column" = 'status'""")
+def category_codes(spark, sf_dir):
+    """Every order coded, with missing priorities and a status that training never saw."""
+    orders, model = _categories(spark, sf_dir)
+    return coded(model, orders).select(
+        "o_orderkey", F.col("priority__code").alias("priority_code"), F.col("status__code").alias("status_code")
+    )
+
+
+@registered("""
+SELECT 2 AS version, o_orderpriority AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 2""")
+def published_versions(spark, sf_dir):
+    """Two versions with other columns are published; a third one fails its check and is never seen."""
+    folder = run_dir(spark, "published")
+    name = f"{open_lakehouse(spark, folder.rsplit('/', 1)[1], location=folder)}.resumen"
+    by = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("priority"))
+    publish(by.agg(F.lit(1).alias("version"), F.count("*").alias("n")), name)
+    publish(by.agg(F.lit(2).alias("version"), F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")), name)
+
+    def refuse(rows):
+        raise ValueError("too few rows")
+
+    try:
+        publish(by.agg(F.lit(3).alias("version")), name, check=refuse)
+    except ValueError:
+        pass
+    return scan(spark, name)

@@ -78,6 +78,26 @@ def stream_schema_merge(spark, sf_dir):
     return read_merged(spark, f"{folder}/out", declared)
 
 
+@registered("""
+SELECT 'm-' || CAST(event_id AS VARCHAR) AS id, CASE WHEN day(ts) <= 10 THEN CAST(event_id % 100 AS DOUBLE) ELSE event_id / 4.0e0 END AS reading,
+       CASE WHEN day(ts) <= 20 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS code FROM events""")
+def stream_widened_types(spark, sf_dir):
+    """Whole numbers, then fractions, then text for a code: each run has its types, readers see one."""
+    folder = run_dir(spark, "widened")
+    e = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("m-"), F.col("event_id").cast("string")).alias("id"), "event_id", "user_id", "event_type", F.dayofmonth("ts").alias("day")
+    )
+    parts = [
+        ("day <= 10", (F.col("event_id") % 100).cast("int"), F.col("user_id"), "id STRING, reading INT, code BIGINT"),
+        ("day > 10 AND day <= 20", F.col("event_id") / 4, F.col("user_id"), "id STRING, reading DOUBLE, code BIGINT"),
+        ("day > 20", F.col("event_id") / 4, F.col("event_type"), "id STRING, reading DOUBLE, code STRING"),
+    ]
+    for days, reading, code, schema in parts:
+        _land(e.where(days).select("id", reading.alias("reading"), code.alias("code")), f"{folder}/in")
+        append_merging(stream_json(spark, f"{folder}/in", schema, LIMIT), f"{folder}/out", f"{folder}/checkpoint", ONCE).awaitTermination()
+    return read_merged(spark, f"{folder}/out")
+
+
 @registered("SELECT count(*) AS n_rows, true AS stamped FROM events")
 def stream_progress(spark, sf_dir):
     """Rows read, as the progress entries tell them; without a file limit there is one batch."""
