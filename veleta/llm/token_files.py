@@ -32,9 +32,9 @@ from veleta.session import stabilise
 COUNTS = [60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 WIDTHS = [1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 ZEROS = 120
-BLOCK, PAGE = 1024, 1 << 16
-# Words encoded as one text.
-TOGETHER = 8192
+BLOCK, PAGE = 1024, 1 << 18
+# Words encoded as one text, and words that a task remembers.
+TOGETHER, KEPT_WORDS = 8192, 700_000
 
 
 def _bit_lengths(ids: np.ndarray) -> np.ndarray:
@@ -55,18 +55,16 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.minimum(block, n - np.arange(blocks) * block)
     bits = np.zeros((blocks, block + ZEROS), np.uint8)
     bits[:, :block] = _bit_lengths(padded).reshape(blocks, block)
-    # The widest run that fits each place: the greatest width of a window grows value by value.
+    # Greatest width of a run from each place on, for runs of a power of two; any other run is two of those.
+    spans, size = {1: bits}, 1
+    while size * 2 <= ZEROS:
+        spans[size * 2] = np.maximum(spans[size][:, :-size], spans[size][:, size:])
+        size *= 2
     choice = np.zeros((blocks, block), np.uint8)
-    widest = bits[:, :block].copy()
-    by_count = dict(zip(COUNTS, range(2, 16)))
-    for count in range(1, ZEROS + 1):
-        if count > 1:
-            np.maximum(widest, bits[:, count - 1 : count - 1 + block], out=widest)
-        selector = by_count.get(count)
-        if selector:
-            choice[widest <= WIDTHS[selector - 2]] = selector
-        elif count == ZEROS:
-            choice[widest == 0] = 1
+    for count, selector in [*sorted(zip(COUNTS, range(2, 16))), (ZEROS, 1)]:
+        size = 1 << (count.bit_length() - 1)
+        widest = np.maximum(spans[size][:, :block], spans[size][:, count - size : count - size + block])
+        choice[widest <= (WIDTHS[selector - 2] if selector > 1 else 0)] = selector
     steps = np.array([1, ZEROS, *COUNTS])[choice]
     # All blocks walk from word to word together.
     row, at, rows, places = np.arange(blocks), np.zeros(blocks, np.int64), [], []
@@ -185,7 +183,7 @@ class FileEncoder:
 @lru_cache(maxsize=1)
 def _words(data: bytes) -> WordIds:
     encoder = FileEncoder(data)
-    return WordIds(encoder.words, encoder.splits)
+    return WordIds(encoder.words, encoder.splits, KEPT_WORDS)
 
 
 PAGES = "part int, page int, start long, doc_ids array<long>, n_tokens array<long>, block_ends array<int>, words binary"

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 #: The pattern whose matches are known not to reach over such a cut. A fixed value, published with the vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Bytes of a slice; words remembered from one slice to the next, and the longest of them.
+# Bytes of a slice; words remembered from one slice to the next (some 250 bytes each), and the longest of them.
 SLICE, KEPT, LONGEST = 8 << 20, 200_000, 64
 
 # Second and third bytes of the characters that may be white space: U+0085, U+00A0, U+1680, U+2000 to U+206F, U+3000.
@@ -47,8 +47,8 @@ class WordIds:
     Where `split` is false every text is one word, for tokenizers that may join across spaces.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], split: bool = True):
-        self.encode, self.split = encode, split
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], split: bool = True, kept: int | None = None):
+        self.encode, self.split, self.kept = encode, split, kept or KEPT
         self._forget()
 
     def _forget(self) -> None:
@@ -80,10 +80,10 @@ class WordIds:
 
     def _remember(self, words: list[str], place: np.ndarray, new: np.ndarray, flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
         """Keep short words; where there are too many, those of this slice alone."""
-        if len(self.known) + len(new) > KEPT:
+        if len(self.known) + len(new) > self.kept:
             self._forget()
             new = np.arange(len(words))
-        fresh = [k for k in new.tolist()[:KEPT] if len(words[k]) <= LONGEST]
+        fresh = [k for k in new.tolist()[: self.kept] if len(words[k]) <= LONGEST]
         own = place[fresh]
         many = counts[own]
         gathered = flat[np.arange(many.sum()) + np.repeat(starts[own] - (np.cumsum(many) - many), many)]
