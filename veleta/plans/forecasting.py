@@ -29,7 +29,6 @@ def forecast_all(
     orders: list[tuple[int, int, int]] | None = None,
     horizon: int = 365,
     train_share: float = 0.8,
-    slices: int = 5,
     generated_at: object = None,
 ) -> ForecastRun:
     """Forecast run over all series.
@@ -38,7 +37,7 @@ def forecast_all(
     so both are stored; they are one row per candidate and one per test day.
     """
     split = split_series(series, train_share)
-    candidates = stabilise(arima_search(split.where("is_train"), orders, slices))
+    candidates = stabilise(arima_search(split.where("is_train"), orders))
     chosen = best_order(candidates)
     pairs = stabilise(forecast_test_span(split, chosen))
     metrics = forecast_metrics(pairs, ["key"])

@@ -15,6 +15,7 @@ from veleta.operators.metrics import forecast_metrics
 from veleta.operators.ordering import ordered_holdout
 from veleta.operators.search import calendar_features, load_model, model_search, prepare_features, save_model
 from veleta.operators.search import score
+from veleta.operators.unit_root import unit_root_test
 from veleta.plans.forecasting import forecast_all
 from veleta.session import run_dir, stabilise
 from veleta.sinks import open_lakehouse
@@ -28,7 +29,7 @@ STAMP = dt.datetime(2024, 2, 1)
 
 @registered()
 def adf_test(spark, sf_dir):
-    return forecasting.unit_root_test(order_series(spark, sf_dir))
+    return unit_root_test(order_series(spark, sf_dir))
 
 
 def _train(spark, sf_dir):
@@ -49,15 +50,9 @@ def _published(spark, df, name):
     return scan(spark, full)
 
 
-_FOUND: dict[tuple[str, str], DataFrame] = {}
-
-
 def _orders(spark, sf_dir):
-    """Best of all 48 orders of every series; searched once in a session, stored, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FOUND:
-        _FOUND[key] = stabilise(forecasting.best_order(forecasting.arima_search(_train(spark, sf_dir))))
-    return _FOUND[key]
+    """Best of all 48 orders of every series."""
+    return stabilise(forecasting.best_order(forecasting.arima_search(_train(spark, sf_dir))))
 
 
 @registered()
