@@ -63,7 +63,8 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, text_col: str = "text") -> Da
 
     Counts cover all texts of both frames. One is added to every raw bucket, and to the target
     BUCKETS n-grams that are spread like the raw corpus, so that buckets of which little is known
-    say little; without trusted texts all ratios are zero.
+    say little; without trusted texts all ratios are zero. NULL and empty texts count nothing,
+    repeated rows count each time; empty tables give ratios of zero.
     """
     raw = _bucket_counts(docs, text_col).withColumnRenamed("n", "raw")
     good = _bucket_counts(trusted, text_col).withColumnRenamed("n", "good")
@@ -138,7 +139,7 @@ def measure(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshol
 
 
 def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Texts that `labels` calls good; an id labelled more than once counts once."""
+    """Texts that `labels` calls good; an id labelled more than once counts once, NULL ids and labels not at all."""
     good = labels.filter("quality = 1").select(F.col(f"`{id_col}`").alias("id")).distinct()
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # The labels grow with the documents, so they are merged at every size and never broadcast.

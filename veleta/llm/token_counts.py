@@ -6,7 +6,10 @@ that best path, and no path itself. The rules are those of the tokenizers librar
 model: scores add up in double precision from the left, among equal scores the piece that starts
 first wins, a character without a piece of its own costs ten below the least score, and such
 characters count one token per UTF-8 byte where the vocabulary has byte pieces, else one per run.
-Words begin at white space (U+0020), which belongs to the word behind it as U+2581.
+Words begin at white space (U+0020), which belongs to the word behind it as U+2581; that mark in
+a text counts as white space too, as in the library. A file of another kind of model lends its
+pieces and scores: for a BPE file the counts are those of a unigram model with these pieces, not
+those of the file's own merges.
 """
 
 from __future__ import annotations
