@@ -12,13 +12,21 @@ from veleta.session import run_dir, stabilise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the n-gram ratio; statistics come from this stage's input."""
+    """Documents that pass the base rules and the n-gram ratio; statistics come from this stage's input.
+
+    NULL, empty and short texts fail; every row is judged on its own, so repeated rows and NULL ids
+    come out alike. An empty table gives no rows.
+    """
     ratios = quality.fit_ratio(docs, quality.trusted_texts(docs, table(spark, sf_dir, "labels")))
     return quality.measure(docs, ratios).filter("kept").select("row.*")
 
 
 def near_dedup_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the first in the order of the stage's input."""
+    """One document of each near-duplicate class: the first in the order of the stage's input.
+
+    NULL and wordless texts are never near-duplicates and all stay. Repeated rows are copies, so one
+    stays, whatever their ids. An empty table gives no rows.
+    """
     row = fresh(docs, "row_number")
     rows = stabilise(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     classes = near_dedup.near_duplicates(rows, id_col=row)
@@ -27,7 +35,11 @@ def near_dedup_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated runs of sentences go; a document that loses all its text goes too."""
+    """Repeated runs of sentences go; a document that loses all its text goes too.
+
+    NULL and empty texts stay as they are. The least doc_id keeps a run, ties go to the lesser text
+    hash; rows that repeat id and text come out alike. An empty table gives no rows.
+    """
     gone = fresh(docs, "n_removed")
     cut = span_dedup.dedup_spans(docs, counts=(fresh(docs, "n_sentences"), gone))
     left = cut.filter((F.col(gone) == 0) | (F.trim("text") != ""))
@@ -37,12 +49,20 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark.
+
+    NULL and empty texts hold none and stay; of repeated rows all stay or go; items with a NULL id
+    count. An empty table gives no rows.
+    """
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of the ids and of the decoded bytes of every document left."""
+    """Token count and digests of the ids and of the decoded bytes of every document left.
+
+    NULL and empty texts have no ids; repeated rows and NULL ids come out alike. An empty table gives
+    no rows.
+    """
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
