@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veleta.session import stabilise
+
 DIGIT, LIMB = 16, 64
 _SIGN = 1 << 63
 # Digits of a decimal that fit one limb, and of each of the three limbs of a wider one.
@@ -29,6 +31,11 @@ _EXACT = Context(prec=60)
 _EPOCH = dt.datetime(1970, 1, 1)
 
 
+def _bound(value: Column, then) -> Column:
+    """then(value), with the value worked out once however often it is used."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _bits(v: Column) -> Column:
     """Bits of a double as a signed number in the order of the doubles, out of plain arithmetic.
 
@@ -37,13 +44,20 @@ def _bits(v: Column) -> Column:
     """
     size = F.abs(v)
     guess = F.greatest(F.floor(F.log2(size)).cast("int"), F.lit(-1022))
-    half = F.floor(guess / 2).cast("int")
-    scaled = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), guess - half)
-    # The logarithm may be off by one next to a power of two.
-    exponent = F.when(scaled >= 2, guess + 1).when((scaled < 1) & (guess > -1022), guess - 1).otherwise(guess)
-    fraction = F.when(scaled >= 2, scaled / 2).when((scaled < 1) & (guess > -1022), scaled * 2).otherwise(scaled)
-    units = (fraction * F.lit(2.0**52)).cast("long")  # 2^52 more than the fraction, or a number without a leading one
-    normal = ((exponent + 1022).cast("long") * F.lit(1 << 52)) + units
+
+    def number(guess: Column, scaled: Column) -> Column:
+        # The logarithm may be off by one next to a power of two.
+        low = (scaled < 1) & (guess > -1022)
+        exponent = F.when(scaled >= 2, guess + 1).when(low, guess - 1).otherwise(guess)
+        fraction = F.when(scaled >= 2, scaled / 2).when(low, scaled * 2).otherwise(scaled)
+        # 2^52 more than the fraction, or a number without a leading one.
+        return (exponent + 1022).cast("long") * F.lit(1 << 52) + (fraction * F.lit(2.0**52)).cast("long")
+
+    def scale(guess: Column) -> Column:
+        half = F.floor(guess / 2).cast("int")
+        return size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), guess - half)
+
+    normal = _bound(guess, lambda g: _bound(scale(g), lambda scaled: number(g, scaled)))
     whole = F.when(size == 0, F.lit(0)).when(size == F.lit(math.inf), F.lit(0x7FF << 52)).otherwise(normal).cast("long")
     return F.when(v < 0, -whole).otherwise(whole)
 
@@ -142,7 +156,8 @@ def _select(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[tuple[str
         names = [f"l{i}_{k}" for k in range(len(kind.limbs))]
         limbs += [limb.alias(name) for limb, name in zip(kind.limbs, names)]
         kinds.append(_Kind([F.col(name) for name in names], kind.value))
-    df = df.select(*limbs)
+    # Bits are worked out once; each round reads the stored numbers.
+    df = stabilise(df.select(*limbs), "limbs")
     paths = [_Path(i, (), 0, {r: r for r in ranks[c]}) for i, c in enumerate(cols)]
     done: dict[tuple[str, int], object] = {}
     while paths:
