@@ -119,3 +119,37 @@ def test_recall_in_a_large_group_of_loose_copies(spark, most):
     got = {r.doc_id: r.class_id for r in nd.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(6)).collect()}
     near = [(a, b) for a in docs for b in docs if a < b and similarity(bags[a], bags[b]) >= 0.8]
     assert len(near) > 9_000 and sum(got[a] == got[b] for a, b in near) == len(near)
+
+
+@pytest.mark.parametrize("rows, words", [(1024, 1 << 21), (60, 1 << 21), (1024, 1 << 14)])
+def test_every_link_of_a_large_group_counts_once(spark, monkeypatch, rows, words):
+    """Buckets of over a hundred rows, whole or in cells of several parts; repeated rows and runs too."""
+    monkeypatch.setattr(nd, "CELL_ROWS", rows)
+    monkeypatch.setattr(nd, "CELL_WORDS", words)
+    rng = random.Random(4)
+    base, docs = [f"w{i}" for i in range(240)] + ["again"] * 30, {}
+    for k in range(160):
+        own = list(base)
+        for at in rng.sample(range(240), rng.randint(0, 8)):
+            own[at] = f"x{k}_{at}" if k % 4 else f"x{at}"
+        docs[k] = " ".join(own) + " again" * (k % 3)
+    texts = Counter(docs.values())
+    bags = {t: bag(t) for t in texts}
+    links = Counter(a for a in texts for b in texts if a != b and similarity(bags[a], bags[b]) >= 0.8)
+    df = spark.createDataFrame([*docs.items(), *docs.items()], "doc_id long, text string").repartition(7)
+    got = {r.doc_id: r for r in nd.near_duplicates(df).collect()}
+    assert max(links.values()) > 100 and {k: r.n_links for k, r in got.items()} == {k: links[t] for k, t in docs.items()}
+    assert {k: r.n_copies for k, r in got.items()} == {k: 2 * texts[t] for k, t in docs.items()}
+
+
+def test_members_that_rows_share_equal_sets():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(0, 60))) for _ in range(90)]
+    sets += [np.arange(5)] * 40  # held by more than RARE rows
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    members = np.concatenate(sets)
+    for left, right in ((slice(0, 130), slice(0, 130)), (slice(0, 50), slice(50, 130))):
+        got = nd._shared(members, owner, left, right)
+        for a in range(left.start, left.stop):
+            for b in range(right.start, right.stop):
+                assert a == b or got[a - left.start, b - right.start] == len(np.intersect1d(sets[a], sets[b]))

@@ -12,26 +12,23 @@ about n + m log m points.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veleta.llm.graph import components
+from veleta.llm.graph import components, forest
 from veleta.llm.tables import in_arrow, only
 from veleta.llm.words import GOLDEN, chain, counted, mix, shingle_hashes, slices, word_hashes
 from veleta.session import stabilise
 
 BANDS, ROWS, SHINGLE, SIMILAR = 32, 5, 5, 0.8
-# Buckets up to this size have all their pairs verified; larger ones are linked through hubs and
-# split by further bands.
-LEAF = 8
-# Hubs of a larger one, rows of it that a task takes together, and the other bands, so many places
-# on, of which a row has some bits.
-HUBS, PART, NEAR = 4, 1 << 16, (3, 7, 11, 15, 19, 23, 27, 30)
-DEPTHS = (1, 2, 3, 4, 6)
+# All pairs of a bucket are compared. A bucket of more rows or words is dealt into parts of about
+# this size, and each pair of parts is a cell of its own.
+CELL_ROWS, CELL_WORDS = 1024, 1 << 21
+# Runs that more rows of a cell hold are counted by products of matrices, so many columns at a time.
+RARE, COLUMNS = 32, 4096
 
 
 def bag_minhash(hashes: np.ndarray, text: np.ndarray, weights: np.ndarray, n_texts: int, slots: int) -> np.ndarray:
@@ -106,34 +103,91 @@ def _signatures(batches):
         )
 
 
-def _overlaps(batches):
-    """Weighted Jaccard similarity of the texts `a` and `b` of every row."""
-    for batch in batches:
-        names = batch.schema.names
-        ends, texts = [], []
-        for side in ("a", "b"):
-            texts.append(batch.column(names.index(f"text_{side}")))
-            ends.append(batch.column(names.index(side)))
-        for first in range(0, len(batch), 256):
-            both = [pa.RecordBatch.from_arrays([t.slice(first, 256)], names=["text"]) for t in texts]
-            bags = []
-            for side in both:
-                found = []
-                for part, data, offsets in slices([side]):
-                    words, bounds = word_hashes(data, offsets)
-                    h, t, w = counted(*shingle_hashes(words, bounds, SHINGLE))
-                    cuts = np.searchsorted(t, np.arange(len(part) + 1))
-                    found += [(h[i:j], w[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
-                bags.append(found)
-            scores = []
-            for (ha, wa), (hb, wb) in zip(*bags):
-                _, i, j = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-                shared = np.minimum(wa[i], wb[j]).sum()
-                scores.append(shared / max(1, wa.sum() + wb.sum() - shared))
-            yield pa.RecordBatch.from_arrays(
-                [ends[0].slice(first, 256), ends[1].slice(first, 256), pa.array(scores, pa.float64())],
-                names=["a", "b", "similarity"],
-            )
+def _bags(batches):
+    """node, keys and the runs of every text as a set: a run that repeats is a new member each time."""
+    for batch, data, offsets in slices(batches):
+        runs, text, weights = counted(*shingle_hashes(*word_hashes(data, offsets), SHINGLE))
+        begin = np.cumsum(weights) - weights
+        nth = (np.arange(weights.sum()) - np.repeat(begin, weights)).astype(np.uint64)
+        members = mix(np.repeat(runs, weights) + nth * GOLDEN)
+        sizes = np.bincount(np.repeat(text, weights), minlength=len(batch))
+        bag = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(members.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bag], names=["node", "keys", "bag"])
+
+
+def _shared(members: np.ndarray, owner: np.ndarray, left: slice, right: slice) -> np.ndarray:
+    """Members that each row in `left` has in common with each row in `right`."""
+    n, width = left.stop - left.start, right.stop - right.start
+    out = np.zeros((n, width), np.float32)
+    order = np.argsort(members, kind="stable")
+    members, owner = members[order], owner[order]
+    begin = np.flatnonzero(np.append(True, members[1:] != members[:-1]))
+    held = np.diff(np.append(begin, len(members)))
+    for d in np.unique(held[(held > 1) & (held <= RARE)]):
+        rows = owner[begin[held == d][:, None] + np.arange(d)]
+        for k in range(1, d):  # every row with the one k places on, around
+            x, y = rows.ravel(), np.roll(rows, k, axis=1).ravel()
+            here = (x >= left.start) & (x < left.stop) & (y >= right.start) & (y < right.stop)
+            np.add.at(out, (x[here] - left.start, y[here] - right.start), 1)
+    often = np.flatnonzero(held > RARE)
+    for first in range(0, len(often), COLUMNS):
+        own = often[first : first + COLUMNS]
+        size = held[own]
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[own], size)
+        has = np.zeros((right.stop, len(own)), np.float32)
+        has[owner[at], np.repeat(np.arange(len(own)), size)] = 1
+        out += has[left] @ has[right].T
+    return out
+
+
+def _linker(threshold: float):
+    def linked(band, side, node, keys, members, ends):
+        """Rows (node, root, n) of a cell: nodes with links, the least node of their component, and their number."""
+        sizes = np.diff(ends)
+        half = int(np.searchsorted(side, 1))
+        whole = half in (0, len(side))
+        left, right = (slice(0, len(side)),) * 2 if whole else (slice(0, half), slice(half, len(side)))
+        shared = _shared(members, np.repeat(np.arange(len(side)), sizes), left, right).astype(np.float64)
+        near = shared / np.maximum(1, sizes[left][:, None] + sizes[right][None, :] - shared) >= threshold
+        a, b = np.nonzero(np.triu(near, 1) if whole else near)
+        a, b = a + left.start, b + right.start
+        # A pair counts in the first band that it shares.
+        own = np.concatenate([np.zeros(0, bool)] + [(keys[a[k : k + 65536]] == keys[b[k : k + 65536]]).argmax(axis=1) == band for k in range(0, len(a), 65536)])
+        a, b = a[own], b[own]
+        n = np.bincount(a, minlength=len(side)) + np.bincount(b, minlength=len(side))
+        root = node.copy()
+        child, least = forest(node[a], node[b])
+        place = np.argsort(node)
+        root[place[np.searchsorted(node, child, sorter=place)]] = least
+        return node[n > 0], root[n > 0], n[n > 0]
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            rows = table.to_batches()[0] if len(table) else None
+            if rows is None:
+                continue
+            cell = np.stack([rows.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)])
+            cuts = np.append(0, np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1)
+            held = rows.slice(cuts[-1])
+            yield from cells(rows, cell, cuts)
+        if held is not None:
+            yield from cells(held, np.stack([held.column(0).to_numpy(zero_copy_only=False).astype(np.int64)]), np.array([0, len(held)]))
+
+    def cells(rows, cell, cuts):
+        side, node = (rows.column(k).to_numpy(zero_copy_only=False) for k in (4, 5))
+        keys = rows.column(6).flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+        members, sizes = rows.column(7).flatten().to_numpy(zero_copy_only=False), pc.list_value_length(rows.column(7)).to_numpy(zero_copy_only=False)
+        ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        found = [
+            linked(cell[0, i], side[i:j], node[i:j], keys[i:j], members[ends[i] : ends[j]], ends[i : j + 1] - ends[i])
+            for i, j in zip(cuts[:-1], cuts[1:])
+        ]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)], names=["node", "root", "n"])
+
+    return run
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -141,130 +195,50 @@ def signatures(docs: DataFrame) -> DataFrame:
     return in_arrow(docs, _signatures, "doc_id long, n_words long, d1 long, d2 long, keys array<long>")
 
 
-def _buckets(nodes: DataFrame, depth: int, within: DataFrame | None = None) -> DataFrame:
-    """A row for each node and band: the keys of `depth` bands from that band on, as one key.
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """Rows (band, key, node) of buckets that hold two nodes or more, with the number of parts.
 
-    With `within`, only for the nodes and bands that it has. The buckets of a depth split those of
-    the depth before, so nodes outside large buckets need not come along.
-    """
-    i = F.col("band")
-    parts = [F.expr(f"element_at(keys, cast((band + {k}) % {BANDS} + 1 as int))") for k in range(depth)]
-    if within is None:
-        own = nodes.withColumn("bands", F.sequence(F.lit(0), F.lit(BANDS - 1)))
-    else:
-        own = nodes.join(within.groupBy("node").agg(F.collect_set("band").alias("bands")), "node")
-    rows = own.select("node", "keys", F.explode("bands").alias("band"))
-    others = [F.expr(f"element_at(keys, cast((band + {k}) % {BANDS} + 1 as int))").bitwiseAND(F.lit(0xFF).cast("long")) for k in NEAR]
-    near = reduce(Column.bitwiseOR, [F.shiftleft(o, 8 * k) for k, o in enumerate(others)])
-    key = (parts[0] if depth == 1 else F.xxhash64(*parts)).alias("key")
-    return rows.select("node", i.cast("short").alias("band"), key, near.alias("near"))
-
-
-def _shared_buckets(rows: DataFrame) -> DataFrame:
-    """Rows of buckets that hold two nodes or more, with the bucket's size."""
-    sizes = stabilise(rows.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
-    return rows.join(sizes, ["band", "key"])
-
-
-def _hubs(batches):
-    """Rows (band, key, node, near) in order: every node with the HUBS most famous of its bucket.
-
-    Fame is the number of nodes of the bucket that share other bands too, as far as the bits in
-    `near` tell them apart. Up to PART rows of a bucket are taken together. Where a bucket has more, or may have some in
-    the task before or behind, the first hub of each part comes once more, with the bucket.
-    """
-    names = ["band", "key", "node", "hub"]
-
-    def linked(band, key, node, near, whole):
-        new = np.append(True, (band[1:] != band[:-1]) | (key[1:] != key[:-1]))
-        begin, number = np.flatnonzero(new), np.cumsum(new) - 1
-        last = np.append(begin[1:], len(node)) - 1
-        fame = np.zeros(len(node), np.int64)
-        for k in range(len(NEAR)):
-            _, at, count = np.unique(number << 8 | (near >> 8 * k & 0xFF), return_inverse=True, return_counts=True)
-            fame += count[at]
-        node = node[np.lexsort((-fame, number))]  # the most famous first, equal ones by hash
-        hubs = np.concatenate([node[np.minimum(begin + k, last)[number]] for k in range(HUBS)])
-        nodes = np.tile(node, HUBS)
-        pairs = np.unique(np.stack([nodes, hubs])[:, nodes != hubs], axis=1)
-        none = pa.nulls(pairs.shape[1], pa.int64())
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int16()), none, pa.array(pairs[0]), pa.array(pairs[1])], names=names)
-        parts = begin[~whole]
-        if len(parts):
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[parts]) for x in (band, key, node)), pa.nulls(len(parts), pa.int64())], names=names)
-
-    held, cut = None, True  # rows of a bucket that may go on, and whether it has begun before them
-    for batch in batches:
-        own = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-        if held is not None:
-            own = [np.concatenate(x) for x in zip(held, own)]
-        band, key = own[:2]
-        if not len(band):
-            continue
-        begin = np.append(0, np.flatnonzero((band[1:] != band[:-1]) | (key[1:] != key[:-1])) + 1)
-        whole = np.ones(len(begin), bool)
-        whole[0] = not cut
-        last = begin[-1]
-        if len(band) - last >= PART:  # too long to hold: a part of its own
-            whole[-1] = False
-            yield from linked(*own, whole)
-            held, cut = None, True
-        else:
-            if last:
-                yield from linked(*(x[:last] for x in own), whole[:-1])
-                cut = False
-            held = [x[last:] for x in own]
-    if held is not None and len(held[0]):
-        yield from linked(*held, np.zeros(1, bool))
-
-
-def _hub_edges(shared: DataFrame) -> DataFrame:
-    """Edges from every node to the hubs of its large buckets: the HUBS nodes with most neighbours.
-
-    Buckets are dealt by range in the order of a hash of their nodes, so one of any size is spread
-    over tasks, each of which has a sample of it and hubs of its own; the first hubs of the parts
-    of a bucket are linked.
+    Of buckets with the same nodes only the one of the first band stays.
     """
-    order = ["band", "key", F.xxhash64("node"), "node"]
-    large = shared.filter(F.col("size") > LEAF).select("band", "key", "node", "near")
-    dealt = large.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stabilise(in_arrow(dealt, _hubs, "band short, key long, node long, hub long"), "hubs")
-    # One or two rows for each task, and one for PART rows.
-    parts = found.filter("hub IS NULL").select("band", "key", "node").distinct()
-    first = parts.groupBy("band", "key").agg(F.min("node").alias("hub"))
-    edges = found.filter("hub IS NOT NULL").select("node", "hub").union(parts.join(first, ["band", "key"]).select("node", "hub"))
-    return edges.filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-
-
-def _leaf_edges(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of small buckets whose nodes are not yet in one class."""
-    small = shared.filter(F.col("size") <= LEAF).join(classes, "node", "left").select(
-        "band", "key", F.struct("node", F.coalesce("root", "node").alias("root")).alias("m")
+    rows = nodes.select("node", "n_words", F.posexplode("keys").alias("at", "key")).withColumn("band", F.col("at").cast("short"))
+    sizes = rows.groupBy("band", "key").agg(
+        F.count("*").alias("size"), F.sum("n_words").alias("words"), F.min("node").alias("low"), F.max("node").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
-    groups = small.groupBy("band", "key").agg(F.collect_set("m").alias("ms"))
-    return (
-        groups.select(F.explode("ms").alias("x"), "ms")
-        .select("x", F.explode("ms").alias("y"))
-        .filter("x.node < y.node and x.root <> y.root")
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    parts = F.ceil(F.greatest(F.col("size") / CELL_ROWS, F.col("words") / CELL_WORDS)).cast("int")
+    single = sizes.filter("size > 1").groupBy("size", "low", "high", "x", "y").agg(F.min(F.struct("band", "key")).alias("b"), F.first(parts).alias("parts"))
+    kept = stabilise(single.select("b.band", "b.key", "parts"), "sizes")
+    return rows.select("band", "key", "node").join(kept, ["band", "key"])
+
+
+def _cells(buckets: DataFrame) -> DataFrame:
+    """Every row of a bucket once for each cell of its part: the part with itself and with each other one."""
+    part = F.pmod(F.xxhash64("node", F.lit(2)), "parts").cast("int")
+    dealt = buckets.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.select(
+        "band", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+        (F.col("part") > F.col("other")).cast("int").alias("side"), "node",
     )
 
 
-def _verified(edges: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    side = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
-    pairs = edges.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return in_arrow(pairs, _overlaps, "a long, b long, similarity double").filter(F.col("similarity") >= threshold)
+def _links(buckets: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """node, root and n: links of the nodes of each cell, as stars, with the number of links of each node."""
+    cell = ["band", "key", "i", "j"]
+    rows = _cells(buckets).join(bags, "node").select(*cell, "side", "node", "keys", "bag")
+    dealt = rows.repartition(*cell).sortWithinPartitions(*cell, "side", "node")
+    return stabilise(in_arrow(dealt, _linker(threshold), "node long, root long, n long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILAR) -> DataFrame:
     """One row per document: doc_id, class_id, n_links, n_copies and is_first.
 
-    Texts of equal words form one node. Nodes that share a band are candidates: in buckets of up
-    to LEAF nodes every pair, in larger ones every node with the bucket's hubs, again for buckets
-    over two, three, four and six bands, whose leaves are compared in full. Candidates count as
-    links when the weighted Jaccard similarity of their five-word runs, computed from the texts,
-    reaches `threshold`. A class is a component of links; its id is the least doc_id in it.
-    n_links counts a document's verified links to other texts that were needed to find the class.
+    Texts of equal words form one node. Nodes that share a band are candidates, in buckets of any
+    size; those whose weighted Jaccard similarity of five-word runs, computed from the texts,
+    reaches `threshold` are links. A class is a component of links; its id is the least doc_id in
+    it. n_links counts a document's links to other texts, each once.
+
+    Buckets are compared in cells of bounded size, spread over tasks, that give back stars and
+    counts instead of pairs. The work in a cell grows with the square of its rows.
 
     NULL and wordless texts are never near-duplicates: each is a class of its own, named by its
     doc_id. A text of fewer than five words is one run. Rows with a NULL doc_id take part; a class
@@ -275,33 +249,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stabilise(signatures(source), "signatures")
     wordy = signed.filter("n_words > 0")
     copies = wordy.groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("first"), F.count("*").alias("n_copies"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("first"), F.count("*").alias("n_copies"), F.first("keys").alias("keys"), F.first("n_words").alias("n_words")
     )
     nodes = stabilise(copies.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    levels = {}
-    rows = stabilise(_shared_buckets(_buckets(nodes, 1)), "buckets")
-    levels[1] = rows
-    hubs, last = _hub_edges(rows), rows
-    for depth in DEPTHS[1:]:
-        hot = last.filter(F.col("size") > LEAF)
-        if hot.isEmpty():
-            break
-        last = stabilise(_shared_buckets(_buckets(nodes, depth, hot)), "buckets")
-        levels[depth] = last
-        hubs = hubs.union(_hub_edges(last))
-    hubs = stabilise(hubs.distinct(), "hubs")
-    touched = rows.select("node").distinct().join(nodes.select("node", "d1", "d2", "first"), "node")
-    texts = _node_texts(source, touched)
-    links = stabilise(_verified(hubs, texts, threshold), "verified")
-    classes = components(links)
-    leaves = None
-    for frame in levels.values():
-        edges = _leaf_edges(frame, classes)
-        leaves = edges if leaves is None else leaves.union(edges)
-    more = stabilise(_verified(leaves, texts, threshold), "verified")
-    both = links.union(more).select("a", "b").distinct()
-    roots = components(both)
-    ends = both.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    buckets = stabilise(_buckets(nodes), "buckets")
+    touched = buckets.select("node").distinct().join(nodes.select("node", "d1", "d2", "first", "keys"), "node")
+    bags = stabilise(in_arrow(_node_texts(source, touched), _bags, "node long, keys array<long>, bag array<long>"), "bags")
+    links = _links(buckets, bags, threshold)
+    roots = components(links, "node", "root")
+    ends = links.groupBy("node").agg(F.sum("n").alias("n_links"))
     grouped = nodes.select("node", "d1", "d2", "first", "n_copies").join(roots, "node", "left").join(ends, "node", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("first").alias("class_id"), F.count("*").alias("n_texts"))
@@ -318,7 +274,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _node_texts(source: DataFrame, touched: DataFrame) -> DataFrame:
-    """Text of every node that shares a bucket, read from the rows of its first document."""
-    firsts = touched.select("node", F.col("first").alias("id"), "d1", "d2")
+    """Text of every node that shares a bucket, read from a row of its first document."""
+    firsts = touched.select("node", "keys", F.col("first").alias("id"), "d1", "d2")
     named = in_arrow(source, _digested, "doc_id long, text string, d1 long, d2 long").join(firsts, ["d1", "d2"])
-    return stabilise(named.filter(F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text"), "texts")
+    # Rows repeat ids, too; the join has them in order by both digests.
+    return named.filter(F.col("doc_id").eqNullSafe(F.col("id"))).dropDuplicates(["d1", "d2"]).select("node", "keys", "text")
