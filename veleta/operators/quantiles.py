@@ -150,6 +150,8 @@ def _round(df: DataFrame, kinds: list[_Kind], paths: list[_Path], round_: int) -
 
 def _select(df: DataFrame, ranks: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], object]:
     cols = [c for c in ranks if ranks[c]]
+    if not cols:
+        return {}
     kinds, limbs = [], []
     for i, c in enumerate(cols):
         kind = _kind(df.schema[c])
