@@ -116,3 +116,26 @@ def test_prepared_categories(spark):
     p = search.prepare_features(df, order=["id"], exclude=["id"], categories=["the kind"])
     assert p.train.columns == ["id", "the_kind", "v"] and p.train.where("the_kind IS NULL").count() == 0
     assert search.prepare_features(df, order=["id"]).train.columns == ["id", "v"]
+
+
+def test_fits_take_one_task_for_each_core_however_many_partitions_there_are(spark):
+    seen = []
+
+    class Watched(search.LinearRegression):
+        def _fit(self, dataset):
+            seen.append((dataset.rdd.getNumPartitions(), dataset.count()))
+            return super()._fit(dataset)
+
+    cores = spark.sparkContext.defaultParallelism
+    # A join that is not broadcast deals its rows to all shuffle partitions.
+    confs = {"spark.sql.shuffle.partitions": str(3 * cores + 1), "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in confs}
+    df = spark.range(500).select("id", F.rand(1).alias("x"), (F.col("id") * 0.5).alias("y"))
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        search.model_search(df, "y", ["x"], ["id"], max_trials=1, space={"linear": (Watched, {"regParam": [0.0]})})
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [rows for _, rows in seen] == [400, 500] and all(n <= cores for n, _ in seen)

@@ -120,7 +120,8 @@ def model_search(
     inputs = [f"{c}{SUFFIX}" if c in texts else c for c in features]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     ready = PipelineModel(stages=[*before, assembler]).transform(marked).select("features", F.col(label).cast("double").alias("label"), "is_train")
-    ready = ready.persist()
+    # Every round of a tree is a job whose tasks each report to the driver, so fits take one task for each core.
+    ready = ready.coalesce(spark.sparkContext.defaultParallelism).persist()
     fit_rows, valid_rows = ready.where("is_train"), ready.where(~F.col("is_train"))
     evaluator = RegressionEvaluator(metricName=metric)
 
