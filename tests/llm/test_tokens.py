@@ -77,6 +77,33 @@ def test_words_of_a_tokenizer_file_have_the_ids_of_whole_texts(name):
         assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_are_encoded_without_the_signs_around_them():
+    seen = []
+
+    def encode(words):
+        seen.extend(words)
+        return np.zeros(len(words), np.uint32), np.ones(len(words), np.int64)
+
+    data = "the fox, the fox. the fox!\nfox é; é x×, né\nÉt".encode()
+    word_ids.WordIds(encode, fine=True).of(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert sorted(seen) == sorted(["the", " the", " fox", "fox", ",", ".", "!\n", " é", ";", " x×,", " né", "\n", "Ét"])
+
+
+def test_finer_cuts_keep_the_ids_of_whole_texts(ranks):
+    rng = random.Random(7)
+    parts = ["fox", "É", "né", "×", "÷", "ɏ", "ʰ", "’", ",", ".", "!!!", "'s", "'", "\n", "\n\n", " ", "  ", "\r\n", "\u00a0", "\u0085", "\x1c", "7", "<|endoftext|>", "<|", "日", "(", "&&&"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ranked = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    words = token_files._words(Path(public_tokenizers.path("byte_bpe_50k.json")).read_bytes())
+    got = []
+    for _, data, offsets in slices([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])], at_most=5000):
+        ids, ends = words.of(data, offsets)
+        got += [p.tolist() for p in np.split(ids, ends[:-1])]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert bpe.Encoder(ranks, public_tokenizers.PATTERN).encode(texts) == [ranked.encode_ordinary(t) for t in texts]
+
+
 def test_decoder_holds_cut_characters_back(ranks):
     tokens = {v: k for k, v in ranks.items()}
     single = [ranks[bytes([b])] for b in "é🙂".encode()]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veleta.llm.tables import in_arrow, only
-from veleta.llm.word_ids import SLICE, WordIds
+from veleta.llm.word_ids import SIGNS, SLICE, WordIds
 from veleta.llm.words import slices
 from veleta.session import stabilise
 
@@ -138,6 +138,8 @@ class FileEncoder:
         plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         added = [t["content"] for t in file.get("added_tokens", [])]
         self.splits = bool(plain) and not file.get("normalizer") and not any(c.isspace() for t in added for c in t)
+        # The pattern of such a file is the published one.
+        self.fine = self.splits and not any(c in SIGNS for t in added for c in t)
         if self.splits:
             entries = [self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size())]
             self.lengths = np.array([len(e) if e not in added else len(e.encode()) for e in entries], np.int64)
@@ -148,25 +150,29 @@ class FileEncoder:
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words end to end, and how many each has.
 
-        Words that begin with a space and have none at their end are encoded as long texts, which
-        the tokenizer cuts between them; the lengths of tokens tell which id belongs to which word.
+        Words without white space at their ends are encoded as long texts, which the tokenizer cuts
+        between them: before the space that a word begins with, or else at a line end put before it,
+        whose id is dropped. The lengths of tokens tell which id belongs to which word.
         """
         counts, order, parts, rest = np.zeros(len(words), np.int64), [], [], []
         inner = []
         for k, w in enumerate(words):
-            plain = self.splits and w[0] == " " and len(w) > 1 and not w[1].isspace() and not w[-1].isspace()
+            plain = self.splits and w and not w[-1].isspace() and (not w[0].isspace() or w[0] == " " and not w[1].isspace())
             (inner if plain else rest).append(k)
         for first in range(0, len(inner), TOGETHER):
             own = inner[first : first + TOGETHER]
-            text = "".join([words[k] for k in own])
+            put = [words[k] if words[k][0] == " " else "\n" + words[k] for k in own]
+            text = "".join(put)
             ids = self._each([text])[0]
-            size = [len(words[k]) for k in own] if text.isascii() else [len(words[k].encode()) for k in own]
+            size = [len(w) for w in put] if text.isascii() else [len(w.encode()) for w in put]
             ends, want = np.cumsum(self.lengths[ids]), np.cumsum(size)
             at = np.searchsorted(ends, want)
-            if len(ends) and at[-1] == len(ends) - 1 and (ends[at] == want).all():
-                counts[own] = np.diff(at, prepend=-1)
+            begin = np.append(0, at[:-1] + 1)
+            ahead = np.array([w[0] == "\n" for w in put])
+            if len(ends) and at[-1] == len(ends) - 1 and (ends[at] == want).all() and (self.lengths[ids[begin[ahead]]] == 1).all():
+                counts[own] = at + 1 - begin - ahead
                 order += own
-                parts.append(ids)
+                parts.append(np.delete(ids, begin[ahead]))
             else:
                 rest += own
         single = self._each([words[k] for k in rest])
@@ -183,7 +189,7 @@ class FileEncoder:
 @lru_cache(maxsize=1)
 def _words(data: bytes) -> WordIds:
     encoder = FileEncoder(data)
-    return WordIds(encoder.words, encoder.splits, KEPT_WORDS)
+    return WordIds(encoder.words, encoder.splits, KEPT_WORDS, encoder.fine)
 
 
 PAGES = "part int, page int, start long, doc_ids array<long>, n_tokens array<long>, block_ends array<int>, words binary"
