@@ -54,6 +54,22 @@ def test_emptied_tables_change_nothing(ranks, monkeypatch):
     assert [ids for t in texts for ids in small.encode([t])] == want
 
 
+def test_matches_take_their_steps_together(ranks, monkeypatch):
+    rng = random.Random(8)
+    pieces = list({"".join(rng.choice(["th", "e", "tion", "in", "é", "ß", "日", "\x00", "X"]) for _ in range(rng.randint(1, 40))).encode() for _ in range(600)})
+    want = [list(bpe.Transducer(ranks).stream(p)) for p in pieces[:50]]
+    library = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    assert want == [library.encode_ordinary(p.decode()) for p in pieces[:50]]
+    for bounds in ({}, {"KEPT_SUFFIXES": 5, "PAIR_BITS": 3, "TOGETHER": 500, "LONGEST": 30}):
+        for name, value in bounds.items():
+            monkeypatch.setattr(bpe, name, value)
+        own = bpe.Transducer(ranks)
+        ids, counts = own.encode(pieces)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode_ordinary(p.decode()) for p in pieces]
+        # No state is worked out for single matches, but those of the longest.
+        assert bounds or own.made == 0
+
+
 def test_foreign_patterns_match_whole_texts(ranks):
     for pattern in (r"\p{Lu}?[^\p{Lu}]+|\p{Lu}", r"[\s\S]{1,7}", r"\s?[A-Za-z]+(?: of)?|[\s\S]"):
         own = bpe.Encoder(ranks, pattern)

@@ -9,6 +9,11 @@ the last point that all of them share. Tokens before that point are certain and
 lookahead is bounded by the longest token. States and steps are made when first met, kept in a
 table up to a bound and then made anew.
 
+Usual matches are short and many, so they take their steps together, a byte of each at a time. The
+state is held in its two parts then: the suffix, whose moves are kept in one table for all, and the
+last tokens of the prefixes, which are written down for each match. Its ids are read off them from
+its end.
+
 The pattern cuts a text into matches that are encoded separately. Words between single spaces are
 unions of whole matches, so their encodings are remembered as such.
 """
@@ -22,7 +27,6 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +34,15 @@ import regex
 from pyspark.sql import DataFrame
 
 from veleta.llm.tables import in_arrow, only
-from veleta.llm.word_ids import PATTERN, SLICE, WordIds
-from veleta.llm.words import slices
+from veleta.llm.word_ids import PATTERN, SLICE, WordIds, gather
+from veleta.llm.words import GOLDEN, slices
 
 # Entries kept of each table before it is emptied, which bounds a worker's tables to some 150 MB;
 # results do not depend on it.
 KEPT_STEPS, KEPT_MOVES, KEPT_PAIRS = 150_000, 60_000, 400_000
+# The same for matches that go together: suffixes (1 KB each) and the bits of slots for pairs; bytes
+# that go together and the longest match that does.
+KEPT_SUFFIXES, PAIR_BITS, TOGETHER, LONGEST = 40_000, 20, 1 << 18, 256
 # Ids decoded at a time.
 AT_ONCE = 1 << 14
 
@@ -68,6 +75,17 @@ class Transducer:
         self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         self._empty()
+        self.size = max(self.tokens, default=0) + 1
+        self.lengths = np.zeros(self.size, np.int64)
+        self.lengths[list(self.tokens)] = [len(t) for t in self.tokens.values()]
+        # Neighbours that are a token together, as one number each, and that token.
+        joins = sorted(
+            (ranks[t[:k]] * self.size + ranks[t[k:]], rank) for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
+        )
+        self.joins, self.joined = np.array([*joins, (1 << 62, 0)], np.int64).T.copy()
+        self.inner = np.full((2, self.size), -1, np.int64)
+        self.slots = np.full(1 << PAIR_BITS, -1, np.int64)
+        self._forget()
 
     def _empty(self) -> None:
         # A state: the suffix read, the last certain token (-1: none), and for each live length of
@@ -76,6 +94,13 @@ class Transducer:
         self.states, self.numbers, self.steps = [start], {start: 0}, {}
         self.made = 0
 
+    def _forget(self) -> None:
+        # Suffixes by number, the move by a suffix and a byte (-1: not met), and of each move the next
+        # suffix and where the tokens that can end there lie, longest first.
+        self.suffixes, self.suffix_numbers, self.n_moves, self.n_ending = [b""], {b"": 0}, 0, 0
+        self.table = np.full((1024, 256), -1, np.int32)
+        self.next, self.first, self.past, self.ending = (np.zeros(4096, np.int64) for _ in range(4))
+
     def _halves(self, token: int) -> tuple[int, int]:
         """The two tokens that the last merge of a token joins; a single byte is its own half."""
         found = self.halves.get(token)
@@ -130,17 +155,22 @@ class Transducer:
         found = self.moves.get((suffix, byte))
         if found is None:
             old = {k: i for i, k in enumerate(self._tails(suffix))}
-            read = suffix + bytes([byte])
-            ending = [(self.ranks[read[len(suffix) - k :]], i) for k, i in old.items() if read[len(suffix) - k :] in self.ranks]
-            head = read
-            while head not in self.heads:
-                head = head[1:]
+            head, ending = self._ending(suffix, byte, old)
             found = head, ending, [old[k - 1] if k else -1 for k in self._tails(head)]
             if len(self.moves) > KEPT_MOVES:
                 self.moves.clear()
             self.moves[(suffix, byte)] = found
         return found
 
+    def _ending(self, suffix: bytes, byte: int, old: Iterable[int]) -> tuple[bytes, list[tuple[int, int]]]:
+        """Next suffix, and the tokens that can end here with the number of the length before them."""
+        read = suffix + bytes([byte])
+        ending = [(self.ranks[read[len(suffix) - k :]], i) for i, k in enumerate(old) if read[len(suffix) - k :] in self.ranks]
+        head = read
+        while head not in self.heads:
+            head = head[1:]
+        return head, ending
+
     def _make(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The step from a state by a byte: the next state and the ids that became certain."""
         suffix, certain, live = self.states[number]
@@ -180,6 +210,8 @@ class Transducer:
 
     def stream(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one match, emitted as they become certain; for matches of any length."""
+        if self.made > KEPT_STEPS:
+            self._empty()
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
@@ -193,27 +225,141 @@ class Transducer:
             out.extend(ids)
         return (*out, *self._end(state))
 
-    def encode(self, pieces: Iterable[bytes]) -> Iterator[tuple[int, ...]]:
-        """Ids of every match."""
-        steps, tokens_of = self.steps, self.ranks
-        for piece in pieces:
-            whole = tokens_of.get(piece)
-            if whole is not None:
-                yield (whole,)
-                continue
-            if self.made > KEPT_STEPS:
-                self._empty()
-                steps = self.steps
-            state, out = 0, ()
-            for byte in piece:
-                key = state << 8 | byte
-                step = steps.get(key)
-                if step is None:
-                    step = steps[key] = self._make(state, byte)
-                state, ids = step
-                if ids:
-                    out += ids
-            yield out + self._end(state)
+    def _learn(self, key: int) -> None:
+        """The move from a suffix by a byte."""
+        number, byte = divmod(key, 256)
+        suffix = self.suffixes[number]
+        head, ending = self._ending(suffix, byte, self._tails(suffix))
+        if bytes([byte]) not in self.ranks:
+            raise ValueError("the ranks lack a single byte")
+        found = self.suffix_numbers.get(head)
+        if found is None:
+            found = self.suffix_numbers[head] = len(self.suffixes)
+            self.suffixes.append(head)
+            if found == len(self.table):
+                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
+        if self.n_moves == len(self.next):
+            self.next, self.first, self.past = (np.concatenate([a, a]) for a in (self.next, self.first, self.past))
+        past = self.n_ending + len(ending)
+        while past > len(self.ending):
+            self.ending = np.concatenate([self.ending, self.ending])
+        self.ending[self.n_ending : past] = [token for token, _ in ending]
+        self.next[self.n_moves], self.first[self.n_moves], self.past[self.n_moves] = found, self.n_ending, past
+        self.table[number, byte] = self.n_moves
+        self.n_moves, self.n_ending = self.n_moves + 1, past
+
+    def _taken(self, suffix: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The moves from suffixes by bytes."""
+        moves = self.table[suffix, byte]
+        missing = np.flatnonzero(moves < 0)
+        if len(missing):
+            for key in np.unique(suffix[missing] * 256 + byte[missing]).tolist():
+                self._learn(key)
+            moves[missing] = self.table[suffix[missing], byte[missing]]
+        return moves
+
+    def _inner(self, tokens: np.ndarray, side: int) -> np.ndarray:
+        """The first (0) or second (1) halves of tokens."""
+        found = self.inner[side, tokens]
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            for token in np.unique(tokens[missing]).tolist():
+                self.inner[:, token] = self._halves(token)
+            found[missing] = self.inner[side, tokens[missing]]
+        return found
+
+    def _undone(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What `_follows` tells, of many pairs."""
+        out, open_ = np.zeros(len(left), bool), np.arange(len(left))
+        a, b, before = left, right, np.full(len(left), 1 << 62)
+        while len(open_):
+            key = a * self.size + b
+            at = np.searchsorted(self.joins, key)
+            fails = (self.joins[at] == key) & (self.joined[at] < before)
+            a_half, b_half = self._inner(a, 1), self._inner(b, 0)
+            out[open_] = ended = ~fails & (a_half == a) & (b_half == b)
+            from_a = (a_half != a) & ((a > b) | (b_half == b))
+            more = ~fails & ~ended
+            before = np.where(from_a, a, b + 1)[more]
+            a, b, open_ = np.where(from_a, a_half, a)[more], np.where(from_a, b, b_half)[more], open_[more]
+        return out
+
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What `_follows` tells, of many pairs; an answer is kept in the slot of its hash until another takes it."""
+        key = left * self.size + right
+        slot = (key.astype(np.uint64) * GOLDEN) >> np.uint64(64 - PAIR_BITS)
+        held = self.slots[slot]
+        out = (held & 1).astype(bool)
+        missing = np.flatnonzero((held >> 1 != key) & (left >= 0))
+        if len(missing):
+            new, first = np.unique(key[missing], return_index=True)
+            answers = self._undone(left[missing][first], right[missing][first])
+            self.slots[slot[missing][first]] = new << 1 | answers
+            out[missing] = answers[np.searchsorted(new, key[missing])]
+        return out | (left < 0)
+
+    def _together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of matches end to end and how many each has; the longest match comes first."""
+        n, lengths = len(pieces), np.array([len(p) for p in pieces])
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        # The last token of every prefix, from the empty one on.
+        base, last = starts + np.arange(n), np.full(len(data) + n, -1, np.int64)
+        suffix = np.zeros(n, np.int64)
+        for place in range(lengths[0]):
+            many = np.searchsorted(-lengths, -place)
+            moves = self._taken(suffix[:many], data[starts[:many] + place])
+            suffix[:many] = self.next[moves]
+            at, past = self.first[moves], self.past[moves]
+            token = self.ending[at]
+            # Exactly one fits, so the last one left, a single byte, needs no look.
+            open_ = np.flatnonzero(at + 1 < past)
+            while len(open_):
+                tried = token[open_]
+                open_ = open_[~self._fit(last[base[open_] + place + 1 - self.lengths[tried]], tried)]
+                at[open_] += 1
+                token[open_] = self.ending[at[open_]]
+                open_ = open_[at[open_] + 1 < past[open_]]
+            last[base[:many] + place + 1] = token
+        rounds, left, open_ = [], lengths.copy(), np.arange(n)
+        while len(open_):
+            token = last[base[open_] + left[open_]]
+            rounds.append((open_, token))
+            left[open_] -= self.lengths[token]
+            open_ = open_[left[open_] > 0]
+        counts = np.bincount(np.concatenate([rows for rows, _ in rounds]), minlength=n)
+        ends, flat = np.cumsum(counts), np.zeros(counts.sum(), np.uint32)
+        for k, (rows, token) in enumerate(rounds, 1):
+            flat[ends[rows] - k] = token
+        return flat, counts
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of matches end to end, and how many each has; none is empty."""
+        whole = np.fromiter((self.ranks.get(p, -1) for p in pieces), np.int64, len(pieces))
+        order = [np.flatnonzero(whole >= 0)]
+        parts, counts = [whole[order[0]].astype(np.uint32)], [np.ones(len(order[0]), np.int64)]
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        for k in np.flatnonzero((whole < 0) & (lengths > LONGEST)).tolist():
+            ids = np.array(self.stream(pieces[k]), np.uint32)
+            order.append([k])
+            parts.append(ids)
+            counts.append([len(ids)])
+        usual = np.flatnonzero((whole < 0) & (lengths <= LONGEST))
+        usual = usual[np.argsort(-lengths[usual], kind="stable")]
+        chunks = np.cumsum(lengths[usual]) // TOGETHER
+        for own in np.split(usual, np.flatnonzero(np.diff(chunks)) + 1) if len(usual) else ():
+            if len(self.suffixes) > KEPT_SUFFIXES:
+                self._forget()
+            ids, many = self._together([pieces[k] for k in own.tolist()])
+            order.append(own)
+            parts.append(ids)
+            counts.append(many)
+        # From the order of encoding to that of the matches.
+        which = np.empty(len(pieces), np.int64)
+        which[np.concatenate(order)] = np.arange(len(pieces))
+        counts = np.concatenate(counts).astype(np.int64)
+        ids, ends = gather(np.concatenate(parts), counts, which)
+        return ids, np.diff(ends, prepend=0)
 
 
 class Encoder:
@@ -227,25 +373,18 @@ class Encoder:
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
         self.published = pattern == PATTERN
-        self.words = WordIds(self._ids, split=self.published)
+        self.words = WordIds(self._ids, split=self.published, fine=self.published)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words end to end, and how many each has."""
         plain = self.published
-        matches = [(w,) if plain and w[0] == " " and w[1:].isalpha() else [m.group() for m in self.pattern.finditer(w)] for w in words]
-        pieces = sorted({m.encode("utf-8", "surrogatepass") for ms in matches for m in ms if m})
-        ids = dict(zip(pieces, self._long(pieces)))
-        parts = [ids[m.encode("utf-8", "surrogatepass")] for ms in matches for m in ms if m]
-        flat = np.fromiter(chain.from_iterable(parts), np.uint32)
-        ends = np.append(0, np.cumsum([len(p) for p in parts], dtype=np.int64))
+        matches = [(w,) if plain and (w.isalpha() or w[0] == " " and w[1:].isalpha()) else [m.group() for m in self.pattern.finditer(w)] for w in words]
+        numbers: dict[str, int] = {}
+        which = np.fromiter((numbers.setdefault(m, len(numbers)) for ms in matches for m in ms if m), np.int64)
+        ids, counts = self.transducer.encode([m.encode("utf-8", "surrogatepass") for m in numbers])
+        flat, ends = gather(ids, counts, which)
         upto = np.cumsum([sum(map(bool, ms)) for ms in matches], dtype=np.int64)
-        return flat, np.diff(ends[upto], prepend=0)
-
-    def _long(self, pieces: list[bytes]) -> Iterator[tuple[int, ...]]:
-        """The transducer for usual matches; very long ones stream through it on their own."""
-        usual = self.transducer.encode(p for p in pieces if len(p) <= 256)
-        for p in pieces:
-            yield next(usual) if len(p) <= 256 else self.transducer.stream(p)
+        return flat, np.diff(np.append(0, ends)[upto], prepend=0)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         column = pa.array(texts, pa.string())

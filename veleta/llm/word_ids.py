@@ -68,6 +68,13 @@ def cuts(data: np.ndarray, offsets: np.ndarray, fine: bool = False) -> np.ndarra
     return np.flatnonzero(mark)
 
 
+def gather(flat: np.ndarray, counts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs that lie end to end, the wanted ones end to end, and the number of items up to each one's end."""
+    held = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(flat))
+    found = held.take(pa.array(which))
+    return found.flatten().to_numpy(), found.offsets.to_numpy().astype(np.int64)[1:]
+
+
 class WordIds:
     """Ids of slices of texts. `encode` gives the ids of words, end to end, and how many each has.
 
@@ -98,12 +105,9 @@ class WordIds:
         flat, counts = self.encode([distinct[k] for k in new])
         flat, counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
         starts = np.cumsum(counts) - counts
-        # Arrow gathers runs of ids faster than NumPy.
-        held = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(flat))
-        found = held.take(pa.array(place[words.indices.to_numpy()]))
-        ids, upto = found.flatten().to_numpy(), found.offsets.to_numpy().astype(np.int64)
+        ids, ends = gather(flat, counts, place[words.indices.to_numpy()])
         self._remember(distinct, place, new, flat, starts, counts)
-        return ids, upto[np.searchsorted(at, offsets[1:])]
+        return ids, np.append(0, ends)[np.searchsorted(at, offsets[1:])]
 
     def _remember(self, words: list[str], place: np.ndarray, new: np.ndarray, flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
         """Keep short words; where there are too many, those of this slice alone."""
